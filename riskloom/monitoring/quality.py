@@ -93,7 +93,7 @@ def expectation_suite(df: DataFrame) -> DataFrame:
         repeated = repeated.agg(
             F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).alias("repeated")
         )
-        counters = counters.crossJoin(F.broadcast(repeated))  # one row each
+        counters = counters.select("*", repeated.scalar().alias("repeated"))
 
     def unexpected(expectation: str, column: str) -> Column:
         if column not in present:
@@ -122,7 +122,7 @@ def basic_suite(df: DataFrame) -> DataFrame:
     counters = df.agg(*counts)
     if "transaction_id" in present:
         ids = _repeats(df, "transaction_id").agg(F.count("*").alias("ids"))
-        counters = counters.crossJoin(F.broadcast(ids))  # one row each
+        counters = counters.select("*", ids.scalar().alias("ids"))
         entries += [
             ("no_null_transaction_ids", "transaction_id", F.col("null_ids")),
             ("unique_transaction_ids", "transaction_id", F.col("rows") - F.col("ids")),

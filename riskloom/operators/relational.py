@@ -159,11 +159,6 @@ def batch_summary(scores: DataFrame, *, approximate: bool = False) -> DataFrame:
     return out.orderBy(F.desc("batch_start"))
 
 
-def _attach(one_row: DataFrame, other: DataFrame) -> DataFrame:
-    """Two one-row tables side by side."""
-    return one_row.withColumn("_k", F.lit(1)).join(other.withColumn("_k", F.lit(1)), "_k", "left").drop("_k")
-
-
 def batch_statistics(scored: DataFrame) -> DataFrame:
     """Size, flag rate, mean, maximum and exact p95 of a scored batch, as one row."""
     score = F.col("ensemble_score").cast("double")
@@ -176,7 +171,7 @@ def batch_statistics(scored: DataFrame) -> DataFrame:
         F.max(score).alias("max_score"),
     )
     p95 = exact_percentiles(scored, [], "ensemble_score", {"p95_score": 0.95})
-    return _attach(plain, p95)
+    return plain.select("*", p95.scalar().alias("p95_score"))
 
 
 def dataset_statistics(txns: DataFrame, *, sample: float | None = None) -> DataFrame:
@@ -204,7 +199,8 @@ def dataset_statistics(txns: DataFrame, *, sample: float | None = None) -> DataF
         F.min(amount).alias("amount_min"),
         F.max(amount).alias("amount_max"),
     )
-    return _attach(plain, exact_percentiles(rows, [], "amount", {"amount_median": 0.5}))
+    median = exact_percentiles(rows, [], "amount", {"amount_median": 0.5})
+    return plain.select("*", median.scalar().alias("amount_median"))
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
