@@ -1 +1,465 @@
-"""Queries (filled below)."""
+"""Queries on the scorers."""
+
+from __future__ import annotations
+
+import pandas as pd
+from pyspark.sql import functions as F
+
+from riskloom.models import ensemble, forest, reconstruction
+from riskloom.models.rules import RuleScorer, rule_summary
+from riskloom.operators.cumulative import exact_percentiles
+from riskloom.operators.features import FeatureGroups, feature_names, with_features
+from riskloom.operators.relational import top_per_row
+from riskloom.plans.fixtures import Tables
+from riskloom.plans.registry.core import plain, query, rnd
+from riskloom.plans.registry.history import counts_sql
+from riskloom.plans.registry.mapping import BASE_SQL, RISK_SQL, TEMPORAL_SQL
+
+# --- rules ------------------------------------------------------------------------------------
+
+_RULE_GROUPS = FeatureGroups(aggregations=False)
+_RULE_FEATURES = (
+    "SELECT transaction_id, is_fraud, "
+    + ", ".join(["amount", *TEMPORAL_SQL, *RISK_SQL, *counts_sql("card_id")])
+    + " FROM txn"
+)
+_RULES = {
+    "high_amount": "least(greatest(ln(1 + amount / 5000) / ln(11), 0), 1) * CASE WHEN amount > 5000 THEN 1 ELSE 0.3 END",
+    "velocity_1h": "least(greatest(ln(1 + card_txn_count_1h / 5.0) / ln(6), 0), 1) * CASE WHEN card_txn_count_1h >= 5 THEN 1 ELSE 0.5 END",
+    "velocity_24h": "least(card_txn_count_24h / 20.0, 1) * CASE WHEN card_txn_count_24h >= 20 THEN 1 ELSE 0.3 END",
+    "night_activity": "CASE WHEN is_night = 1 AND amount > 500 THEN 0.8 WHEN is_night = 1 THEN 0.3 ELSE 0 END",
+    "country_mismatch": "CASE WHEN country_mismatch = 1 THEN 0.7 ELSE 0 END",
+    "suspicious_email": "CASE WHEN suspicious_email = 1 THEN 0.8 ELSE 0 END",
+    "high_risk_merchant": "CASE WHEN high_risk_category = 1 THEN 0.5 ELSE 0 END",
+}
+_WEIGHTED = " + ".join(
+    f"{w} * {_RULES[r]}"
+    for r, w in {
+        "high_amount": 0.25,
+        "velocity_1h": 0.20,
+        "velocity_24h": 0.10,
+        "night_activity": 0.10,
+        "country_mismatch": 0.15,
+        "suspicious_email": 0.10,
+        "high_risk_merchant": 0.10,
+    }.items()
+)
+_RULE_SCORE = f"least(greatest({_WEIGHTED}, 0), 1)"
+
+
+def _from_rule_features(columns: str) -> str:
+    return f"WITH f AS ({_RULE_FEATURES}) SELECT {columns} FROM f"
+
+
+def _rule_features(t: Tables):
+    return with_features(t.txn, _RULE_GROUPS, keep=("transaction_id", "is_fraud"))
+
+
+def _single_rule(key: str, rule: str) -> None:
+    @query(key, _from_rule_features(f"transaction_id, {rnd(f'CAST({_RULES[rule]} AS DOUBLE)', 'score')}"), ("txn",))
+    def _(t: Tables):
+        df = _rule_features(t)
+        score = RuleScorer().rule_columns(df.columns)[rule]
+        return plain(df.select("transaction_id", score.cast("double").alias("score")))
+
+
+for _key, _rule in (
+    ("k1_high_amount", "high_amount"),
+    ("k2_velocity_1h", "velocity_1h"),
+    ("k3_velocity_24h", "velocity_24h"),
+    ("k4_night_activity", "night_activity"),
+    ("k5_country_mismatch", "country_mismatch"),
+    ("k6_suspicious_email", "suspicious_email"),
+    ("k7_high_risk_merchant", "high_risk_merchant"),
+):
+    _single_rule(_key, _rule)
+
+
+@query(
+    "k8_rule_score",
+    _from_rule_features(f"transaction_id, {rnd(f'CAST({_RULE_SCORE} AS DOUBLE)', 'rule_score')}"),
+    ("txn",),
+)
+def _(t: Tables):
+    return plain(RuleScorer().score(_rule_features(t)).select("transaction_id", "rule_score"))
+
+
+@query(
+    "k9_rule_reasons",
+    _from_rule_features(
+        """transaction_id, concat_ws('; ',
+     CASE WHEN amount > 5000 THEN printf('Amount $%.2f exceeds threshold $5000.00', amount) END,
+     CASE WHEN card_txn_count_1h >= 5 THEN concat(card_txn_count_1h, ' transactions in last hour (threshold: 5)') END,
+     CASE WHEN card_txn_count_24h >= 20 THEN concat(card_txn_count_24h, ' transactions in last 24h (threshold: 20)') END,
+     CASE WHEN is_night = 1 AND amount > 500 THEN 'Transaction during unusual hours (1am-5am)' END,
+     CASE WHEN country_mismatch = 1 THEN 'Billing and shipping countries do not match' END,
+     CASE WHEN suspicious_email = 1 THEN 'Suspicious or disposable email domain detected' END,
+     CASE WHEN high_risk_category = 1 THEN 'Transaction at high-risk merchant category' END) AS reasons"""
+    ),
+    ("txn",),
+)
+def _(t: Tables):
+    scored = RuleScorer().score(_rule_features(t))
+    texts = F.transform("rule_reasons", lambda r: r["reason"])
+    return scored.select("transaction_id", F.concat_ws("; ", texts).alias("reasons"))
+
+
+@query(
+    "k10_rule_catalogue",
+    "WITH f AS (" + _RULE_FEATURES + ") " + " UNION ALL ".join(
+        f"SELECT '{r}' AS rule, count(*) AS fired FROM f WHERE {c}"
+        for r, c in {
+            "high_amount": "amount > 5000",
+            "velocity_1h": "card_txn_count_1h >= 5",
+            "velocity_24h": "card_txn_count_24h >= 20",
+            "night_activity": "is_night = 1 AND amount > 500",
+            "country_mismatch": "country_mismatch = 1",
+            "suspicious_email": "suspicious_email = 1",
+            "high_risk_merchant": "high_risk_category = 1",
+        }.items()
+    ),
+    ("txn",),
+)
+def _(t: Tables):
+    """How often each catalogued rule fires."""
+    scorer = RuleScorer()
+    fired = scorer.score(_rule_features(t)).select(F.explode("rule_reasons.rule").alias("rule"))
+    counts = fired.groupBy("rule").agg(F.count("*").alias("fired"))
+    joined = scorer.catalogue(t.spark).join(counts, "rule", "left")
+    return joined.select("rule", F.coalesce("fired", F.lit(0)).alias("fired"))
+
+
+@query(
+    "k11_rule_summary",
+    f"""WITH f AS ({_RULE_FEATURES}), s AS (SELECT {_RULE_SCORE} AS score FROM f)
+    SELECT count(*) AS n_samples, round(avg(score), 6) AS mean_score,
+     count(*) FILTER (WHERE score > 0.5) AS flagged_count FROM s""",
+    ("txn",),
+)
+def _(t: Tables):
+    return plain(rule_summary(RuleScorer().score(_rule_features(t))))
+
+
+# --- isolation forest -------------------------------------------------------------------------
+
+_FLAT = FeatureGroups(velocity=False, aggregations=False)
+_FLAT_SQL = "SELECT transaction_id, " + ", ".join(["amount", "ln(1 + amount) AS amount_log", *TEMPORAL_SQL[6:], *RISK_SQL]) + " FROM txn"
+_FLAT_NAMES = ["amount", "amount_log", "is_business_hours", "day_of_month", "is_month_start", "is_month_end",
+               "suspicious_email", "country_mismatch", "card_billing_mismatch", "high_risk_category",
+               "is_online", "is_round_amount", "is_large_amount", "is_very_large_amount"]
+
+
+def _flat(t: Tables):
+    return with_features(t.txn, _FLAT).select("transaction_id", *_FLAT_NAMES)
+
+
+def _z_sql(floor: str) -> str:
+    """Long form: one z-score per row and feature."""
+    stats = ", ".join(f"avg({c}) AS m{i}, stddev_pop({c}) AS s{i}" for i, c in enumerate(_FLAT_NAMES))
+    lines = " UNION ALL ".join(
+        f"SELECT transaction_id, {i} AS p, '{c}' AS feature, ({c} - m{i}) / {floor.format(s=f's{i}')} AS z FROM f, g"
+        for i, c in enumerate(_FLAT_NAMES)
+    )
+    return f"f AS ({_FLAT_SQL}), g AS (SELECT {stats} FROM f), z AS ({lines})"
+
+
+def _wide_z(floor: str) -> str:
+    picked = ", ".join(
+        f"round(max(CASE WHEN p = {i} THEN z END), 5) + 0.0 AS {c}" for i, c in enumerate(_FLAT_NAMES)
+    )
+    return f"WITH {_z_sql(floor)} SELECT transaction_id, {picked} FROM z GROUP BY transaction_id"
+
+
+@query("l1_standardised", _wide_z("(CASE WHEN {s} = 0 THEN 1 ELSE {s} END)"), ("txn",))
+def _(t: Tables):
+    df = _flat(t)
+    scaler = forest.standardiser(df, _FLAT_NAMES)
+    zs = [z.alias(n) for n, z in forest.standardised(scaler)]
+    return plain(df.select("transaction_id", *zs), 5)
+
+
+def _small_forest(t: Tables):
+    df = with_features(t.txn, _FLAT)
+    names = feature_names(t.txn.columns, _FLAT)
+    return df, forest.IsolationForest().fit(df, names)
+
+
+@query("l2_forest_nodes")
+def _(t: Tables):
+    _, model = _small_forest(t)
+    return model.node_table(t.spark)
+
+
+@query("l3_split_importances")
+def _(t: Tables):
+    _, model = _small_forest(t)
+    names = t.spark.createDataFrame(list(enumerate(model.features)), "feature int, name string")
+    return forest.split_shares(model.node_table(t.spark)).join(names, "feature")
+
+
+@query("l4_forest_scores")
+def _(t: Tables):
+    df, model = _small_forest(t)
+    return model.score(df).select("transaction_id", "isolation_forest_score")
+
+
+@query(
+    "l5_forest_predict",
+    "SELECT transaction_id, CAST(CASE WHEN isolation_forest_score >= 0.5 THEN 1 ELSE 0 END AS BIGINT) AS predicted FROM scores",
+    ("scores",),
+)
+def _(t: Tables):
+    return plain(t.scores.select("transaction_id", forest.predicted("isolation_forest_score").alias("predicted")))
+
+
+_L6 = f"""WITH {_z_sql("(CASE WHEN {s} = 0 THEN 1 ELSE {s} END)")},
+ c AS (SELECT transaction_id, p, feature, round(abs(z) / {len(_FLAT_NAMES)}, 9) AS v FROM z),
+ r AS (SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY v DESC, p DESC) AS k FROM c)
+SELECT transaction_id, string_agg(feature, ',' ORDER BY k) AS top_features, round(max(v), 6) AS strongest
+FROM r WHERE k <= 3 GROUP BY transaction_id"""
+
+
+@query("l6_top_contributions", _L6, ("txn",))
+def _(t: Tables):
+    """Contributions |z| * importance with equal importances, rounded so that equal values tie."""
+    df = _flat(t)
+    scaler = forest.standardiser(df, _FLAT_NAMES)
+    n = len(_FLAT_NAMES)
+    pairs = [(name, F.round(F.abs(z) / n, 9)) for name, z in forest.standardised(scaler)]
+    top = df.select("transaction_id", top_per_row(pairs, 3).alias("top"))
+    return plain(
+        top.select(
+            "transaction_id",
+            F.concat_ws(",", F.transform("top", lambda e: e["feature"])).alias("top_features"),
+            F.get("top", F.lit(0))["value"].alias("strongest"),
+        )
+    )
+
+
+# --- reconstruction error ---------------------------------------------------------------------
+
+
+@query("m1_normalised", _wide_z("({s} + 1e-8)"), ("txn",))
+def _(t: Tables):
+    df = _flat(t)
+    scaler = forest.standardiser(df, _FLAT_NAMES, 1e-8)
+    zs = [z.alias(n) for n, z in forest.standardised(scaler)]
+    return plain(df.select("transaction_id", *zs), 5)
+
+
+def _subspace(t: Tables):
+    df = _flat(t)
+    model = reconstruction.ReconstructionModel(bottleneck=6)
+    return df, model.fit(df, _FLAT_NAMES)
+
+
+@query("m2_subspace")
+def _(t: Tables):
+    _, model = _subspace(t)
+    table = pd.DataFrame(
+        [(f, k, float(v)) for f, row in zip(model.features, model.loadings) for k, v in enumerate(row)],
+        columns=["feature", "component", "loading"],
+    )
+    return t.spark.createDataFrame(table)
+
+
+@query(
+    "m3_error_threshold",
+    "SELECT round(quantile_cont(rule_score, 0.98), 6) AS threshold FROM scores",
+    ("scores",),
+)
+def _(t: Tables):
+    """The percentile operator on a given error column."""
+    return plain(exact_percentiles(t.scores, [], "rule_score", {"threshold": 0.98}))
+
+
+@query("m4_reconstruction_scores")
+def _(t: Tables):
+    df, model = _subspace(t)
+    return model.score(df).select("transaction_id", "autoencoder_score")
+
+
+@query(
+    "m4_scaled_error",
+    "SELECT transaction_id, round(least(greatest(rule_score / (2 * 0.37), 0), 1), 6) AS score FROM scores",
+    ("scores",),
+)
+def _(t: Tables):
+    return plain(t.scores.select("transaction_id", reconstruction.scaled_error("rule_score", 0.37).alias("score")))
+
+
+@query(
+    "m5_reconstruction_predict",
+    "SELECT transaction_id, CAST(CASE WHEN rule_score >= 0.5 THEN 1 ELSE 0 END AS BIGINT) AS predicted FROM scores",
+    ("scores",),
+)
+def _(t: Tables):
+    return plain(t.scores.select("transaction_id", reconstruction.predicted("rule_score", 0).alias("predicted")))
+
+
+@query(
+    "m6_top_residuals",
+    """WITH long AS (
+     SELECT transaction_id, 0 AS p, 'a' AS feature, ensemble_score * ensemble_score AS v FROM scores
+     UNION ALL SELECT transaction_id, 1, 'b', rule_score * rule_score FROM scores
+     UNION ALL SELECT transaction_id, 2, 'c', isolation_forest_score * isolation_forest_score FROM scores),
+    r AS (SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY v DESC, p DESC) AS k FROM long)
+    SELECT transaction_id, string_agg(feature, ',' ORDER BY k) AS top_features FROM r WHERE k <= 2
+    GROUP BY transaction_id""",
+    ("scores",),
+)
+def _(t: Tables):
+    """The ranking operator on a given residual vector."""
+    given = [F.col(c) * F.col(c) for c in ("ensemble_score", "rule_score", "isolation_forest_score")]
+    df = t.scores.select("transaction_id", F.array(*given).alias("r"))
+    top = reconstruction.top_residuals("r", ["a", "b", "c"], 2)
+    return df.select(
+        "transaction_id", F.concat_ws(",", F.transform(top, lambda e: e["feature"])).alias("top_features")
+    )
+
+
+@query("m8_latent")
+def _(t: Tables):
+    df, model = _subspace(t)
+    latent = model.encode(df)
+    return latent.select("transaction_id", *[F.get("latent", F.lit(i)).alias(f"z{i}") for i in range(6)])
+
+
+# --- ensemble ---------------------------------------------------------------------------------
+
+_N2 = "0.30 / 0.65 * rule_score + 0.35 / 0.65 * isolation_forest_score"
+
+
+@query(
+    "n2_redistributed_weights",
+    f"""SELECT transaction_id, round(least(greatest({_N2}, 0), 1), 6) AS combined FROM scores""",
+    ("scores",),
+)
+def _(t: Tables):
+    weights = ensemble.redistribute(ensemble.DEFAULT_WEIGHTS, "autoencoder")
+    return plain(t.scores.select("transaction_id", ensemble.combined(weights, t.scores.columns).alias("combined")))
+
+
+_N3 = "0.30 * rule_score + 0.35 * isolation_forest_score + 0.35 * ensemble_score"
+
+
+@query(
+    "n3_combined_and_flag",
+    f"""SELECT transaction_id, round(least(greatest({_N3}, 0), 1), 6) AS combined,
+    round(least(greatest({_N3}, 0), 1), 9) >= 0.5 AS flagged FROM scores""",
+    ("scores",),
+)
+def _(t: Tables):
+    given = t.scores.withColumn("autoencoder_score", F.col("ensemble_score"))
+    score = ensemble.combined(ensemble.DEFAULT_WEIGHTS, given.columns)
+    return plain(
+        given.select("transaction_id", score.alias("combined"), (F.round(score, 9) >= 0.5).alias("flagged"))
+    )
+
+
+@query(
+    "n4_flag",
+    "SELECT transaction_id, ensemble_score >= 0.5 AS flagged FROM scores",
+    ("scores",),
+)
+def _(t: Tables):
+    return t.scores.select("transaction_id", (F.col("ensemble_score") >= 0.5).alias("flagged"))
+
+
+_N5 = f"""WITH {_z_sql("(CASE WHEN {s} = 0 THEN 1 ELSE {s} END)")},
+ c AS (SELECT transaction_id, p, feature, round(abs(z) / {len(_FLAT_NAMES)}, 9) AS v FROM z),
+ r AS (SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY v DESC, p DESC) AS k FROM c),
+ reasons AS (
+  SELECT transaction_id, 0 AS p, 'high_amount' AS what, {_RULES['high_amount']} AS w FROM f WHERE amount > 5000
+  UNION ALL SELECT transaction_id, 1, 'country_mismatch', 0.7 FROM f WHERE country_mismatch = 1
+  UNION ALL SELECT transaction_id, 2, 'suspicious_email', 0.8 FROM f WHERE suspicious_email = 1
+  UNION ALL SELECT transaction_id, 3, 'high_risk_merchant', 0.5 FROM f WHERE high_risk_category = 1
+  UNION ALL SELECT transaction_id, 10 + k, feature, round(v, 4) FROM r WHERE k <= 3 AND v > 0.1
+  UNION ALL SELECT transaction_id, 20 + k, 'residual ' || feature, 0 FROM r WHERE k <= 3 AND v > 0.1),
+ ranked AS (SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY w DESC, p) AS k FROM reasons)
+SELECT f.transaction_id, coalesce(string_agg(what, ',' ORDER BY k), '') AS reasons
+FROM f LEFT JOIN ranked ON f.transaction_id = ranked.transaction_id AND k <= 5 GROUP BY f.transaction_id"""
+
+
+@query("n5_top_reasons", _N5, ("txn",))
+def _(t: Tables):
+    """Reason merging on given contributions (equal importances), reused as residuals."""
+    df = RuleScorer().score(_flat(t))
+    scaler = forest.standardiser(df, _FLAT_NAMES)
+    n = len(_FLAT_NAMES)
+    pairs = [(name, F.round(F.abs(z) / n, 9)) for name, z in forest.standardised(scaler)]
+    df = df.withColumn("_top", top_per_row(pairs, 3))
+    merged = F.concat(
+        "rule_reasons",
+        ensemble.forest_reasons(F.col("_top")),
+        ensemble.reconstruction_reasons(F.col("_top")),
+    )
+    label = lambda r: F.coalesce(
+        r["rule"],
+        F.when(r["model"] == "autoencoder", F.concat(F.lit("residual "), r["feature"])),
+        r["feature"],
+    )
+    return df.select(
+        "transaction_id",
+        F.concat_ws(",", F.transform(ensemble.strongest(merged), label)).alias("reasons"),
+    )
+
+
+def _given_result(t: Tables):
+    scored = RuleScorer().score(_flat(t)).select(
+        "transaction_id",
+        F.col("rule_score").alias("ensemble_score"),
+        (F.col("rule_score") >= 0.5).alias("is_flagged"),
+        "rule_score",
+        F.lit(0.25).alias("isolation_forest_score"),
+        ensemble.strongest(F.col("rule_reasons")).alias("reasons"),
+    )
+    return ensemble.result_table(scored, ensemble.EnsembleScorer().model_versions)
+
+
+@query(
+    "n6_result_table",
+    f"""WITH f AS ({_FLAT_SQL}) SELECT transaction_id,
+    round({" + ".join(f"{w} * {_RULES[r]}" for r, w in (("high_amount", 0.25), ("country_mismatch", 0.15), ("suspicious_email", 0.1), ("high_risk_merchant", 0.1)))}, 6) AS ensemble_score,
+    0.25 AS isolation_forest_score, CAST(NULL AS DOUBLE) AS autoencoder_score,
+    CAST((CASE WHEN amount > 5000 THEN 1 ELSE 0 END) + country_mismatch + suspicious_email + high_risk_category AS BIGINT) AS n_reasons,
+    '1.0.0' AS ensemble_version
+    FROM f""",
+    ("txn",),
+)
+def _(t: Tables):
+    """The result table, its JSON columns read back with JSON functions."""
+    out = _given_result(t)
+    return plain(
+        out.select(
+            "transaction_id",
+            "ensemble_score",
+            "isolation_forest_score",
+            "autoencoder_score",
+            F.json_array_length("reason_codes").alias("n_reasons"),
+            F.get_json_object("model_versions", "$.ensemble").alias("ensemble_version"),
+        )
+    )
+
+
+@query(
+    "n8_model_versions",
+    """SELECT 'ensemble' AS model, '1.0.0' AS version, count(*) AS rows FROM txn
+    UNION ALL SELECT 'rules', '1.0.0', count(*) FROM txn""",
+    ("txn",),
+)
+def _(t: Tables):
+    versions = F.from_json("model_versions", "map<string,string>")
+    exploded = _given_result(t).select(F.explode(versions).alias("model", "version"))
+    return exploded.groupBy("model", "version").agg(F.count("*").alias("rows"))
+
+
+@query("n9_ensemble")
+def _(t: Tables):
+    """Fit all models on the table and score it."""
+    from riskloom.session import checkpointed
+
+    names = feature_names(t.txn.columns)
+    matrix = checkpointed(with_features(t.txn))
+    scorer = ensemble.EnsembleScorer().fit(matrix, names)
+    return scorer.results(scorer.score(matrix))
