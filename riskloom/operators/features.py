@@ -232,3 +232,28 @@ def feature_matrix_columns(df: DataFrame) -> list[str]:
     """Everything a model may read: all columns but the key, the time and the labels."""
     held_out = {"transaction_id", "timestamp", "is_fraud"}
     return [c for c in df.columns if c not in held_out]
+
+
+def with_features_after(
+    batch: DataFrame,
+    past: DataFrame,
+    groups: FeatureGroups = FeatureGroups(),
+    *,
+    keep: tuple[str, ...] = ("transaction_id",),
+    strategy: str = "auto",
+) -> DataFrame:
+    """Features of ``batch`` when the rows of ``past`` came before it.
+
+    Only the past that a window of the batch can reach is read: the cut on ``timestamp`` goes to the
+    scan. Rows of the batch that are already in the past count once.
+    """
+    longest = max(COUNT_WINDOWS.values())
+    first = batch.agg(F.min("timestamp")).first()[0]
+    if first is None:
+        return with_features(batch, groups, keep=keep, strategy=strategy)
+    reached = past.where(F.col("timestamp") >= F.lit(first) - F.expr(f"INTERVAL {longest} HOURS"))
+    reached = reached.join(batch.select("transaction_id"), "transaction_id", "left_anti")
+    both = reached.select(*batch.columns).withColumn("_asked", F.lit(False))
+    both = both.unionByName(batch.withColumn("_asked", F.lit(True)))
+    out = with_features(both, groups, keep=(*keep, "_asked"), strategy=strategy)
+    return out.where("_asked").drop("_asked")
