@@ -22,7 +22,7 @@ NODE_SCHEMA = (
     "tree int, node int, feature int, threshold double, left int, right int, size int, depth int"
 )
 _EPSILON = 1e-10
-_CHUNK = 2048
+_CHUNK = 1024
 
 
 def standardiser(df: DataFrame, features: list[str], floor: float | None = None) -> pd.DataFrame:
@@ -112,17 +112,20 @@ class IsolationForest:
         every tree. Either way a row's hash decides, so a lost task draws the same rows again.
         """
         trees, want = self.n_estimators, 1.5 * self.sample_size + 50
-        picked = df.select(F.col(self.row_id).alias("_id"), *self.features)
-        if n > 4 * trees * self.sample_size:
+        named = df.select(F.col(self.row_id).alias("_id"), *self.features)
+
+        def draw(tree: Column) -> Column:
+            hashed = F.xxhash64("_id", tree, F.lit(self.seed + 1))
+            return F.pmod(hashed, F.lit(1 << 40)) / F.lit(float(1 << 40))
+
+        if n >= want * trees:
             tree = F.pmod(F.xxhash64(F.lit(self.seed), "_id"), F.lit(trees)).cast("int")
-            placed, rate = picked.withColumn("tree", tree), want * trees / n
+            placed, rate = named.withColumn("tree", tree), want * trees / n
         else:
-            placed = picked.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-            rate = want / n
-        draw = F.pmod(F.xxhash64("_id", "tree", F.lit(self.seed + 1)), F.lit(1 << 40)) / F.lit(
-            float(1 << 40)
-        )
-        return placed.withColumn("_draw", draw).where(F.col("_draw") < min(rate, 1.0))
+            rate = min(want / n, 1.0)
+            drawn = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda k: draw(k) < rate)
+            placed = named.withColumn("tree", F.explode(drawn))
+        return placed.withColumn("_draw", draw(F.col("tree"))).where(F.col("_draw") < rate)
 
     def fit(self, df: DataFrame, features: list[str]) -> IsolationForest:
         self.features = list(features)
@@ -164,16 +167,16 @@ class IsolationForest:
     # --- scoring ---
 
     def _packed(self) -> dict[str, np.ndarray]:
-        """Nodes of all trees in flat arrays; a leaf points at itself."""
+        """Nodes of all trees in flat arrays; both children of a leaf are the leaf itself."""
         n = self.nodes
         first = n.groupby("tree").size().cumsum().shift(fill_value=0)
         base = n["tree"].map(first).to_numpy()
+        children = np.stack([n["left"].to_numpy() + base, n["right"].to_numpy() + base], axis=1)
         return {
-            "root": first.to_numpy(),
-            "feature": np.maximum(n["feature"].to_numpy(), 0),
+            "root": first.to_numpy().astype(np.int32),
+            "feature": np.maximum(n["feature"].to_numpy(), 0).astype(np.int32),
             "threshold": n["threshold"].to_numpy(),
-            "left": n["left"].to_numpy() + base,
-            "right": n["right"].to_numpy() + base,
+            "child": children.astype(np.int32).ravel(),
             "path": n["depth"].to_numpy() + average_path(n["size"].to_numpy()),
         }
 
@@ -192,13 +195,14 @@ class IsolationForest:
                 x = (pdf.to_numpy(dtype=float) - mean) / std
                 out = np.empty(len(x))
                 for start in range(0, len(x), _CHUNK):
-                    part = x[start : start + _CHUNK]
-                    row = np.arange(len(part))[:, None]
-                    at = np.broadcast_to(f["root"], (len(part), len(f["root"])))
+                    part = np.ascontiguousarray(x[start : start + _CHUNK])
+                    row = (np.arange(len(part), dtype=np.int32) * part.shape[1])[:, None]
+                    values = part.ravel()
+                    at = np.repeat(f["root"][None, :], len(part), axis=0)
                     for _ in range(depth):
-                        left = part[row, f["feature"][at]] <= f["threshold"][at]
-                        at = np.where(left, f["left"][at], f["right"][at])
-                    out[start : start + _CHUNK] = np.exp2(-f["path"][at].mean(axis=1) / norm)
+                        right = values.take(row + f["feature"].take(at)) > f["threshold"].take(at)
+                        at = f["child"].take(2 * at + right)
+                    out[start : start + _CHUNK] = np.exp2(-f["path"].take(at).mean(axis=1) / norm)
                 yield pd.Series(out)
 
         inputs = F.struct(*[F.col(c).cast("double").alias(c) for c in self.features])
@@ -225,8 +229,8 @@ class IsolationForest:
                 raise ValueError("call calibrate() first")
             low, high = F.lit(self.bounds[0]), F.lit(self.bounds[1])
         else:
-            low = raw.agg(F.min(value)).scalar()
-            high = raw.agg(F.max(value)).scalar()
+            span = raw.agg(F.struct(F.min(value).alias("low"), F.max(value).alias("high"))).scalar()
+            low, high = span["low"], span["high"]
         scaled = (value - low) / (high - low + F.lit(_EPSILON))
         if calibration == "fit":
             scaled = F.least(F.greatest(scaled, F.lit(0.0)), F.lit(1.0))

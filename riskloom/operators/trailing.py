@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from riskloom.functions.expressions import HOUR_US, micros
 from riskloom.operators.cumulative import running_sums
 
-#: Most rows per entity and week that the frame form is used for.
+#: Rows per entity and week up to about which the frame form is used.
 FRAME_ROWS = 2_000
 #: Most entity keys that are sent to every executor; more are joined by shuffle.
 BROADCAST_KEYS = 10_000
@@ -79,45 +79,68 @@ def _cell(us: Column, minutes: int) -> Column:
     return ((us - F.pmod(us, width)) / width).cast("bigint")
 
 
-def _hourly(rows: DataFrame, entities: list[str], ts: str) -> DataFrame:
+def _sampled(rows: DataFrame, row_id: str, limit: int) -> tuple[DataFrame, int]:
+    """One row in ``step``, chosen by id hash, so that ``limit`` rows leave about 64.
+
+    The sample only decides which physical form an entity gets; both forms give the same numbers.
+    """
+    step = max(1, limit // 64)
+    if step == 1:
+        return rows, 1
+    return rows.where(F.pmod(F.xxhash64(row_id), F.lit(step)) == 0), step
+
+
+def _threshold(limit: int, step: int) -> int:
+    """Sampled rows per week above which an entity is busy; half the mean, to miss none at the limit."""
+    return limit if step == 1 else limit // step // 2
+
+
+def measure_load(
+    rows: DataFrame,
+    entities: list[str],
+    *,
+    ts: str = "timestamp",
+    row_id: str = "transaction_id",
+    limit: int = FRAME_ROWS,
+) -> dict[str, Load]:
+    """Entity sizes for several entity columns from one small job (one row per column returns)."""
+    sample, step = _sampled(rows, row_id, limit)
     pairs = F.array(
         *[F.struct(F.lit(e).alias("column"), F.col(e).cast("string").alias("key")) for e in entities]
     )
-    return (
-        rows.select(_cell(micros(ts), 60).alias("hour"), F.explode(pairs).alias("p"))
+    hourly = (
+        sample.select(_cell(micros(ts), 60).alias("hour"), F.explode(pairs).alias("p"))
         .where("p.key IS NOT NULL")
         .groupBy("p.column", "p.key", "hour")
         .agg(F.count("*").alias("n"))
     )
-
-
-def measure_load(
-    rows: DataFrame, entities: list[str], *, ts: str = "timestamp", limit: int = FRAME_ROWS
-) -> dict[str, Load]:
-    """Entity sizes for several entity columns in one aggregation job (one row per column returns)."""
-    weekly = (
-        _hourly(rows, entities, ts)
-        .groupBy("column", "key", F.floor(F.col("hour") / _WEEK_HOURS).alias("week"))
-        .agg(F.sum("n").alias("week_rows"), F.max("n").alias("hour_rows"))
+    weekly = hourly.groupBy("column", "key", F.floor(F.col("hour") / _WEEK_HOURS).alias("week")).agg(
+        F.sum("n").alias("week_rows"), F.max("n").alias("hour_rows")
     )
     per_key = weekly.groupBy("column", "key").agg(
         F.max("week_rows").alias("week_rows"), F.max("hour_rows").alias("hour_rows")
     )
+    busy = F.col("week_rows") > _threshold(limit, step)
     found = per_key.groupBy("column").agg(
-        F.sum((F.col("week_rows") > limit).cast("bigint")).alias("busy"),
-        F.max("hour_rows").alias("fullest"),
+        F.sum(busy.cast("bigint")).alias("busy"), F.max("hour_rows").alias("fullest")
     )
-    sizes = {r["column"]: Load(int(r["busy"]), int(r["fullest"])) for r in found.collect()}
+    sizes = {r["column"]: Load(int(r["busy"]), int(r["fullest"]) * step) for r in found.collect()}
     return {e: sizes.get(e, Load(0, 0)) for e in entities}
 
 
 def busy_entities(
-    rows: DataFrame, entity: str, *, ts: str = "timestamp", limit: int = FRAME_ROWS
+    rows: DataFrame,
+    entity: str,
+    *,
+    ts: str = "timestamp",
+    row_id: str = "transaction_id",
+    limit: int = FRAME_ROWS,
 ) -> DataFrame:
-    """The entities with more than ``limit`` rows in some week."""
+    """The entities :func:`measure_load` counts as busy."""
+    sample, step = _sampled(rows.where(F.col(entity).isNotNull()), row_id, limit)
     week = F.floor(_cell(micros(ts), 60) / _WEEK_HOURS)
-    weekly = rows.where(F.col(entity).isNotNull()).groupBy(entity, week.alias("_week")).count()
-    return weekly.where(F.col("count") > limit).select(entity).distinct()
+    weekly = sample.groupBy(entity, week.alias("_week")).count()
+    return weekly.where(F.col("count") > _threshold(limit, step)).select(entity).distinct()
 
 
 def _small(keys: DataFrame, n: int) -> DataFrame:
@@ -141,7 +164,12 @@ class _Units:
     @property
     def value(self) -> Column:
         scaled = F.col(self.column).cast("decimal(18,4)") if not self.exact else F.col(self.column)
-        return (scaled * F.lit(10**self.scale)).cast("decimal(19,0)")
+        return (scaled * F.lit(10**self.scale)).cast("bigint")
+
+
+def _square(x: Column) -> Column:
+    wide = x.cast("decimal(19,0)")
+    return wide * wide
 
 
 def _units(df: DataFrame, column: str) -> _Units:
@@ -162,8 +190,9 @@ def _mean(n: Column, s: Column, scale: int) -> Column:
 
 def _std(n: Column, s: Column, q: Column, scale: int) -> Column:
     """Sample deviation from count, sum and sum of squares; 0 for fewer than two rows."""
+    whole = s.cast("decimal(19,0)")
     spread = F.try_subtract(
-        F.try_multiply(n.cast("decimal(19,0)"), q), F.try_multiply(s, s)
+        F.try_multiply(n.cast("decimal(19,0)"), q), F.try_multiply(whole, whole)
     ).cast("double")
     # sums beyond 38 digits: the same formula in double precision
     wide = n * q.cast("double") - s.cast("double") * s.cast("double")
@@ -175,12 +204,11 @@ def _std(n: Column, s: Column, q: Column, scale: int) -> Column:
 # --- frame form -------------------------------------------------------------------------------
 
 
-def _sliding(measure: Measure, frame, counted: Column) -> Column:
-    seen = F.when(counted, F.col(measure.column))
+def _sliding(measure: Measure, frame, value: Column) -> Column:
     if measure.kind == "distinct":
-        return F.size(F.collect_set(seen).over(frame)).cast("bigint")
+        return F.size(F.collect_set(value).over(frame)).cast("bigint")
     function = {"sum": F.sum, "mean": F.avg, "std": F.stddev_samp, "max": F.max}[measure.kind]
-    return F.coalesce(function(seen.cast("double")).over(frame), F.lit(0.0))
+    return F.coalesce(function(value).over(frame), F.lit(0.0))
 
 
 def _by_frame(
@@ -209,6 +237,7 @@ def _by_frame(
     growing: dict[str, Column] = {}
     results: dict[str, Column] = {}
     sliding: dict[str, Column] = {}
+    prepared: dict[str, Column] = {}
     ordered = partition.orderBy("_us")
 
     def since(name: str, aggregate: Column, hours: int) -> Column:
@@ -227,22 +256,27 @@ def _by_frame(
         elif m.kind in ("sum", "mean", "std") and units.exact:
             x = F.when(history, units.value)
             n = since(f"n_{m.column}", F.count(x), m.hours)
-            s = since(f"s_{m.column}", F.sum(x), m.hours).cast("decimal(38,0)")
+            s = since(f"s_{m.column}", F.sum(x), m.hours)
             if m.kind == "std":
-                q = since(f"q_{m.column}", F.sum(x * x), m.hours).cast("decimal(38,0)")
+                q = since(f"q_{m.column}", F.sum(_square(x)), m.hours).cast("decimal(38,0)")
                 results[m.name] = _std(n, s, q, units.scale)
             else:
                 results[m.name] = (_sum if m.kind == "sum" else _mean)(n, s, units.scale)
         else:
+            # a sliding frame reads its input again and again: prepare it once per row
+            ready = m.column if m.kind == "distinct" else f"_x_{m.column}"
+            if ready != m.column:
+                prepared[ready] = F.when(history, F.col(m.column).cast("double"))
+            value = F.col(ready) if ready in prepared else F.when(history, F.col(ready))
             frame = ordered.rangeBetween(-m.hours * HOUR_US, -1)
-            sliding[m.name] = _sliding(m, frame, history)
+            sliding[m.name] = _sliding(m, frame, value)
             results[m.name] = F.col(m.name)
-    windowed = work.select(
+    kept = [c for c in work.columns if c != "_alone"]
+    windowed = work.withColumns(prepared).select(
         "*",
         *[c.alias(n) for n, c in growing.items()],
         *[c.alias(n) for n, c in sliding.items()],
     )
-    kept = [c for c in work.columns if c != "_alone"]
     return windowed.select(*kept, *[c.alias(n) for n, c in results.items()])
 
 
@@ -270,55 +304,43 @@ def _pieces(measure: Measure) -> list[_Piece]:
     return parts + ([_Piece(f"q_{c}", "sum")] if measure.kind == "std" else [])
 
 
-def _merged(piece: _Piece, parts: list[Column]) -> Column:
-    if piece.merge == "max":
-        return F.greatest(*parts) if len(parts) > 1 else parts[0]
-    total = F.coalesce(parts[0], F.lit(0))
-    for part in parts[1:]:
-        total = total + F.coalesce(part, F.lit(0))
-    return total
-
-
 def _finish(measure: Measure, at: dict[str, Column], units: dict[str, _Units]) -> Column:
     c = measure.column
     if measure.kind == "count":
         return at["n"].cast("bigint")
     if measure.kind == "max":
         return F.coalesce(at[f"max_{c}"].cast("double"), F.lit(0.0))
-    n, s = at[f"n_{c}"], at[f"s_{c}"].cast("decimal(38,0)")
+    n, s = at[f"n_{c}"], at[f"s_{c}"]
     if measure.kind == "std":
         return _std(n, s, at[f"q_{c}"].cast("decimal(38,0)"), units[c].scale)
     return (_sum if measure.kind == "sum" else _mean)(n, s, units[c].scale)
 
 
-def _instants(
-    rows: DataFrame, entity: str, units: dict[str, _Units], minutes: int
-) -> DataFrame:
-    """One row per (entity, instant): count, sums, maximum, and the first row id."""
+def _per_group(units: dict[str, _Units]) -> dict[str, Column]:
+    """What a group of rows keeps: count, sums and maximum of its history rows."""
     history = F.col("_history")
-    aggregates = [
-        F.sum(history.cast("bigint")).alias("n"),
-        F.min(F.when(history, F.col("_id"))).alias("_first_id"),
-    ]
+    kept = {"n": F.sum(history.cast("bigint"))}
     for c, u in units.items():
         x = F.when(history, u.value)
-        aggregates += [
-            F.count(x).alias(f"n_{c}"),
-            F.sum(x).cast("decimal(38,0)").alias(f"s_{c}"),
-            F.sum(x * x).cast("decimal(38,0)").alias(f"q_{c}"),
-            F.max(F.when(history, F.col(c))).alias(f"max_{c}"),
-        ]
-    return rows.groupBy(entity, "_us").agg(*aggregates).withColumn("_cell", _cell(F.col("_us"), minutes))
+        kept[f"n_{c}"] = F.count(x)
+        kept[f"s_{c}"] = F.sum(x)
+        kept[f"q_{c}"] = F.sum(_square(x)).cast("decimal(38,0)")
+        kept[f"max_{c}"] = F.max(F.when(history, F.col(c)))
+    return kept
 
 
 def _window_parts(
-    instants: DataFrame,
+    rows: DataFrame,
     entity: str,
     measures: list[Measure],
     units: dict[str, _Units],
     minutes: int,
 ) -> DataFrame:
-    """Per (entity, instant): every additive or max measure, and the previous history instant."""
+    """Per (entity, instant): every additive or max measure, and the previous history instant.
+
+    Three shuffles: rows to instants, instants and window starts to their cells, and the parts of a
+    window back to its instant. The whole cells are summed from one row per (entity, cell).
+    """
     by_hours: dict[int, list[_Piece]] = {}
     for m in measures:
         for piece in _pieces(m):
@@ -326,14 +348,26 @@ def _window_parts(
                 by_hours[m.hours].append(piece)
     pieces = list(dict.fromkeys(p for ps in by_hours.values() for p in ps))
     span = {h: h * 60 // minutes for h in by_hours}
+    folded = _per_group(units)
 
     # whole cells strictly between the row's cell and the cell where its window starts
     along = Window.partitionBy(entity).orderBy("_cell")
-    history_us = F.when(F.col("n") > 0, F.col("_us"))
-    cells = instants.groupBy(entity, "_cell").agg(
-        *[p.fold(F.col(p.name)).alias(p.name) for p in pieces],
-        F.max(history_us).alias("_last_us"),
+    cells = rows.groupBy(entity, _cell(F.col("_us"), minutes).alias("_cell")).agg(
+        *[folded[p.name].alias(p.name) for p in pieces],
+        F.max(F.when(F.col("_history"), F.col("_us"))).alias("_last_us"),
     )
+
+    def whole_cells(p: _Piece, h: int) -> Column:
+        """Cells c - span + 1 to c - 1; whole-number sums as a difference of growing frames."""
+        piece = p.fold(F.col(p.name))
+        if p.merge == "max":
+            return piece.over(along.rangeBetween(-(span[h] - 1), -1))
+        upto, before = (
+            F.coalesce(piece.over(along.rangeBetween(Window.unboundedPreceding, -k)), F.lit(0))
+            for k in (1, span[h])
+        )
+        return upto - before
+
     between = cells.select(
         entity,
         "_cell",
@@ -341,79 +375,72 @@ def _window_parts(
         .over(along.rowsBetween(Window.unboundedPreceding, -1))
         .alias("_earlier_us"),
         *[
-            p.fold(F.col(p.name)).over(along.rangeBetween(-(span[h] - 1), -1)).alias(f"_whole{h}_{p.name}")
+            whole_cells(p, h).alias(f"_whole{h}_{p.name}")
             for h, ps in by_hours.items()
             if span[h] > 1
             for p in ps
         ],
     )
 
-    # head of the own cell (before t) and tail of the first cell (from t - H)
-    empty = [F.lit(None).cast(instants.schema[p.name].dataType).alias(p.name) for p in pieces]
-    events = instants.select(
+    # every instant appears in its own cell (_h = 0) and where each of its windows starts (_h = H)
+    instants = rows.groupBy(entity, "_us").agg(
+        *[folded[p.name].alias(p.name) for p in pieces],
+        F.min(F.when(F.col("_history"), F.col("_id"))).alias("_first_id"),
+    )
+    own = F.col("_h") == 0
+    places = F.explode(F.array(*[F.lit(h) for h in [0, *by_hours]])).alias("_h")
+    placed = instants.select(
         entity,
-        "_cell",
         "_us",
-        F.lit(0).alias("_h"),
-        F.col("_us").alias("_at"),
-        history_us.alias("_seen"),
+        places,
+        F.col("_first_id"),
         *[p.name for p in pieces],
-    )
-    starts = F.explode(F.array(*[F.lit(h) for h in by_hours])).alias("_h")
-    spans = F.create_map(*[F.lit(x) for h, k in span.items() for x in (h, k)])
-    probes = instants.select(entity, "_cell", "_us", starts).select(
+    ).select(
         entity,
-        (F.col("_cell") - spans[F.col("_h")]).alias("_cell"),
         "_us",
         "_h",
         (F.col("_us") - F.col("_h") * F.lit(HOUR_US)).alias("_at"),
-        F.lit(None).cast("bigint").alias("_seen"),
-        *empty,
+        *[F.when(own, F.col(c)).alias(c) for c in ["_first_id", *[p.name for p in pieces]]],
     )
+    placed = placed.withColumn("_cell", _cell(F.col("_at"), minutes))
     inside = Window.partitionBy(entity, "_cell")
     head = inside.orderBy("_at").rangeBetween(Window.unboundedPreceding, -1)
     tail = inside.orderBy(F.col("_at").desc()).rangeBetween(Window.unboundedPreceding, 0)
-    own = F.col("_h") == 0
-    partial = (
-        events.unionByName(probes)
-        .select(
-            entity,
-            "_us",
-            "_h",
-            F.max("_seen").over(head).alias("_head_us"),
-            *[p.fold(F.col(p.name)).over(head).alias(f"_head_{p.name}") for p in pieces],
-            *[p.fold(F.col(p.name)).over(tail).alias(f"_tail_{p.name}") for p in pieces],
-        )
-        .groupBy(entity, "_us")
-        .agg(
-            F.max(F.when(own, F.col("_head_us"))).alias("_head_us"),
-            *[F.max(F.when(own, F.col(f"_head_{p.name}"))).alias(f"_head_{p.name}") for p in pieces],
-            *[
-                F.max(F.when(F.col("_h") == h, F.col(f"_tail_{p.name}"))).alias(f"_tail{h}_{p.name}")
-                for h, ps in by_hours.items()
-                for p in ps
-            ],
-        )
+    seen = F.when(F.col("_first_id").isNotNull(), F.col("_us"))
+    partial = placed.select(
+        entity,
+        "_cell",
+        "_us",
+        "_h",
+        "_first_id",
+        F.max(seen).over(head).alias("_head_us"),
+        *[p.fold(F.col(p.name)).over(head).alias(f"_head_{p.name}") for p in pieces],
+        *[p.fold(F.col(p.name)).over(tail).alias(f"_tail_{p.name}") for p in pieces],
+    ).join(between, [entity, "_cell"])  # a window start in a cell without rows adds nothing
+
+    def part(p: _Piece, h: int) -> Column:
+        here = F.col(f"_head_{p.name}")
+        if span[h] > 1:
+            whole = F.col(f"_whole{h}_{p.name}")
+            if p.merge == "max":
+                here = F.greatest(here, whole)
+            else:
+                here = F.coalesce(here, F.lit(0)) + F.coalesce(whole, F.lit(0))
+        return F.when(own, here).when(F.col("_h") == h, F.col(f"_tail_{p.name}"))
+
+    merged = partial.groupBy(entity, "_us").agg(
+        F.max("_first_id").alias("_first_id"),
+        F.max(F.when(own, F.coalesce("_head_us", "_earlier_us"))).alias("_previous_us"),
+        *[p.fold(part(p, h)).alias(f"_{h}_{p.name}") for h, ps in by_hours.items() for p in ps],
     )
-    joined = partial.join(
-        instants.select(entity, "_us", "_cell", "_first_id"), [entity, "_us"]
-    ).join(between, [entity, "_cell"])
     results = []
     for m in measures:
         at = {}
-        for piece in _pieces(m):
-            parts = [F.col(f"_head_{piece.name}"), F.col(f"_tail{m.hours}_{piece.name}")]
-            if span[m.hours] > 1:
-                parts.append(F.col(f"_whole{m.hours}_{piece.name}"))
-            at[piece.name] = _merged(piece, parts)
+        for p in _pieces(m):
+            column = F.col(f"_{m.hours}_{p.name}")
+            at[p.name] = column if p.merge == "max" else F.coalesce(column, F.lit(0))
         results.append(_finish(m, at, units).alias(m.name))
-    return joined.select(
-        entity,
-        "_us",
-        "_first_id",
-        F.coalesce("_head_us", "_earlier_us").alias("_previous_us"),
-        *results,
-    )
+    return merged.select(entity, "_us", "_first_id", "_previous_us", *results)
 
 
 def _neighbours(points: DataFrame, keys: list[str], minutes: int) -> DataFrame:
@@ -470,22 +497,16 @@ def _distinct_parts(
     ).select(
         entity,
         F.col("d.at").alias("_us"),
-        F.lit(False).alias("_asked"),
         *[
             F.when(F.col("d.measure") == m.name, F.col("d.step")).otherwise(0).alias(f"_d_{m.name}")
             for m in measures
         ],
     )
-    asked = rows.select(
-        entity, "_us", F.lit(True).alias("_asked"), *[F.lit(0).alias(f"_d_{m.name}") for m in measures]
-    )
+    asked = rows.select(entity, "_us", *[F.lit(0).alias(f"_d_{m.name}") for m in measures])
     events = (
         deltas.unionByName(asked)
         .groupBy(entity, "_us")
-        .agg(
-            F.max("_asked").alias("_asked"),
-            *[F.sum(f"_d_{m.name}").alias(f"_d_{m.name}") for m in measures],
-        )
+        .agg(*[F.sum(f"_d_{m.name}").alias(f"_d_{m.name}") for m in measures])
         .withColumn("_cell", _cell(F.col("_us"), minutes))
     )
     running = running_sums(
@@ -496,7 +517,8 @@ def _distinct_parts(
         cell="_cell",
         inclusive=False,
     )
-    return running.where("_asked").select(entity, "_us", *[m.name for m in measures])
+    # times where nobody asks find no partner in the caller's join
+    return running.select(entity, "_us", *[m.name for m in measures])
 
 
 def _by_cells(rows: DataFrame, entity: str, measures: list[Measure], minutes: int) -> DataFrame:
@@ -506,8 +528,7 @@ def _by_cells(rows: DataFrame, entity: str, measures: list[Measure], minutes: in
     """
     plain = [m for m in measures if m.kind != "distinct"] or [count("_any", 1)]
     units = {c: _units(rows, c) for c in dict.fromkeys(m.column for m in plain if m.column)}
-    instants = _instants(rows, entity, units, minutes)
-    out = _window_parts(instants, entity, plain, units, minutes)
+    out = _window_parts(rows, entity, plain, units, minutes)
     for column in dict.fromkeys(m.column for m in measures if m.kind == "distinct"):
         chosen = [m for m in measures if m.kind == "distinct" and m.column == column]
         out = out.join(_distinct_parts(rows, entity, chosen, column, minutes), [entity, "_us"])
@@ -540,7 +561,7 @@ def trailing(
     base = rows if base is None else base
     is_history = F.coalesce(F.col(history), F.lit(False)) if history else F.lit(True)
     if strategy == "auto":
-        load = load or measure_load(base, [entity], ts=ts, limit=limit)[entity]
+        load = load or measure_load(base, [entity], ts=ts, row_id=row_id, limit=limit)[entity]
         strategy = "split" if load.busy_entities else "frame"
     minutes = load.cell_minutes if load else 60
 
@@ -558,7 +579,9 @@ def trailing(
         *[c for c in needed if c != entity],
     )
     if strategy == "split":
-        busy = _small(busy_entities(base, entity, ts=ts, limit=limit), load.busy_entities)
+        busy = _small(
+            busy_entities(base, entity, ts=ts, row_id=row_id, limit=limit), load.busy_entities
+        )
         work = work.join(busy.withColumn("_busy", F.lit(True)), entity, "left")
         alone = missing | F.col("_busy").isNotNull()
         work = _by_frame(work, entity, measures, gap, is_history, row_id, alone).drop("_busy")
