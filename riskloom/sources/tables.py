@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Iterator
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,24 +61,31 @@ def stage(df: DataFrame, folder: str, name: str, batch_id: str) -> DataFrame:
 # --- catalog tables ---------------------------------------------------------------------------
 
 
-def _counting(df: DataFrame) -> tuple[DataFrame, Observation]:
-    """The table with a row counter that is read after the write, so counting costs no second job."""
-    counted = Observation("written")
-    return df.observe(counted, F.count(F.lit(1)).alias("rows")), counted
-
-
 def write_dataframe(df: DataFrame, table: str, *, if_exists: str = "append") -> int:
-    """Write to a catalog table and return the number of rows written."""
-    observed, counted = _counting(df)
-    observed.write.mode(_MODES[if_exists]).saveAsTable(table)
-    return int(counted.get["rows"])
+    """Write to a catalog table and return the rows it gained.
+
+    The counts come from the table's file footers, so the written plan does not run a second time.
+    """
+    spark = df.sparkSession
+    adds = if_exists == "append" and table_exists(spark, table)
+    before = row_count(spark, table) if adds else 0
+    df.write.mode(_MODES[if_exists]).saveAsTable(table)
+    return row_count(spark, table) - before
 
 
 def write_counted(df: DataFrame, path: str, *, if_exists: str = "append") -> int:
-    """Write to a parquet folder and return the number of rows written."""
-    observed, counted = _counting(df)
-    observed.write.mode(_MODES[if_exists]).parquet(path)
-    return int(counted.get["rows"])
+    """Write to a parquet folder and return the rows it gained."""
+    spark = df.sparkSession
+    before = _rows_at(spark, path, df.schema) if if_exists == "append" else 0
+    df.write.mode(_MODES[if_exists]).parquet(path)
+    return _rows_at(spark, path, df.schema) - before
+
+
+def _rows_at(spark: SparkSession, path: str, schema: T.StructType, batch_id: str | None = None) -> int:
+    if not path_exists(spark, path):
+        return 0
+    rows = spark.read.schema(schema).parquet(path)
+    return (rows if batch_id is None else rows.where(F.col("batch_id") == batch_id)).count()
 
 
 def table_exists(spark: SparkSession, table: str) -> bool:
@@ -135,11 +142,10 @@ def read_jdbc(
 def write_jdbc(
     df: DataFrame, url: str, table: str, *, if_exists: str = "append", batch_size: int = 10_000, **options: str
 ) -> int:
-    """Write to a database table in batches from every partition; returns the rows written."""
-    observed, counted = _counting(df)
-    writer = observed.write.format("jdbc").mode(_MODES[if_exists]).option("url", url)
+    """Write to a database table in batches from every partition; returns the rows of ``df``."""
+    writer = df.write.format("jdbc").mode(_MODES[if_exists]).option("url", url)
     writer.option("dbtable", table).option("batchsize", batch_size).options(**options).save()
-    return int(counted.get["rows"])
+    return df.count()
 
 
 # --- score batches ----------------------------------------------------------------------------
@@ -180,9 +186,9 @@ def persist_scores(
         rows = insert_if_absent(existing, rows, keys)
     else:
         rows = rows.dropDuplicates(keys)
-    observed, counted = _counting(rows)
-    observed.write.mode("append").partitionBy("batch_id").parquet(path)
-    return int(counted.get["rows"])
+    before = _rows_at(spark, path, SCORING_RESULTS, batch_id)
+    rows.write.mode("append").partitionBy("batch_id").parquet(path)
+    return _rows_at(spark, path, SCORING_RESULTS, batch_id) - before
 
 
 def read_scores(spark: SparkSession, path: str) -> DataFrame:
