@@ -35,13 +35,8 @@ def standardiser(df: DataFrame, features: list[str], floor: float | None = None)
         *[F.stddev_pop(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(features)],
         F.count("*").alias("n"),
     ).first()
-
-    def steady(x: float | None) -> float:
-        # twelve digits: the order in which partial sums meet must not show in the model
-        return float(f"{x or 0.0:.12g}")
-
-    mean = [steady(row[f"m{i}"]) for i in range(len(features))]
-    std = [steady(row[f"s{i}"]) for i in range(len(features))]
+    mean = [float(row[f"m{i}"] or 0.0) for i in range(len(features))]
+    std = [float(row[f"s{i}"] or 0.0) for i in range(len(features))]
     std = [s or 1.0 for s in std] if floor is None else [s + floor for s in std]
     out = pd.DataFrame({"feature": features, "mean": mean, "std": std})
     out.attrs["n"] = int(row["n"])
@@ -135,6 +130,9 @@ class IsolationForest:
     def fit(self, df: DataFrame, features: list[str]) -> IsolationForest:
         self.features = list(features)
         self.scaler = standardiser(df, self.features)
+        # twelve digits: the order in which partial sums meet must not show in the trees
+        for column in ("mean", "std"):
+            self.scaler[column] = [float(f"{x:.12g}") for x in self.scaler[column]]
         n = self.scaler.attrs["n"]
         if n == 0:
             raise ValueError("cannot fit on an empty table")
