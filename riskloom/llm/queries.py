@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from riskloom.llm import packing, simhash
+from riskloom.llm import decontamination, language, packing, simhash, toxicity
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
+    "op4_decontamination": decontamination.op4_decontamination,
+    "op5_toxicity": toxicity.op5_toxicity,
+    "op8_language_id": language.op8_language_id,
     "op10_simhash_near_dedup": simhash.op10_simhash_near_dedup,
 }
 
