@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from riskloom.llm import decontamination, language, packing, simhash, toxicity
+from riskloom.llm import decontamination, language, licenses, packing, quality_rules, simhash, toxicity
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
+    "op3_quality_rules": quality_rules.op3_quality_rules,
     "op4_decontamination": decontamination.op4_decontamination,
     "op5_toxicity": toxicity.op5_toxicity,
+    "op7_license_scan": licenses.op7_license_scan,
     "op8_language_id": language.op8_language_id,
     "op10_simhash_near_dedup": simhash.op10_simhash_near_dedup,
 }
