@@ -12,8 +12,10 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pandas as pd
@@ -26,47 +28,58 @@ from riskloom.llm.common import stored, table
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
-_CACHED_WORDS = 300_000
+_CACHED_WORDS = 500_000
 _CACHED_LENGTH = 64
+#: Byte-level vocabularies write a byte that has no printable Latin-1 character as one from 256 on.
+_PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_VISIBLE = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTABLE)}
+#: White space that is no blank becomes one; A-Z are lowered in the first table only.
+_KEEP = bytes(32 if b in (9, 10, 13) else b for b in range(256))
+_LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in _KEEP)
 _ENCODERS: dict[str, "WordEncoder"] = {}
 
 
-class WordEncoder:
+class WordEncoder(dict):
     """Token ids of whole texts, as little-endian 32-bit bytes.
 
-    The vocabulary's rules never join characters across a blank, so ids are looked up per
-    blank-separated chunk and only unseen chunks meet the tokenizer.
+    The vocabulary's rules never join characters across a blank and ignore the case of A-Z, so ids
+    are looked up per blank-separated, lower-cased chunk and only unseen chunks meet the tokenizer.
     """
 
     def __init__(self, path: str):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {"": b""}
+        self.word = self.tokenizer.model.tokenize
+
+    def _encode(self, chunk: bytes) -> bytes:
+        text = chunk.decode()
+        if text[-1] in ".," and text[-2:-1].lower().isalpha():  # the mark is a word of its own
+            return self[chunk[:-1]] + self[chunk[-1:]]
+        if text.isalpha() and text == text.lower() and is_normalized("NFC", text):
+            ids = [t.id for t in self.word(chunk.decode("latin-1").translate(_VISIBLE))]
+        else:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return array("I", ids).tobytes()
 
-    def _encode(self, chunks: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
-        return [np.asarray(e.ids, "<u4").tobytes() for e in found]
+    def __missing__(self, chunk: bytes) -> bytes:
+        ids = self._encode(chunk) if chunk else b""
+        if len(chunk) <= _CACHED_LENGTH:
+            if len(self) >= _CACHED_WORDS:
+                self.clear()
+            self[chunk] = ids
+        return ids
 
     def ids(self, text: str | None) -> bytes:
         if not isinstance(text, str):
             return b""
-        chunks = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        known = self.known
-        new = [c for c in set(chunks) if c not in known]
-        if new:
-            short = [c for c in new if len(c) <= _CACHED_LENGTH]
-            if len(known) + len(short) > _CACHED_WORDS:
-                known.clear()
-                known[""] = b""
-                short = [c for c in set(chunks) if c and len(c) <= _CACHED_LENGTH]
-            known.update(zip(short, self._encode(short)))
-            long = [c for c in set(chunks) if len(c) > _CACHED_LENGTH]
-            if long:
-                known = known | dict(zip(long, self._encode(long)))
-        return b"".join([known[c] for c in chunks])
+        raw = text.encode("utf-8", "replace")
+        # next to combining marks a letter's case can matter to normalization, so it stays
+        plain = b"\xcc" not in raw and b"\xcd" not in raw
+        return b"".join(map(self.__getitem__, raw.translate(_LOWER if plain else _KEEP).split(b" ")))
 
 
 def encoder(path: str) -> WordEncoder:

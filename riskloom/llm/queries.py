@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from riskloom.llm import decontamination, language, licenses, packing, quality_rules, simhash, toxicity
+from riskloom.llm import class_lm, decontamination, language, licenses, packing, quality_rules, simhash, toxicity
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
+    "op2_class_lm": class_lm.op2_class_lm,
     "op3_quality_rules": quality_rules.op3_quality_rules,
     "op4_decontamination": decontamination.op4_decontamination,
     "op5_toxicity": toxicity.op5_toxicity,
