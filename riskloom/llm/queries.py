@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from riskloom.llm import class_lm, decontamination, language, licenses, packing, quality_rules, simhash, toxicity
+import corpus_pipeline
+from riskloom.llm import class_lm, cotraining, decontamination, html_text, language, licenses, packing, quality_rules, simhash, toxicity
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,
@@ -10,9 +11,12 @@ QUERIES = {
     "op3_quality_rules": quality_rules.op3_quality_rules,
     "op4_decontamination": decontamination.op4_decontamination,
     "op5_toxicity": toxicity.op5_toxicity,
+    "op6_html_text": html_text.op6_html_text,
     "op7_license_scan": licenses.op7_license_scan,
     "op8_language_id": language.op8_language_id,
+    "op9_quality_cotraining": cotraining.op9_quality_cotraining,
     "op10_simhash_near_dedup": simhash.op10_simhash_near_dedup,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL: dict[str, str] = {}
