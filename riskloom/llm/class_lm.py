@@ -342,7 +342,7 @@ def score_documents(
     training = read.where(~F.col("held_out"))
     words = vocabulary(training)
     model = fit(training, words, rounds)
-    frequent = words.orderBy(F.desc("n"), "word").limit(LOOKUP).select("word", "n").toPandas()
+    frequent = words.orderBy(F.desc("n"), "word").limit(max(ITEMS, LOOKUP)).select("word", "n").toPandas()
     counts = {bytes(w): int(n) for w, n in zip(frequent["word"], frequent["n"])}
     counts.setdefault(END, 0)
     del frequent

@@ -80,7 +80,8 @@ def letter_counts(text: str | None) -> np.ndarray | None:
         three = ((c[:-2] * np.uint32(40503) + c[1:-1]) * np.uint32(65599) + c[2:]) * np.uint32(
             3266489917
         )
-        grams = np.concatenate([one[1:], two, three]) >> shift
+        # what lies wholly in the letters carried over was counted with the piece before
+        grams = np.concatenate([one[len(tail) :], two[len(tail) - 1 :], three]) >> shift
         total += np.bincount(grams, minlength=BUCKETS)
         tail = c[-2:] if len(c) > 1 else c
     return total if any_letter else None

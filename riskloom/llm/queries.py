@@ -3,7 +3,18 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from riskloom.llm import class_lm, cotraining, decontamination, html_text, language, licenses, packing, quality_rules, simhash, toxicity
+from riskloom.llm import (
+    class_lm,
+    cotraining,
+    decontamination,
+    html_text,
+    language,
+    licenses,
+    packing,
+    quality_rules,
+    simhash,
+    toxicity,
+)
 
 QUERIES = {
     "op1_best_fit_packing": packing.op1_best_fit_packing,

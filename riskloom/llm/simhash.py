@@ -213,10 +213,11 @@ def star_links(codes: DataFrame, radius: int = 4, group: int = 4096, depth: int
                 )
             ]
         )
-        masks = [c for m in masks for c in _divided(m, blocks)]
+        masks = list(dict.fromkeys(c for m in masks for c in _divided(m, blocks)))
         entries = (
             entries.join(large, ["mask", "held"], "left_semi")
             .select("code", F.explode(children[F.col("mask")]).alias("mask"))
+            .distinct()
             .withColumn("held", F.expr("code & mask"))
         )
     ready.append(entries)
