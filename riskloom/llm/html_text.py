@@ -8,6 +8,7 @@ block spacing. Pages are independent of one another: nothing is shuffled.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -85,16 +86,25 @@ class TreeBuilder:
         self.root, self.head, self.body = Node("html"), Node("head"), Node("body")
         self.root.children = [self.head, self.body]
         self.open = [self.root, self.head]
+        #: How often a tag is open, so that most searches of a deep stack need not begin.
+        self.times: Counter = Counter()
 
     def _enter_body(self) -> None:
         if self.open[1] is self.head:
             self.open = [self.root, self.body]
+            self.times.clear()
+
+    def _cut(self, k: int) -> None:
+        self.times.subtract(node.tag for node in self.open[k:])
+        del self.open[k:]
 
     def _end(self, tags: set[str], shields: set[str]) -> None:
+        if not any(self.times[tag] for tag in tags):
+            return
         for k in range(len(self.open) - 1, 1, -1):
             tag = self.open[k].tag
             if tag in tags:
-                del self.open[k:]
+                self._cut(k)
                 return
             if tag in shields:
                 return
@@ -135,8 +145,7 @@ class TreeBuilder:
             self._end(ended, shields)
             if tag in ("tr", "thead", "tbody", "tfoot"):
                 self._end({"tr"}, {"table", "thead", "tbody", "tfoot"})
-        in_table = any(node.tag == "table" for node in self.open)
-        if tag in TABLE_CONTENT and tag not in HEAD_ONLY and not in_table:
+        if tag in TABLE_CONTENT and tag not in HEAD_ONLY and not self.times["table"]:
             return None  # a part of a table outside any table leaves its content in place
         if tag in ("td", "th") and self.open[-1].tag in ("table", "thead", "tbody", "tfoot"):
             self.start("tr", "")
@@ -144,6 +153,7 @@ class TreeBuilder:
         self._insert(node, tag in TABLE_CONTENT)
         if tag not in VOID:
             self.open.append(node)
+            self.times[tag] += 1
         return node
 
     def end(self, tag: str) -> None:
@@ -153,10 +163,12 @@ class TreeBuilder:
         if tag == "br":
             self.start("br", "")
             return
+        if not self.times[tag]:
+            return
         shields = set() if tag in SCOPE else SCOPE
         for k in range(len(self.open) - 1, 1, -1):
             if self.open[k].tag == tag:
-                del self.open[k:]
+                self._cut(k)
                 return
             if self.open[k].tag in shields:
                 return
