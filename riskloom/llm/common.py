@@ -16,10 +16,23 @@ _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuv
 _STORED: list[str] = []
 
 
+#: Bytes of text a Python worker gets at once: rows are long, so their count says little.
+BATCH_BYTES = 8 << 20
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """A table of the corpus, in a session that hands texts to Python in small batches."""
+    small_batches(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = spark.conf.get(key, "").rstrip("b")
+    if not held.isdigit() or int(held) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write ``df`` into the shared folder and go on from the written copy.
 
