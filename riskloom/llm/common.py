@@ -28,7 +28,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def small_batches(spark: SparkSession) -> None:
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    held = spark.conf.get(key, "").rstrip("b")
+    held = spark.conf.get(key).rstrip("b")
     if not held.isdigit() or int(held) > BATCH_BYTES:
         spark.conf.set(key, str(BATCH_BYTES))
 
