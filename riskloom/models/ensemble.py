@@ -8,9 +8,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.models.forest import IsolationForest
+from riskloom.models.forest import IsolationForest, standardiser
 from riskloom.models.reconstruction import ReconstructionModel, top_residuals
 from riskloom.models.rules import RuleScorer, reason_struct
+from riskloom.session import checkpointed
 
 # Default weights and model versions.
 DEFAULT_WEIGHTS = {"rules": 0.30, "isolation_forest": 0.35, "autoencoder": 0.35}
@@ -106,10 +107,11 @@ class EnsembleScorer:
     def fit(self, df: DataFrame, features: list[str], **forest_options) -> EnsembleScorer:
         """Fit on a feature table (write it first: fitting reads it several times)."""
         self.features = list(features)
-        self.forest = IsolationForest(**forest_options).fit(df, self.features)
+        stats = standardiser(df, self.features, 0.0)
+        self.forest = IsolationForest(**forest_options).fit(df, self.features, stats)
         self.forest.calibrate(df)
         if self.use_autoencoder and len(self.features) > 1:
-            self.reconstruction = ReconstructionModel().fit(df, self.features)
+            self.reconstruction = ReconstructionModel().fit(df, self.features, stats)
         else:
             self.weights = redistribute(self.weights, "autoencoder")
         return self
@@ -118,7 +120,9 @@ class EnsembleScorer:
         """All scores, the flag and the ``reasons`` array; the input columns stay."""
         if self.forest is None:
             raise ValueError("fit() or load() first")
-        out = self.rules.score(df)
+        out = self.forest.raw_score(self.rules.score(df))
+        if self.calibration == "batch":
+            out = checkpointed(out)  # the batch's range needs every raw score before the first result
         out = self.forest.score(out, calibration=self.calibration)
         parts = [F.col("rule_reasons"), forest_reasons(self.forest.contributions(_PER_MODEL))]
         if self.reconstruction is not None:

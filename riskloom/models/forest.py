@@ -43,6 +43,14 @@ def standardiser(df: DataFrame, features: list[str], floor: float | None = None)
     return out
 
 
+def with_floor(scaler: pd.DataFrame, floor: float | None = None) -> pd.DataFrame:
+    """A scaler found with floor 0, as :func:`standardiser` would give it with another floor."""
+    out = scaler.copy()
+    out["std"] = [s or 1.0 for s in out["std"]] if floor is None else [s + floor for s in out["std"]]
+    out.attrs = dict(scaler.attrs)
+    return out
+
+
 def standardised(scaler: pd.DataFrame) -> list[tuple[str, Column]]:
     """(feature, z-score expression) pairs."""
     return [
@@ -108,28 +116,52 @@ class IsolationForest:
     def _samples(self, df: DataFrame, n: int) -> DataFrame:
         """(tree, draw, row) with somewhat more than ``sample_size`` rows per tree.
 
-        Large tables give each row to one tree, chosen by its id. Small tables offer every row to
-        every tree. Either way a row's hash decides, so a lost task draws the same rows again.
+        Every tree takes every row with the same probability, whatever the table's size. A row does
+        not try all trees: the trees that take it are reached by geometric steps from its hashes, so
+        most rows of a large table cost one hash, and a lost task draws the same rows again.
         """
         trees, want = self.n_estimators, 1.5 * self.sample_size + 50
+        rate = min(want / n, 1.0)
         named = df.select(F.col(self.row_id).alias("_id"), *self.features)
 
         def draw(tree: Column) -> Column:
             hashed = F.xxhash64("_id", tree, F.lit(self.seed + 1))
             return F.pmod(hashed, F.lit(1 << 40)) / F.lit(float(1 << 40))
 
-        if n >= want * trees:
-            tree = F.pmod(F.xxhash64(F.lit(self.seed), "_id"), F.lit(trees)).cast("int")
-            placed, rate = named.withColumn("tree", tree), want * trees / n
+        if rate >= 1.0:
+            taken = F.sequence(F.lit(0), F.lit(trees - 1))
         else:
-            rate = min(want / n, 1.0)
-            drawn = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda k: draw(k) < rate)
-            placed = named.withColumn("tree", F.explode(drawn))
-        return placed.withColumn("_draw", draw(F.col("tree"))).where(F.col("_draw") < rate)
 
-    def fit(self, df: DataFrame, features: list[str]) -> IsolationForest:
+            def skipped(k: Column) -> Column:
+                """Trees passed over before the k-th that takes the row."""
+                hashed = F.pmod(F.xxhash64("_id", k, F.lit(self.seed)), F.lit(1 << 40))
+                chance = (hashed + F.lit(1)) / F.lit(float((1 << 40) + 1))
+                return F.least(F.floor(F.log(chance) / F.lit(math.log1p(-rate))), F.lit(trees)).cast("int")
+
+            none = F.struct(F.lit(-1).alias("at"), F.array().cast("array<int>").alias("taken"))
+
+            def step(so_far: Column, k: Column) -> Column:
+                at = so_far["at"] + 1 + skipped(k)
+                return F.when(so_far["at"] >= trees, so_far).otherwise(
+                    F.struct(
+                        at.alias("at"),
+                        F.when(at < trees, F.array_append(so_far["taken"], at))
+                        .otherwise(so_far["taken"])
+                        .alias("taken"),
+                    )
+                )
+
+            named = named.where(skipped(F.lit(0)) < trees)
+            taken = F.aggregate(F.sequence(F.lit(0), F.lit(trees - 1)), none, step)["taken"]
+        placed = named.withColumn("tree", F.explode(taken))
+        return placed.withColumn("_draw", draw(F.col("tree")))
+
+    def fit(
+        self, df: DataFrame, features: list[str], stats: pd.DataFrame | None = None
+    ) -> IsolationForest:
+        """``stats`` is an earlier :func:`standardiser` result with floor 0."""
         self.features = list(features)
-        self.scaler = standardiser(df, self.features)
+        self.scaler = with_floor(standardiser(df, self.features, 0.0) if stats is None else stats)
         # twelve digits: the order in which partial sums meet must not show in the trees
         for column in ("mean", "std"):
             self.scaler[column] = [float(f"{x:.12g}") for x in self.scaler[column]]
@@ -222,10 +254,11 @@ class IsolationForest:
     ) -> DataFrame:
         """Add the score scaled to [0, 1] by the batch's own range, or by the remembered one.
 
-        The batch range needs all raw scores before the first result, so write the raw scores to a
-        table first when the features are costly; the remembered range needs one pass.
+        The batch range needs all raw scores before the first result: hand in a written table with
+        ``_forest_raw`` (from :meth:`raw_score`) to evaluate the trees once. The remembered range
+        needs one pass.
         """
-        raw = self.raw_score(df)
+        raw = df if "_forest_raw" in df.columns else self.raw_score(df)
         value = F.col("_forest_raw")
         if calibration == "fit":
             if self.bounds is None:

@@ -17,8 +17,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions.expressions import unit
-from riskloom.models.forest import standardised, standardiser
+from riskloom.models.forest import standardised, standardiser, with_floor
 from riskloom.operators.cumulative import exact_percentiles
+from riskloom.session import checkpointed
 
 _STD_FLOOR = 1e-8
 
@@ -35,10 +36,16 @@ class ReconstructionModel:
     threshold: float = 0.0
     validation_loss: float | None = None
 
-    def fit(self, df: DataFrame, features: list[str]) -> ReconstructionModel:
-        """Normalise, hold out a share of the ids, learn the subspace, set the error threshold."""
+    def fit(
+        self, df: DataFrame, features: list[str], stats: pd.DataFrame | None = None
+    ) -> ReconstructionModel:
+        """Normalise, hold out a share of the ids, learn the subspace, set the error threshold.
+
+        ``stats`` is an earlier ``standardiser`` result with floor 0.
+        """
         self.features = list(features)
-        self.scaler = standardiser(df, self.features, _STD_FLOOR)
+        stats = standardiser(df, self.features, 0.0) if stats is None else stats
+        self.scaler = with_floor(stats, _STD_FLOOR)
         held = unit(F.lit("held-out"), self.row_id) < self.validation_split
         marked = df.select(self.row_id, *self.features, held.alias("_held"))
         train = marked.where(~F.col("_held"))
@@ -47,7 +54,8 @@ class ReconstructionModel:
         k = max(1, min(self.bottleneck, len(self.features) - 1))
         model = PCA(k=k, inputCol="_x", outputCol="_pc").fit(vectors.select("_x"))
         self.loadings = model.pc.toArray()
-        scored = self.errors(marked)
+        # written once: the threshold and the loss both read it
+        scored = checkpointed(self.errors(marked).select("_held", "reconstruction_error"))
         errors = scored.where(~F.col("_held")).select("reconstruction_error")
         point = exact_percentiles(
             errors, [], "reconstruction_error", {"threshold": self.threshold_percentile / 100}

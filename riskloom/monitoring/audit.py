@@ -73,12 +73,11 @@ class AuditLog:
             yield facts
         except Exception as error:
             took = (_now() - started).total_seconds()
-            self.append(
-                batch_id, operation, "FAILED", duration_seconds=took, error_message=str(error)[:2000]
-            )
+            known = facts | {"duration_seconds": took, "error_message": str(error)}
+            self.append(batch_id, operation, "FAILED", **known)
             raise
         took = (_now() - started).total_seconds()
-        self.append(batch_id, operation, "COMPLETED", duration_seconds=took, **facts)
+        self.append(batch_id, operation, "COMPLETED", **(facts | {"duration_seconds": took}))
 
     def read(self) -> DataFrame:
         return self.spark.read.schema(AUDIT_LOG).parquet(self.path)

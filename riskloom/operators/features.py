@@ -8,8 +8,15 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions.expressions import differs, flag
-from riskloom.operators.trailing import Measure, count, measure_load, statistic, trailing
+from riskloom.functions.expressions import HOUR_US, differs, flag, micros
+from riskloom.operators.trailing import (
+    NO_HISTORY_GAP,
+    Measure,
+    count,
+    measure_load,
+    statistic,
+    trailing,
+)
 
 # Window lengths in hours. The 30-day window is known but not counted.
 WINDOWS = {"1h": 1, "6h": 6, "24h": 24, "7d": 168, "30d": 720}
@@ -241,19 +248,46 @@ def with_features_after(
     *,
     keep: tuple[str, ...] = ("transaction_id",),
     strategy: str = "auto",
+    last_seen: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Features of ``batch`` when the rows of ``past`` came before it.
 
-    Only the past that a window of the batch can reach is read: the cut on ``timestamp`` goes to the
-    scan. Rows of the batch that are already in the past count once.
+    Windows read the past they can reach, time bounds at the scan, and of it only rows that share an
+    entity with the batch. The gap to an entity's previous row has no bound: for entities of the
+    batch the latest time before that reach comes from ``last_seen`` (by entity column: the entity
+    and ``timestamp``), or from the older past's entity and time columns. Rows of the batch that are
+    already in the past count once.
     """
     longest = max(COUNT_WINDOWS.values())
-    first = batch.agg(F.min("timestamp")).first()[0]
+    first, last = batch.agg(F.min("timestamp"), F.max("timestamp")).first()
     if first is None:
         return with_features(batch, groups, keep=keep, strategy=strategy)
-    reached = past.where(F.col("timestamp") >= F.lit(first) - F.expr(f"INTERVAL {longest} HOURS"))
-    reached = reached.join(batch.select("transaction_id"), "transaction_id", "left_anti")
+    entities = [e for e in COUNTED_ENTITIES if e in batch.columns]
+    reach = F.lit(first) - F.expr(f"INTERVAL {longest} HOURS")
+    reached = past.where((F.col("timestamp") >= reach) & (F.col("timestamp") <= F.lit(last)))
+    shares = F.lit(False)
+    for e in entities:
+        asked = batch.where(F.col(e).isNotNull()).select(e).distinct()
+        reached = reached.join(asked.withColumn(f"_in_{e}", F.lit(True)), e, "left")
+        shares |= F.col(f"_in_{e}").isNotNull()
+    reached = reached.where(shares).join(batch.select("transaction_id"), "transaction_id", "left_anti")
     both = reached.select(*batch.columns).withColumn("_asked", F.lit(False))
     both = both.unionByName(batch.withColumn("_asked", F.lit(True)))
-    out = with_features(both, groups, keep=(*keep, "_asked"), strategy=strategy)
-    return out.where("_asked").drop("_asked")
+    carried = list(dict.fromkeys([*keep, "timestamp", *entities, "_asked"]))
+    out = with_features(both, groups, keep=tuple(carried), strategy=strategy).where("_asked")
+    if groups.velocity:
+        for e in entities:
+            gap = f"{_short(e)}_hours_since_last"
+            older = (last_seen or {}).get(e)
+            if older is None:
+                older = past.where(F.col("timestamp") < reach).select(e, "timestamp")
+            asked = batch.where(F.col(e).isNotNull()).select(e).distinct()
+            latest = (
+                older.join(asked, e, "left_semi").groupBy(e).agg(F.max("timestamp").alias("_latest"))
+            )
+            hours = (micros("timestamp") - micros("_latest")) / F.lit(float(HOUR_US))
+            unseen = (F.col(gap) == NO_HISTORY_GAP) & F.col("_latest").isNotNull()
+            out = out.join(latest, e, "left")
+            out = out.withColumn(gap, F.when(unseen, hours).otherwise(F.col(gap))).drop("_latest")
+    names = feature_names(batch.columns, groups)
+    return out.select(*[c for c in keep if c not in names], *names)

@@ -136,11 +136,15 @@ def totals_by_label(txns: DataFrame, data_source: str | None = "SYNTHETIC") -> D
     )
 
 
-def batch_summary(scores: DataFrame, *, approximate: bool = False) -> DataFrame:
+def batch_summary(
+    scores: DataFrame, *, approximate: bool = False, live: bool = False
+) -> DataFrame:
     """One row per scoring batch, newest first.
 
     Median and p95 are exact by default: a batch of any size is ranked over cells. The approximate
-    form answers in the same single pass as the other columns.
+    form answers in the same single pass as the other columns. ``live`` is for views, which must
+    follow their table: exact too, it counts each batch's distinct scores, at most 10,001 since
+    the scoring table keeps four decimals.
     """
     score = F.col("ensemble_score").cast("double")
     points = {"median_score": 0.5, "p95_score": 0.95}
@@ -153,8 +157,10 @@ def batch_summary(scores: DataFrame, *, approximate: bool = False) -> DataFrame:
     ]
     if approximate:
         plain += [F.percentile_approx(score, p, 100_000).alias(n) for n, p in points.items()]
+    if live:
+        plain += [F.percentile(score, p).alias(n) for n, p in points.items()]
     out = scores.groupBy("batch_id").agg(*plain)
-    if not approximate:
+    if not (approximate or live):
         out = out.join(exact_percentiles(scores, ["batch_id"], "ensemble_score", points), "batch_id", "left")
     return out.orderBy(F.desc("batch_start"))
 
@@ -249,16 +255,16 @@ def top_flagged(scored: DataFrame, n: int = 5) -> DataFrame:
 def recent_failures(audit: DataFrame, as_of: datetime, hours: int = 24) -> DataFrame:
     since = F.lit(as_of) - F.expr(f"INTERVAL {int(hours)} HOURS")
     return audit.where((F.col("status") == "FAILED") & (F.col("timestamp") >= since)).orderBy(
-        F.desc("timestamp")
+        F.desc("timestamp"), "operation", "batch_id"
     )
 
 
 def batch_history(audit: DataFrame, batch_id: str) -> DataFrame:
-    return audit.where(F.col("batch_id") == batch_id).orderBy("timestamp")
+    return audit.where(F.col("batch_id") == batch_id).orderBy("timestamp", "operation", "status")
 
 
 def latest(audit: DataFrame, n: int = 10) -> DataFrame:
-    return audit.orderBy(F.desc("timestamp")).limit(n)
+    return audit.orderBy(F.desc("timestamp"), "operation", "batch_id", "status").limit(n)
 
 
 def top_per_row(pairs: list[tuple[str, Column]], k: int) -> Column:

@@ -39,7 +39,7 @@ BROADCAST_KEYS = 10_000
 HOUR_CELL_ROWS, FIVE_MINUTE_CELL_ROWS = 2_000_000, 24_000_000
 
 _WEEK_HOURS = 168
-_NO_HISTORY_GAP = 9999.0
+NO_HISTORY_GAP = 9999.0
 
 
 @dataclass(frozen=True)
@@ -147,15 +147,16 @@ def _small(keys: DataFrame, n: int) -> DataFrame:
     return F.broadcast(keys) if n <= BROADCAST_KEYS else keys
 
 
-# --- exact sums -------------------------------------------------------------------------------
+# --- sums -------------------------------------------------------------------------------------
 #
-# Both forms subtract or add partial sums. On doubles that leaves rounding noise in a variance that
-# should be 0, so sums are taken over whole numbers: a money column DECIMAL(18, 2) counts in cents.
+# Money columns DECIMAL(p <= 18) and whole numbers are summed as whole units, so partial sums may be
+# subtracted and added in any order. All other numbers are doubles whose sums are only ever added;
+# deviations are taken from a fixed value of the entity, and a window of equal values has none.
 
 
 @dataclass(frozen=True)
 class _Units:
-    """A column as a whole number of units of 10^-scale."""
+    """A measured column: whole units of 10^-scale if ``exact``, a double otherwise."""
 
     column: str
     scale: int
@@ -163,8 +164,13 @@ class _Units:
 
     @property
     def value(self) -> Column:
-        scaled = F.col(self.column).cast("decimal(18,4)") if not self.exact else F.col(self.column)
-        return (scaled * F.lit(10**self.scale)).cast("bigint")
+        if not self.exact:
+            return F.col(self.column).cast("double")
+        return (F.col(self.column) * F.lit(10**self.scale)).cast("bigint")
+
+    @property
+    def reference(self) -> str:
+        return f"_ref_{self.column}"
 
 
 def _square(x: Column) -> Column:
@@ -173,11 +179,20 @@ def _square(x: Column) -> Column:
 
 
 def _units(df: DataFrame, column: str) -> _Units:
-    """DECIMAL columns are taken as they are; other numbers count in ten-thousandths."""
     kind = df.schema[column].dataType
     if isinstance(kind, T.DecimalType) and kind.precision <= 18:
         return _Units(column, kind.scale, True)
-    return _Units(column, 4, False)
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return _Units(column, 0, True)
+    return _Units(column, 0, False)
+
+
+def _without_nan(df: DataFrame, measures: list[Measure]) -> DataFrame:
+    """NaN counts as missing in every measure, whichever form computes it."""
+    floats = (T.FloatType, T.DoubleType)
+    columns = dict.fromkeys(m.column for m in measures if m.column)
+    bad = [c for c in columns if isinstance(df.schema[c].dataType, floats)]
+    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in bad}) if bad else df
 
 
 def _sum(n: Column, s: Column, scale: int) -> Column:
@@ -201,6 +216,12 @@ def _std(n: Column, s: Column, q: Column, scale: int) -> Column:
     return F.when(n > 1, std).otherwise(F.lit(0.0))
 
 
+def _std_from_reference(n: Column, d: Column, q: Column, low: Column, high: Column) -> Column:
+    """Sample deviation from sums of differences to a fixed value and of their squares."""
+    spread = F.greatest(q - d * d / n, F.lit(0.0))
+    return F.when((n > 1) & (low < high), F.sqrt(spread / (n - 1))).otherwise(F.lit(0.0))
+
+
 # --- frame form -------------------------------------------------------------------------------
 
 
@@ -227,12 +248,14 @@ def _by_frame(
     columns need the sliding frame.
     """
     work = rows.withColumn("_alone", F.when(alone, F.xxhash64(row_id)))
+    # a shared hash or a repeated id must not make such rows each other's history
+    history = history & F.col(entity).isNotNull() & ~alone
     partition = Window.partitionBy(entity, "_alone")
     if gap:
         earlier = partition.orderBy("_us", row_id).rowsBetween(Window.unboundedPreceding, -1)
         previous = F.last(F.when(history, F.col("_us")), ignorenulls=True).over(earlier)
         hours = (F.col("_us") - previous) / F.lit(float(HOUR_US))
-        work = work.withColumn(gap, F.coalesce(hours, F.lit(_NO_HISTORY_GAP)))
+        work = work.withColumn(gap, F.coalesce(hours, F.lit(NO_HISTORY_GAP)))
 
     growing: dict[str, Column] = {}
     results: dict[str, Column] = {}
@@ -288,20 +311,26 @@ class _Piece:
     """A mergeable part of a measure: what is kept per instant, cell and partial window."""
 
     name: str
-    merge: str  # sum or max
+    merge: str  # sum, max or min
+    subtracts: bool = True  # whether partial sums may be taken from one another
 
     def fold(self, column: Column) -> Column:
-        return F.sum(column) if self.merge == "sum" else F.max(column)
+        return {"sum": F.sum, "max": F.max, "min": F.min}[self.merge](column)
 
 
-def _pieces(measure: Measure) -> list[_Piece]:
+def _pieces(measure: Measure, units: dict[str, _Units]) -> list[_Piece]:
     c = measure.column
     if measure.kind == "count":
         return [_Piece("n", "sum")]
     if measure.kind == "max":
         return [_Piece(f"max_{c}", "max")]
-    parts = [_Piece(f"n_{c}", "sum"), _Piece(f"s_{c}", "sum")]
-    return parts + ([_Piece(f"q_{c}", "sum")] if measure.kind == "std" else [])
+    parts = [_Piece(f"n_{c}", "sum"), _Piece(f"s_{c}", "sum", units[c].exact)]
+    if measure.kind == "std" and units[c].exact:
+        parts.append(_Piece(f"q_{c}", "sum"))
+    elif measure.kind == "std":
+        parts += [_Piece(f"d_{c}", "sum", False), _Piece(f"q_{c}", "sum", False)]
+        parts += [_Piece(f"max_{c}", "max"), _Piece(f"low_{c}", "min")]
+    return parts
 
 
 def _finish(measure: Measure, at: dict[str, Column], units: dict[str, _Units]) -> Column:
@@ -311,6 +340,8 @@ def _finish(measure: Measure, at: dict[str, Column], units: dict[str, _Units]) -
     if measure.kind == "max":
         return F.coalesce(at[f"max_{c}"].cast("double"), F.lit(0.0))
     n, s = at[f"n_{c}"], at[f"s_{c}"]
+    if measure.kind == "std" and not units[c].exact:
+        return _std_from_reference(n, at[f"d_{c}"], at[f"q_{c}"], at[f"low_{c}"], at[f"max_{c}"])
     if measure.kind == "std":
         return _std(n, s, at[f"q_{c}"].cast("decimal(38,0)"), units[c].scale)
     return (_sum if measure.kind == "sum" else _mean)(n, s, units[c].scale)
@@ -324,8 +355,13 @@ def _per_group(units: dict[str, _Units]) -> dict[str, Column]:
         x = F.when(history, u.value)
         kept[f"n_{c}"] = F.count(x)
         kept[f"s_{c}"] = F.sum(x)
-        kept[f"q_{c}"] = F.sum(_square(x)).cast("decimal(38,0)")
         kept[f"max_{c}"] = F.max(F.when(history, F.col(c)))
+        if u.exact:
+            kept[f"q_{c}"] = F.sum(_square(x)).cast("decimal(38,0)")
+        else:
+            off = x - F.col(u.reference)
+            kept[f"d_{c}"], kept[f"q_{c}"] = F.sum(off), F.sum(off * off)
+            kept[f"max_{c}"], kept[f"low_{c}"] = F.max(x), F.min(x)
     return kept
 
 
@@ -343,7 +379,7 @@ def _window_parts(
     """
     by_hours: dict[int, list[_Piece]] = {}
     for m in measures:
-        for piece in _pieces(m):
+        for piece in _pieces(m, units):
             if piece not in by_hours.setdefault(m.hours, []):
                 by_hours[m.hours].append(piece)
     pieces = list(dict.fromkeys(p for ps in by_hours.values() for p in ps))
@@ -360,7 +396,7 @@ def _window_parts(
     def whole_cells(p: _Piece, h: int) -> Column:
         """Cells c - span + 1 to c - 1; whole-number sums as a difference of growing frames."""
         piece = p.fold(F.col(p.name))
-        if p.merge == "max":
+        if p.merge != "sum" or not p.subtracts:
             return piece.over(along.rangeBetween(-(span[h] - 1), -1))
         upto, before = (
             F.coalesce(piece.over(along.rangeBetween(Window.unboundedPreceding, -k)), F.lit(0))
@@ -422,8 +458,8 @@ def _window_parts(
         here = F.col(f"_head_{p.name}")
         if span[h] > 1:
             whole = F.col(f"_whole{h}_{p.name}")
-            if p.merge == "max":
-                here = F.greatest(here, whole)
+            if p.merge != "sum":
+                here = (F.greatest if p.merge == "max" else F.least)(here, whole)
             else:
                 here = F.coalesce(here, F.lit(0)) + F.coalesce(whole, F.lit(0))
         return F.when(own, here).when(F.col("_h") == h, F.col(f"_tail_{p.name}"))
@@ -436,9 +472,9 @@ def _window_parts(
     results = []
     for m in measures:
         at = {}
-        for p in _pieces(m):
+        for p in _pieces(m, units):
             column = F.col(f"_{m.hours}_{p.name}")
-            at[p.name] = column if p.merge == "max" else F.coalesce(column, F.lit(0))
+            at[p.name] = F.coalesce(column, F.lit(0)) if p.merge == "sum" else column
         results.append(_finish(m, at, units).alias(m.name))
     return merged.select(entity, "_us", "_first_id", "_previous_us", *results)
 
@@ -528,6 +564,14 @@ def _by_cells(rows: DataFrame, entity: str, measures: list[Measure], minutes: in
     """
     plain = [m for m in measures if m.kind != "distinct"] or [count("_any", 1)]
     units = {c: _units(rows, c) for c in dict.fromkeys(m.column for m in plain if m.column)}
+    loose = [u for u in units.values() if not u.exact]
+    if loose:
+        # the value closest to zero: next to it neither small nor large values lose digits
+        nearest = [F.min_by(u.value, F.abs(u.value)) for u in loose]
+        fixed = rows.groupBy(entity).agg(
+            *[F.coalesce(v, F.lit(0.0)).alias(u.reference) for u, v in zip(loose, nearest)]
+        )
+        rows = rows.join(fixed, entity)
     out = _window_parts(rows, entity, plain, units, minutes)
     for column in dict.fromkeys(m.column for m in measures if m.kind == "distinct"):
         chosen = [m for m in measures if m.kind == "distinct" and m.column == column]
@@ -558,14 +602,14 @@ def trailing(
     without entity has no history. ``base`` is a cheaper source of the same rows for the cells form
     (by default ``rows`` itself); ``load`` is an earlier :func:`measure_load` result.
     """
-    base = rows if base is None else base
+    base = _without_nan(rows if base is None else base, measures)
     is_history = F.coalesce(F.col(history), F.lit(False)) if history else F.lit(True)
     if strategy == "auto":
         load = load or measure_load(base, [entity], ts=ts, row_id=row_id, limit=limit)[entity]
         strategy = "split" if load.busy_entities else "frame"
     minutes = load.cell_minutes if load else 60
 
-    work = rows.withColumn("_us", micros(ts))
+    work = _without_nan(rows, measures).withColumn("_us", micros(ts))
     missing = F.col(entity).isNull()
     if strategy == "frame":
         return _by_frame(work, entity, measures, gap, is_history, row_id, missing).drop("_us")
@@ -595,7 +639,7 @@ def trailing(
         tied = F.col("_first_id") < F.col(row_id)
         since = (F.col("_us") - F.col("_previous_us")) / F.lit(float(HOUR_US))
         seen = F.when(tied, F.lit(0.0)).otherwise(since)
-        framed = F.col(gap) if strategy == "split" else F.lit(_NO_HISTORY_GAP)
+        framed = F.col(gap) if strategy == "split" else F.lit(NO_HISTORY_GAP)
         out = out.withColumn(gap, F.coalesce(seen, framed))
     filled = []
     for m in measures:

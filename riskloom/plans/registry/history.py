@@ -11,6 +11,7 @@ from riskloom.operators.features import (
     STATISTIC_WINDOWS,
     FeatureGroups,
     with_features,
+    with_features_after,
 )
 from riskloom.operators.trailing import count, statistic, trailing
 from riskloom.plans.fixtures import Tables
@@ -84,7 +85,7 @@ def _over(view: str, columns: list[str]) -> str:
     return f"SELECT transaction_id, {', '.join(columns)} FROM {view}"
 
 
-_FINE = {
+FINE = {
     f"{_e(e)}_amount_{k}_{w}": _DIGITS[k]
     for e in PROFILED_ENTITIES
     for k in _DIGITS
@@ -95,7 +96,7 @@ _FINE = {
 def _features(t: Tables, names: list[str], *, strategy: str = "auto", **groups: bool):
     off = {"velocity": False, "aggregations": False, "temporal": False, "risk": False} | groups
     out = with_features(t.txn, FeatureGroups(**off), strategy=strategy)
-    return plain(out.select("transaction_id", *names), fine=_FINE)
+    return plain(out.select("transaction_id", *names), fine=FINE)
 
 
 _GAPS = [f"{_e(e)}_hours_since_last" for e in COUNTED_ENTITIES]
@@ -157,7 +158,7 @@ FULL_SQL = (
 
 @query("f8_full_features", _over("txn", FULL_SQL), ("txn",))
 def _(t: Tables):
-    return plain(with_features(t.txn), fine=_FINE)
+    return plain(with_features(t.txn), fine=FINE)
 
 
 # --- the same answers from the form for busy entities -----------------------------------------
@@ -176,7 +177,7 @@ def _(t: Tables):
     ]
     gap = "merchant_hours_since_last"
     out = trailing(t.txn, "merchant_id", measures, gap=gap, strategy="cells")
-    return plain(out.select("transaction_id", gap, *[m.name for m in measures]), fine=_FINE)
+    return plain(out.select("transaction_id", gap, *[m.name for m in measures]), fine=FINE)
 
 
 @query("f_cells_unique_merchants", _over("txn", distinct_sql()), ("txn",))
@@ -207,7 +208,7 @@ def _tied(t: Tables, strategy: str, limit: int):
     )
     gap = "card_hours_since_last"
     out = trailing(t.order_txn, "card_id", measures, gap=gap, strategy=strategy, limit=limit)
-    return plain(out.select("transaction_id", gap, *[m.name for m in measures]), fine=_FINE)
+    return plain(out.select("transaction_id", gap, *[m.name for m in measures]), fine=FINE)
 
 
 @query("f_ties_frame", _over("order_txn", _TIED), ("order_txn",))
@@ -221,6 +222,80 @@ def _(t: Tables):
     return _tied(t, "auto", 1)
 
 
+# --- double amounts, rows without entity, and a batch after its past ---------------------------
+
+_THIN = "amount * 0.001234567"
+
+
+def _thin_sql(kind: str, hours: int) -> str:
+    value = f"coalesce({_FUNCTIONS[kind]}({_THIN}) OVER {_frame('merchant_id', hours)}, 0)"
+    return rnd(value, f"{kind}_{hours}", 7)
+
+
+_THIN_SQL = _over("txn", [_thin_sql(k, h) for h in (24, 168) for k in ("mean", "std", "max")])
+
+
+def _thin(t: Tables, strategy: str):
+    """Double amounts well below a cent."""
+    rows = t.txn.withColumn("amount", F.col("amount").cast("double") * 0.001234567)
+    measures = [statistic(k, f"{k}_{h}", "amount", h) for h in (24, 168) for k in ("mean", "std", "max")]
+    out = trailing(rows, "merchant_id", measures, strategy=strategy)
+    return plain(out.select("transaction_id", *[m.name for m in measures]), 7)
+
+
+@query("f_double_frame", _THIN_SQL, ("txn",))
+def _(t: Tables):
+    return _thin(t, "frame")
+
+
+@query("f_double_cells", _THIN_SQL, ("txn",))
+def _(t: Tables):
+    return _thin(t, "cells")
+
+
+@query(
+    "f_null_entity_repeats",
+    """SELECT form, 2 * count(*) AS rows, CAST(0 AS BIGINT) AS seen, 9999.0 AS gap
+    FROM txn, (VALUES ('frame'), ('cells'), ('auto')) f(form) WHERE card_id IS NULL GROUP BY form""",
+    ("txn",),
+)
+def _(t: Tables):
+    """Every row twice, under one id: rows without a card still see nothing."""
+    twice = t.txn.union(t.txn)
+    found = None
+    for form in ("frame", "cells", "auto"):
+        out = trailing(
+            twice, "card_id", [count("n", 168), statistic("mean", "m", "amount", 168)], gap="gap", strategy=form, limit=50
+        )
+        one = out.where("card_id IS NULL").agg(
+            F.count("*").alias("rows"), F.sum(F.col("n") + (F.col("m") != 0).cast("int")).alias("seen"), F.min("gap").alias("gap")
+        ).select(F.lit(form).alias("form"), "rows", "seen", "gap")
+        found = one if found is None else found.union(one)
+    return plain(found)
+
+
+HISTORY_SQL = (
+    [c for e in COUNTED_ENTITIES for c in [gap_sql(e), *counts_sql(e)]]
+    + [c for e in PROFILED_ENTITIES for c in stats_sql(e, ("mean", "std", "max", "zscore"))]
+    + distinct_sql()
+)
+
+
+@query(
+    "f_after_past",
+    f"SELECT * EXCLUDE (moment) FROM (SELECT timestamp AS moment, transaction_id, {', '.join(HISTORY_SQL)} FROM txn) x "
+    "WHERE moment >= TIMESTAMP '2024-01-22 00:00:00'",
+    ("txn",),
+)
+def _(t: Tables):
+    """All 33 history columns of a later batch; many customers rested longer than any window."""
+    start = F.lit("2024-01-22 00:00:00").cast("timestamp")
+    batch, past = t.txn.where(F.col("timestamp") >= start), t.txn.where(F.col("timestamp") < start)
+    groups = FeatureGroups(temporal=False, risk=False)
+    out = with_features_after(batch, past, groups)
+    return plain(out.drop("amount", "amount_log"), fine=FINE)
+
+
 # --- point-in-time lookups --------------------------------------------------------------------
 
 _D5 = """SELECT request_id, card_id, reference_time,

@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from dataclasses import replace
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from riskloom.functions.expressions import unit
 from riskloom.models import ensemble, forest, reconstruction
 from riskloom.models.rules import RuleScorer, rule_summary
-from riskloom.operators.cumulative import exact_percentiles
 from riskloom.operators.features import FeatureGroups, feature_names, with_features
 from riskloom.operators.relational import top_per_row
 from riskloom.plans.fixtures import Tables
 from riskloom.plans.registry.core import plain, query, rnd
 from riskloom.plans.registry.history import counts_sql
 from riskloom.plans.registry.mapping import BASE_SQL, RISK_SQL, TEMPORAL_SQL
+from riskloom.session import checkpointed
 
 # --- rules ------------------------------------------------------------------------------------
 
@@ -178,62 +181,134 @@ def _(t: Tables):
     return plain(df.select("transaction_id", *zs), 5)
 
 
-def _small_forest(t: Tables):
-    df = with_features(t.txn, _FLAT)
-    names = feature_names(t.txn.columns, _FLAT)
-    return df, forest.IsolationForest().fit(df, names)
+# Models are fitted on all 53 features of the table with their own parameters. SQL cannot grow trees
+# or find a subspace, but it can state what any fitted model must satisfy; the queries return those
+# facts, taken from the model's own output.
 
+_FITTED: dict[tuple[str, str], tuple] = {}
 
-@query("l2_forest_nodes")
-def _(t: Tables):
-    _, model = _small_forest(t)
-    return model.node_table(t.spark)
+
+def _fitted(t: Tables):
+    """(feature table, fitted scorer), once for each session and folder."""
+    key = (t.spark.sparkContext.applicationId, t.folder)
+    if key not in _FITTED:
+        matrix = checkpointed(with_features(t.txn))
+        scorer = ensemble.EnsembleScorer().fit(matrix, feature_names(t.txn.columns))
+        _FITTED[key] = matrix, scorer
+    return _FITTED[key]
+
+
+def _flagged(name: str, condition) -> F.Column:
+    return F.coalesce(condition, F.lit(False)).cast("bigint").alias(name)
 
 
-@query("l3_split_importances")
+_ALL_FEATURES = 53
+
+
+@query(
+    "l2_forest_nodes",
+    """SELECT CAST(i AS BIGINT) AS tree, least(256, n) AS root_rows, least(256, n) AS leaf_rows,
+     CAST(0 AS BIGINT) AS broken, true AS shallow FROM (SELECT count(*) AS n FROM txn) x, range(0, 200) r(i)""",
+    ("txn",),
+)
 def _(t: Tables):
-    _, model = _small_forest(t)
-    names = t.spark.createDataFrame(list(enumerate(model.features)), "feature int, name string")
-    return forest.split_shares(model.node_table(t.spark)).join(names, "feature")
+    """Per tree: sample at the root, rows over all leaves, links and sizes that do not add up, depth."""
+    nodes = _fitted(t)[1].forest.node_table(t.spark)
+    child = nodes.select("tree", F.col("node").alias("child"), F.col("size").alias("child_size"))
+    inner = nodes.where("feature >= 0")
+    links = inner.select("tree", "node", "size", F.explode(F.array("left", "right")).alias("child"))
+    sums = links.join(child, ["tree", "child"], "left").groupBy("tree", "node", "size").agg(
+        F.count("child_size").alias("found"), F.sum("child_size").alias("below")
+    )
+    broken = sums.groupBy("tree").agg(
+        F.sum((~((F.col("found") == 2) & (F.col("below") == F.col("size")))).cast("bigint")).alias("broken")
+    )
+    per_tree = nodes.groupBy("tree").agg(
+        F.max(F.when(F.col("depth") == 0, F.col("size"))).alias("root_rows"),
+        F.sum(F.when(F.col("feature") < 0, F.col("size"))).alias("leaf_rows"),
+        (F.max("depth") <= 8).alias("shallow"),
+    )
+    out = per_tree.join(broken, "tree", "left")
+    return plain(out.select("tree", "root_rows", "leaf_rows", F.coalesce("broken", F.lit(0)).alias("broken"), "shallow"))
 
 
-@query("l4_forest_scores")
+@query("l3_split_importances", "SELECT 1.0 AS share_sum, true AS splits_are_inner_nodes, true AS agrees_with_model")
 def _(t: Tables):
-    df, model = _small_forest(t)
-    return model.score(df).select("transaction_id", "isolation_forest_score")
+    model = _fitted(t)[1].forest
+    nodes = model.node_table(t.spark)
+    shares = forest.split_shares(nodes)
+    own = t.spark.createDataFrame(
+        [(i, float(w)) for i, w in enumerate(model.importances) if w > 0], "feature int, own double"
+    )
+    inner = nodes.where("left <> right").count()
+    return plain(
+        shares.join(own, "feature", "full").agg(
+            F.sum("importance").alias("share_sum"),
+            (F.sum("splits") == inner).alias("splits_are_inner_nodes"),
+            (F.max(F.abs(F.coalesce("importance", F.lit(9.0)) - F.coalesce("own", F.lit(-9.0)))) < 1e-9).alias("agrees_with_model"),
+        )
+    )
 
 
 @query(
-    "l5_forest_predict",
-    "SELECT transaction_id, CAST(CASE WHEN isolation_forest_score >= 0.5 THEN 1 ELSE 0 END AS BIGINT) AS predicted FROM scores",
-    ("scores",),
+    "l4_forest_scores",
+    "SELECT count(*) AS rows, 0.0 AS lowest, 1.0 AS highest, CAST(0 AS BIGINT) AS out_of_order FROM txn",
+    ("txn",),
 )
 def _(t: Tables):
-    return plain(t.scores.select("transaction_id", forest.predicted("isolation_forest_score").alias("predicted")))
+    """Scaled scores span 0 to 1 and keep the order of the raw scores."""
+    matrix, scorer = _fitted(t)
+    raw = checkpointed(scorer.forest.raw_score(matrix).select("transaction_id", "_forest_raw"))
+    scored = scorer.forest.score(raw)
+    both = scored.join(raw, "transaction_id")
+    # rows of one range of raw scores must not meet scores of a lower range
+    cells = both.groupBy(F.floor(F.col("_forest_raw") * 10_000).alias("cell")).agg(
+        F.min("isolation_forest_score").alias("low"), F.max("isolation_forest_score").alias("high")
+    )
+    before = F.lag("high").over(Window.orderBy("cell"))
+    wrong = cells.select((before > F.col("low")).cast("bigint").alias("w")).agg(F.coalesce(F.sum("w"), F.lit(0)).alias("out_of_order"))
+    span = scored.agg(
+        F.count("*").alias("rows"), F.min("isolation_forest_score").alias("lowest"),
+        F.max("isolation_forest_score").alias("highest"),
+    )
+    return plain(span.select("*", wrong.scalar().alias("out_of_order")))
 
 
-_L6 = f"""WITH {_z_sql("(CASE WHEN {s} = 0 THEN 1 ELSE {s} END)")},
- c AS (SELECT transaction_id, p, feature, round(abs(z) / {len(_FLAT_NAMES)}, 9) AS v FROM z),
- r AS (SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY v DESC, p DESC) AS k FROM c)
-SELECT transaction_id, string_agg(feature, ',' ORDER BY k) AS top_features, round(max(v), 6) AS strongest
-FROM r WHERE k <= 3 GROUP BY transaction_id"""
+@query(
+    "l5_forest_predict",
+    "SELECT transaction_id, CAST(1 AS BIGINT) AS agrees FROM txn",
+    ("txn",),
+)
+def _(t: Tables):
+    matrix, scorer = _fitted(t)
+    scored = scorer.forest.score(matrix)
+    score = F.col("isolation_forest_score")
+    expected = F.when(score >= 0.5, F.lit(1)).otherwise(F.lit(0))
+    return scored.select("transaction_id", _flagged("agrees", forest.predicted("isolation_forest_score") == expected))
 
 
-@query("l6_top_contributions", _L6, ("txn",))
+@query("l6_top_contributions", "SELECT transaction_id, CAST(1 AS BIGINT) AS agrees FROM txn", ("txn",))
 def _(t: Tables):
-    """Contributions |z| * importance with equal importances, rounded so that equal values tie."""
-    df = _flat(t)
-    scaler = forest.standardiser(df, _FLAT_NAMES)
-    n = len(_FLAT_NAMES)
-    pairs = [(name, F.round(F.abs(z) / n, 9)) for name, z in forest.standardised(scaler)]
-    top = df.select("transaction_id", top_per_row(pairs, 3).alias("top"))
-    return plain(
-        top.select(
-            "transaction_id",
-            F.concat_ws(",", F.transform("top", lambda e: e["feature"])).alias("top_features"),
-            F.get("top", F.lit(0))["value"].alias("strongest"),
-        )
+    """The operator's top five against a ranking in long form, with the forest's own importances."""
+    matrix, scorer = _fitted(t)
+    model = scorer.forest
+    z = dict(forest.standardised(model.scaler))
+    entries = F.array(
+        *[
+            F.struct(F.lit(i).alias("p"), (F.abs(z[n]) * F.lit(float(w))).alias("v"))
+            for i, (n, w) in enumerate(zip(model.features, model.importances))
+        ]
     )
+    long = matrix.select("transaction_id", F.explode(entries).alias("e")).select("transaction_id", "e.*")
+    order = Window.partitionBy("transaction_id").orderBy(F.desc("v"), F.desc("p"))
+    ranked = long.withColumn("k", F.row_number().over(order)).where("k <= 5")
+    want = ranked.groupBy("transaction_id").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("k", "p"))), lambda e: e["p"]).alias("want")
+    )
+    got = matrix.select(
+        "transaction_id", F.transform(model.contributions(5), lambda e: e["position"]).alias("got")
+    )
+    return got.join(want, "transaction_id").select("transaction_id", _flagged("agrees", F.col("got") == F.col("want")))
 
 
 # --- reconstruction error ---------------------------------------------------------------------
@@ -247,36 +322,53 @@ def _(t: Tables):
     return plain(df.select("transaction_id", *zs), 5)
 
 
-def _subspace(t: Tables):
-    df = _flat(t)
-    model = reconstruction.ReconstructionModel(bottleneck=6)
-    return df, model.fit(df, _FLAT_NAMES)
+@query(
+    "m2_subspace",
+    """SELECT CAST(i AS BIGINT) AS a, CAST(j AS BIGINT) AS b, CASE WHEN i = j THEN 1.0 ELSE 0.0 END AS product
+    FROM range(0, 16) x(i), range(0, 16) y(j) WHERE i <= j""",
+)
+def _(t: Tables):
+    """Inner products of the sixteen learned directions: orthonormal."""
+    w = _fitted(t)[1].reconstruction.loadings
+    rows = [(f, k, float(v)) for f, row in enumerate(w) for k, v in enumerate(row)]
+    one = t.spark.createDataFrame(rows, "feature int, a int, x double")
+    two = one.select("feature", F.col("a").alias("b"), F.col("x").alias("y"))
+    pairs = one.join(two, "feature").where("a <= b")
+    return plain(pairs.groupBy("a", "b").agg((F.round(F.sum(F.col("x") * F.col("y")), 6) + 0.0).alias("product")))
 
 
-@query("m2_subspace")
+@query("m3_error_threshold", "SELECT true AS reaches, true AS not_before")
 def _(t: Tables):
-    _, model = _subspace(t)
-    table = pd.DataFrame(
-        [(f, k, float(v)) for f, row in zip(model.features, model.loadings) for k, v in enumerate(row)],
-        columns=["feature", "component", "loading"],
-    )
-    return t.spark.createDataFrame(table)
+    """98 of 100 training errors are at most the threshold, and with one rank less they are not."""
+    matrix, scorer = _fitted(t)
+    model = scorer.reconstruction
+    trained = matrix.where(unit(F.lit("held-out"), "transaction_id") >= model.validation_split)
+    errors = model.errors(trained)
+    below = F.avg((F.col("reconstruction_error") < model.threshold * (1 - 1e-9)).cast("double"))
+    upto = F.avg((F.col("reconstruction_error") <= model.threshold * (1 + 1e-9)).cast("double"))
+    n = F.count("*")
+    return errors.agg((upto + 1 / n >= 0.98).alias("reaches"), (below - 1 / n <= 0.98).alias("not_before"))
 
 
 @query(
-    "m3_error_threshold",
-    "SELECT round(quantile_cont(rule_score, 0.98), 6) AS threshold FROM scores",
-    ("scores",),
+    "m4_reconstruction_scores",
+    "SELECT transaction_id, 0.0 AS off, CAST(1 AS BIGINT) AS inside FROM txn",
+    ("txn",),
 )
 def _(t: Tables):
-    """The percentile operator on a given error column."""
-    return plain(exact_percentiles(t.scores, [], "rule_score", {"threshold": 0.98}))
-
-
-@query("m4_reconstruction_scores")
-def _(t: Tables):
-    df, model = _subspace(t)
-    return model.score(df).select("transaction_id", "autoencoder_score")
+    """The score against one taken from the returned residuals and the threshold."""
+    matrix, scorer = _fitted(t)
+    model = scorer.reconstruction
+    scored = model.residuals(model.score(matrix))
+    error = F.aggregate("residuals", F.lit(0.0), lambda a, x: a + x) / _ALL_FEATURES
+    expected = F.least(error / F.lit(2 * model.threshold), F.lit(1.0))
+    score = F.col("autoencoder_score")
+    return plain(
+        scored.select(
+            "transaction_id", (F.round(F.abs(score - expected), 6) + 0.0).alias("off"),
+            _flagged("inside", (score >= 0) & (score <= 1) & (F.size("residuals") == _ALL_FEATURES)),
+        )
+    )
 
 
 @query(
@@ -288,82 +380,106 @@ def _(t: Tables):
     return plain(t.scores.select("transaction_id", reconstruction.scaled_error("rule_score", 0.37).alias("score")))
 
 
-@query(
-    "m5_reconstruction_predict",
-    "SELECT transaction_id, CAST(CASE WHEN rule_score >= 0.5 THEN 1 ELSE 0 END AS BIGINT) AS predicted FROM scores",
-    ("scores",),
-)
+@query("m5_reconstruction_predict", "SELECT transaction_id, CAST(1 AS BIGINT) AS agrees FROM txn", ("txn",))
 def _(t: Tables):
-    return plain(t.scores.select("transaction_id", reconstruction.predicted("rule_score", 0).alias("predicted")))
+    matrix, scorer = _fitted(t)
+    scored = scorer.reconstruction.score(matrix)
+    expected = F.when(F.col("autoencoder_score") >= 0.5, F.lit(1)).otherwise(F.lit(0))
+    return scored.select("transaction_id", _flagged("agrees", reconstruction.predicted("autoencoder_score", 0) == expected))
 
 
-@query(
-    "m6_top_residuals",
-    """WITH long AS (
-     SELECT transaction_id, 0 AS p, 'a' AS feature, ensemble_score * ensemble_score AS v FROM scores
-     UNION ALL SELECT transaction_id, 1, 'b', rule_score * rule_score FROM scores
-     UNION ALL SELECT transaction_id, 2, 'c', isolation_forest_score * isolation_forest_score FROM scores),
-    r AS (SELECT *, row_number() OVER (PARTITION BY transaction_id ORDER BY v DESC, p DESC) AS k FROM long)
-    SELECT transaction_id, string_agg(feature, ',' ORDER BY k) AS top_features FROM r WHERE k <= 2
-    GROUP BY transaction_id""",
-    ("scores",),
-)
+@query("m6_top_residuals", "SELECT transaction_id, CAST(1 AS BIGINT) AS agrees FROM txn", ("txn",))
 def _(t: Tables):
-    """The ranking operator on a given residual vector."""
-    given = [F.col(c) * F.col(c) for c in ("ensemble_score", "rule_score", "isolation_forest_score")]
-    df = t.scores.select("transaction_id", F.array(*given).alias("r"))
-    top = reconstruction.top_residuals("r", ["a", "b", "c"], 2)
-    return df.select(
-        "transaction_id", F.concat_ws(",", F.transform(top, lambda e: e["feature"])).alias("top_features")
+    """The operator's top five against a ranking in long form."""
+    matrix, scorer = _fitted(t)
+    model = scorer.reconstruction
+    kept = checkpointed(model.residuals(matrix).select("transaction_id", "residuals"))
+    long = kept.select("transaction_id", F.posexplode("residuals").alias("p", "v"))
+    order = Window.partitionBy("transaction_id").orderBy(F.desc("v"), F.desc("p"))
+    ranked = long.withColumn("k", F.row_number().over(order)).where("k <= 5")
+    want = ranked.groupBy("transaction_id").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("k", "p"))), lambda e: e["p"]).alias("want")
     )
+    top = reconstruction.top_residuals("residuals", model.features)
+    got = kept.select("transaction_id", F.transform(top, lambda e: e["position"]).alias("got"))
+    return got.join(want, "transaction_id").select("transaction_id", _flagged("agrees", F.col("got") == F.col("want")))
 
 
-@query("m8_latent")
+@query(
+    "m8_latent",
+    "SELECT transaction_id, CAST(16 AS BIGINT) AS size, 0.0 AS off FROM txn",
+    ("txn",),
+)
 def _(t: Tables):
-    df, model = _subspace(t)
-    latent = model.encode(df)
-    return latent.select("transaction_id", *[F.get("latent", F.lit(i)).alias(f"z{i}") for i in range(6)])
+    """Latent position times loadings leaves exactly the residual of the standardised features."""
+    matrix, scorer = _fitted(t)
+    model = scorer.reconstruction
+    both = checkpointed(
+        model.residuals(model.encode(matrix)).select("transaction_id", "latent", "residuals", *model.features)
+    )
+    loadings = F.array(*[F.array(*[F.lit(float(v)) for v in row]) for row in model.loadings])
+    zs = F.array(*[z for _, z in forest.standardised(model.scaler)])
+    dot = lambda row: F.aggregate(
+        F.zip_with(row, "latent", lambda x, y: x * y), F.lit(0.0), lambda a, v: a + v
+    )
+    left = F.zip_with(zs, loadings, lambda z, row: (z - dot(row)) * (z - dot(row)))
+    off = F.zip_with(left, "residuals", lambda x, r: F.abs(x - r) / (1 + r))
+    return plain(
+        both.select(
+            "transaction_id", F.size("latent").alias("size"),
+            (F.round(F.array_max(off), 6) + 0.0).alias("off"),
+        )
+    )
 
 
 # --- ensemble ---------------------------------------------------------------------------------
 
-_N2 = "0.30 / 0.65 * rule_score + 0.35 / 0.65 * isolation_forest_score"
+def _three_scores(t: Tables):
+    matrix, scorer = _fitted(t)
+    return scorer.score(matrix)
 
 
-@query(
-    "n2_redistributed_weights",
-    f"""SELECT transaction_id, round(least(greatest({_N2}, 0), 1), 6) AS combined FROM scores""",
-    ("scores",),
-)
+@query("n2_redistributed_weights", "SELECT transaction_id, 0.0 AS off FROM txn", ("txn",))
 def _(t: Tables):
+    """Without the reconstruction model its weight goes to the others in proportion."""
+    scored = _three_scores(t).drop("autoencoder_score")
     weights = ensemble.redistribute(ensemble.DEFAULT_WEIGHTS, "autoencoder")
-    return plain(t.scores.select("transaction_id", ensemble.combined(weights, t.scores.columns).alias("combined")))
+    got = ensemble.combined(weights, scored.columns)
+    want = F.expr("least(greatest(0.30D / 0.65D * rule_score + 0.35D / 0.65D * isolation_forest_score, 0D), 1D)")
+    return plain(scored.select("transaction_id", (F.round(F.abs(got - want), 6) + 0.0).alias("off")))
 
 
-_N3 = "0.30 * rule_score + 0.35 * isolation_forest_score + 0.35 * ensemble_score"
+_N3 = "0.30D * rule_score + 0.35D * isolation_forest_score + 0.35D * autoencoder_score"
 
 
 @query(
     "n3_combined_and_flag",
-    f"""SELECT transaction_id, round(least(greatest({_N3}, 0), 1), 6) AS combined,
-    round(least(greatest({_N3}, 0), 1), 9) >= 0.5 AS flagged FROM scores""",
-    ("scores",),
+    "SELECT transaction_id, 0.0 AS off, CAST(1 AS BIGINT) AS flag_agrees FROM txn",
+    ("txn",),
 )
 def _(t: Tables):
-    given = t.scores.withColumn("autoencoder_score", F.col("ensemble_score"))
-    score = ensemble.combined(ensemble.DEFAULT_WEIGHTS, given.columns)
+    scored = _three_scores(t)
+    want = F.expr(f"least(greatest({_N3}, 0D), 1D)")
     return plain(
-        given.select("transaction_id", score.alias("combined"), (F.round(score, 9) >= 0.5).alias("flagged"))
+        scored.select(
+            "transaction_id", (F.round(F.abs(F.col("ensemble_score") - want), 6) + 0.0).alias("off"),
+            _flagged("flag_agrees", F.col("is_flagged") == (F.col("ensemble_score") >= 0.5)),
+        )
     )
 
 
 @query(
     "n4_flag",
-    "SELECT transaction_id, ensemble_score >= 0.5 AS flagged FROM scores",
-    ("scores",),
+    "SELECT CAST(true AS BOOLEAN) AS flagged, CAST(0 AS BIGINT) AS wrong UNION ALL SELECT false, 0",
 )
 def _(t: Tables):
-    return t.scores.select("transaction_id", (F.col("ensemble_score") >= 0.5).alias("flagged"))
+    """Flags of the scorer at a threshold that splits the batch, by side."""
+    matrix, scorer = _fitted(t)
+    middle = scorer.score(matrix).agg(F.percentile_approx("ensemble_score", 0.5)).first()[0]
+    moved = replace(scorer, flag_threshold=float(middle))
+    out = moved.score(matrix).groupBy(F.col("is_flagged").alias("flagged"))
+    side = (F.col("ensemble_score") >= float(middle)) != F.col("is_flagged")
+    return plain(out.agg(F.sum(side.cast("bigint")).alias("wrong")))
 
 
 _N5 = f"""WITH {_z_sql("(CASE WHEN {s} = 0 THEN 1 ELSE {s} END)")},
@@ -454,12 +570,23 @@ def _(t: Tables):
     return exploded.groupBy("model", "version").agg(F.count("*").alias("rows"))
 
 
-@query("n9_ensemble")
+@query(
+    "n9_ensemble",
+    """SELECT transaction_id, 0.0 AS off, CAST(1 AS BIGINT) AS flag_agrees, CAST(1 AS BIGINT) AS reasons_fit,
+     CAST(4 AS BIGINT) AS versions FROM txn""",
+    ("txn",),
+)
 def _(t: Tables):
-    """Fit all models on the table and score it."""
-    from riskloom.session import checkpointed
-
-    names = feature_names(t.txn.columns)
-    matrix = checkpointed(with_features(t.txn))
-    scorer = ensemble.EnsembleScorer().fit(matrix, names)
-    return scorer.results(scorer.score(matrix))
+    """Result table of the fitted ensemble: score from its own parts, flag, reasons, versions."""
+    matrix, scorer = _fitted(t)
+    out = scorer.results(scorer.score(matrix))
+    want = F.expr(f"least(greatest({_N3}, 0D), 1D)")
+    reasons = F.json_array_length("reason_codes")
+    return plain(
+        out.select(
+            "transaction_id", (F.round(F.abs(F.col("ensemble_score") - want), 6) + 0.0).alias("off"),
+            _flagged("flag_agrees", F.col("is_flagged") == (F.col("ensemble_score") >= 0.5)),
+            _flagged("reasons_fit", (reasons >= 0) & (reasons <= 5)),
+            F.size(F.from_json("model_versions", "map<string,string>")).alias("versions"),
+        )
+    )

@@ -13,8 +13,8 @@ from riskloom.operators import feature_store as store
 from riskloom.operators import injection
 from riskloom.operators.features import FeatureGroups, feature_names, with_features
 from riskloom.plans.fixtures import Tables
-from riskloom.plans.registry.core import plain, query
-from riskloom.plans.registry.history import counts_sql, stats_sql
+from riskloom.plans.registry.core import plain, query, rnd
+from riskloom.plans.registry.history import FINE, HISTORY_SQL
 from riskloom.plans.registry.mapping import FAST_SQL
 from riskloom.schema import canonical_transactions
 from riskloom.session import checkpointed, shared_dir
@@ -162,18 +162,44 @@ def _(t: Tables):
 
 @query(
     "t1_sql_unscored_batch",
-    """SELECT t.transaction_id, t.amount FROM txn t WHERE NOT EXISTS
-    (SELECT 1 FROM scores s WHERE s.transaction_id = t.transaction_id)""",
+    """SELECT row_number() OVER (ORDER BY t.timestamp, t.transaction_id) AS place, t.transaction_id, t.amount,
+     t.card_id, t.customer_id, t.email_domain, t.billing_country FROM txn t WHERE NOT EXISTS
+     (SELECT 1 FROM scores s WHERE s.transaction_id = t.transaction_id)
+    ORDER BY t.timestamp, t.transaction_id LIMIT 500""",
     ("txn", "scores"),
 )
 def _(t: Tables):
+    """The oldest 500, in order, with columns beyond the eight that scoring needs."""
     sql_surface.register_views(t.spark, t.txn, t.scores)
     sql_surface.register_functions(t.spark)
-    return plain(t.spark.sql("SELECT transaction_id, amount FROM extract_unscored_batch()"))
+    text = """SELECT row_number() OVER (ORDER BY timestamp, transaction_id) AS place, transaction_id, amount,
+      card_id, customer_id, email_domain, billing_country FROM extract_unscored_batch(500)"""
+    return plain(t.spark.sql(text))
 
 
 @query(
     "t2_sql_views",
+    f"""WITH twice AS (SELECT batch_id, ensemble_score FROM scores
+      UNION ALL SELECT batch_id, ensemble_score / 2 FROM scores)
+    SELECT batch_id, count(*) AS total_scored, {rnd('quantile_cont(ensemble_score, 0.5)', 'median_score')},
+     {rnd('quantile_cont(ensemble_score, 0.95)', 'p95_score')} FROM twice GROUP BY batch_id""",
+    ("scores",),
+)
+def _(t: Tables):
+    """The summary is asked after rows were appended to the table its view was registered on."""
+    path = _folder(t, "scores")
+    t.scores.write.parquet(path)
+    kept = t.spark.read.schema(t.scores.schema).parquet(path)
+    sql_surface.register_views(t.spark, t.txn, kept)
+    half = (F.col("ensemble_score") / 2).cast(t.scores.schema["ensemble_score"].dataType)
+    t.scores.withColumn("ensemble_score", half).write.mode("append").parquet(path)
+    t.spark.catalog.refreshTable("v_batch_summary")
+    text = "SELECT batch_id, total_scored, median_score, p95_score FROM v_batch_summary"
+    return plain(t.spark.sql(text))
+
+
+@query(
+    "t2_sql_flagged_view",
     """SELECT s.batch_id, count(*) AS flagged_rows, round(sum(t.amount), 4) AS flagged_amount
     FROM txn t JOIN scores s ON t.transaction_id = s.transaction_id WHERE s.is_flagged GROUP BY s.batch_id""",
     ("txn", "scores"),
@@ -435,15 +461,32 @@ def _drained(t: Tables, stream, name: str):
     return t.spark.read.schema(stream.schema).parquet(f"{out}/data")
 
 
-@query("s1_incremental_scoring")
+@query(
+    "s1_incremental_scoring",
+    """SELECT transaction_id, CAST(1 AS BIGINT) AS times, CAST(1 AS BIGINT) AS same_score,
+     CAST(1 AS BIGINT) AS same_flag FROM txn""",
+    ("txn",),
+)
 def _(t: Tables):
+    """Every row scored once by the stream, as the batch scores it with the same frozen range."""
     names = feature_names(t.txn.columns)
     matrix = checkpointed(with_features(t.txn))
-    scorer = EnsembleScorer(use_autoencoder=False).fit(matrix, names, n_estimators=50)
+    scorer = EnsembleScorer().fit(matrix, names)
     folder = _folder(t, "scoring")
     jobs.incremental_scoring(_stream(t, 2, 1), folder, scorer).awaitTermination()
-    stored = tables.read_scores(t.spark, f"{folder}/scores")
-    return plain(stored.select("transaction_id", "batch_id", "ensemble_score", "is_flagged"))
+    got = tables.read_scores(t.spark, f"{folder}/scores").groupBy("transaction_id").agg(
+        F.count("*").alias("times"), F.max("ensemble_score").alias("got"), F.max("is_flagged").alias("flag")
+    )
+    want = scorer.score(matrix).select("transaction_id", F.col("ensemble_score").alias("want"))
+    both = want.join(got, "transaction_id", "left")
+    near = F.abs(F.col("got").cast("double") - F.col("want")) < 0.000051  # stored with four decimals
+    agree = (F.col("flag") == (F.col("want") >= 0.5)) | (F.abs(F.col("want") - 0.5) < 1e-9)
+    return plain(
+        both.select(
+            "transaction_id", "times", F.coalesce(near, F.lit(False)).cast("int").alias("same_score"),
+            F.coalesce(agree, F.lit(False)).cast("int").alias("same_flag"),
+        )
+    )
 
 
 @query("s2_stream_rules", _STREAM_RULES, ("txn",))
@@ -454,13 +497,11 @@ def _(t: Tables):
 
 @query(
     "s3_stream_history",
-    "SELECT transaction_id, "
-    + ", ".join(counts_sql("card_id") + stats_sql("card_id", ("mean", "max")))
-    + " FROM txn",
+    f"SELECT transaction_id, {', '.join(HISTORY_SQL)} FROM txn",
     ("txn",),
 )
 def _(t: Tables):
-    """The table lands in three time slices, with one run of the stream after each."""
+    """The table lands in three time slices, with one run of the stream after each; all columns."""
     folder, landing = _folder(t, "history"), _folder(t, "landing")
     groups = FeatureGroups(temporal=False, risk=False)
     at = F.col("timestamp")
@@ -469,9 +510,8 @@ def _(t: Tables):
         t.txn.where(rows).write.mode("append").parquet(landing)
         stream = jobs.transaction_stream(t.spark, landing, t.txn.schema)
         jobs.trailing_features(stream, folder, groups).awaitTermination()
-    names = ["card_txn_count_1h", "card_txn_count_6h", "card_txn_count_24h", "card_txn_count_7d"]
-    names += [f"card_amount_{k}_{w}" for w in ("24h", "7d") for k in ("mean", "max")]
-    return plain(t.spark.read.parquet(f"{folder}/features").select("transaction_id", *names))
+    found = t.spark.read.parquet(f"{folder}/features").drop("epoch", "amount", "amount_log")
+    return plain(found, fine=FINE)
 
 
 @query("s4_stream_without_repeats", "SELECT transaction_id, amount FROM txn", ("txn",))

@@ -12,7 +12,8 @@ def register_views(spark: SparkSession, txns: DataFrame, scores: DataFrame) -> N
     txns.createOrReplaceTempView("transactions")
     scores.createOrReplaceTempView("scoring_results")
     flagged_transactions(txns, scores).createOrReplaceTempView("v_flagged_transactions")
-    batch_summary(scores).createOrReplaceTempView("v_batch_summary")
+    # views must follow their tables, so their plans are lazy throughout
+    batch_summary(scores, live=True).createOrReplaceTempView("v_batch_summary")
 
 
 def register_functions(spark: SparkSession) -> None:
@@ -36,14 +37,19 @@ def register_functions(spark: SparkSession) -> None:
           AND timestamp < p_reference_time
         """
     )
+    # called with a constant size, the rank becomes a top-k of each partition
+    columns = spark.table("transactions").schema.fields
+    names = ", ".join(f"`{f.name}`" for f in columns)
+    typed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
     spark.sql(
-        """
-        CREATE OR REPLACE TEMPORARY FUNCTION extract_unscored_batch(p_data_source STRING DEFAULT NULL)
-        RETURNS TABLE (transaction_id STRING, timestamp TIMESTAMP, amount DECIMAL(18,2),
-          merchant_id STRING, merchant_category STRING, card_id STRING, card_type STRING, is_online BOOLEAN)
-        RETURN SELECT t.transaction_id, t.timestamp, CAST(t.amount AS DECIMAL(18,2)), t.merchant_id,
-          t.merchant_category, t.card_id, t.card_type, t.is_online
-        FROM transactions t LEFT ANTI JOIN scoring_results s ON t.transaction_id = s.transaction_id
-        WHERE p_data_source IS NULL OR t.data_source = p_data_source
+        f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION extract_unscored_batch(
+          p_batch_size INT DEFAULT 10000, p_data_source STRING DEFAULT NULL)
+        RETURNS TABLE ({typed})
+        RETURN SELECT {names} FROM (
+          SELECT *, row_number() OVER (ORDER BY timestamp, transaction_id) AS _place
+          FROM transactions LEFT ANTI JOIN scoring_results USING (transaction_id)
+          WHERE p_data_source IS NULL OR data_source = p_data_source)
+        WHERE _place <= p_batch_size ORDER BY timestamp, transaction_id
         """
     )

@@ -6,12 +6,13 @@ import uuid
 from collections.abc import Iterator
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom.operators.relational import insert_if_absent
 from riskloom.schema import SCORING_RESULTS, TRANSACTIONS, canonical_transactions, conform
+from riskloom.session import checkpointed, shared_dir
 
 # CSV text keeps microseconds and the zone.
 _CSV = {"header": "true", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
@@ -102,12 +103,31 @@ def read_sql(spark: SparkSession, text: str, params: dict | None = None) -> Data
 
 
 def parts(df: DataFrame, rows: int) -> Iterator[DataFrame]:
-    """A table as chunks of about ``rows`` rows, each a DataFrame of its own."""
-    total = df.count()
-    n = max(1, -(-total // rows))
-    chunk = F.pmod(F.xxhash64(*df.columns), F.lit(n))
-    for i in range(n):
-        yield df.where(chunk == i)
+    """A table as chunks of ``rows`` rows (the last may have fewer), each a DataFrame of its own.
+
+    The plan runs once: rows are numbered on a written copy, from the row counts of its partitions,
+    and written again by chunk; each chunk then reads its own folder. An empty table is one chunk.
+    """
+    spark = df.sparkSession
+    (number, chunk), taken = ["_row", "_chunk"], {c.lower() for c in df.columns}
+    while number in taken or chunk in taken:
+        number, chunk = f"_{number}", f"_{chunk}"
+    # a partition's rows are numbered from partition * 2^33
+    kept = checkpointed(df).withColumn(number, F.monotonically_increasing_id())
+    part = F.shiftright(number, 33)
+    starts, total = [], 0
+    for p, n in sorted(kept.groupBy(part.alias("p")).count().collect()):
+        starts.append((p, total))
+        total += n
+    # one row per partition of the written copy
+    held = spark.createDataFrame(starts, "_part long, _first long")
+    kept = kept.join(F.broadcast(held), part == F.col("_part"))
+    within = F.col(number).bitwiseAND((1 << 33) - 1)
+    path = f"{shared_dir(spark)}/parts-{uuid.uuid4().hex}"
+    numbered = kept.withColumn(chunk, F.floor((F.col("_first") + within) / rows).cast("long"))
+    numbered.select(*[f"`{c}`" for c in df.columns], chunk).write.partitionBy(chunk).parquet(path)
+    for i in range(max(1, -(-total // rows))):
+        yield spark.read.schema(df.schema).parquet(f"{path}/{chunk}={i}") if total else empty(spark, df.schema)
 
 
 # --- JDBC -------------------------------------------------------------------------------------
@@ -142,10 +162,14 @@ def read_jdbc(
 def write_jdbc(
     df: DataFrame, url: str, table: str, *, if_exists: str = "append", batch_size: int = 10_000, **options: str
 ) -> int:
-    """Write to a database table in batches from every partition; returns the rows of ``df``."""
-    writer = df.write.format("jdbc").mode(_MODES[if_exists]).option("url", url)
+    """Write to a database table in batches from every partition; returns the rows written.
+
+    The rows are counted while they are written, so the plan runs once.
+    """
+    written = Observation()
+    writer = df.observe(written, F.count(F.lit(1)).alias("rows")).write.format("jdbc").mode(_MODES[if_exists]).option("url", url)
     writer.option("dbtable", table).option("batchsize", batch_size).options(**options).save()
-    return df.count()
+    return written.get["rows"]
 
 
 # --- score batches ----------------------------------------------------------------------------
