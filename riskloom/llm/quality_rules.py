@@ -231,4 +231,5 @@ def judge(
 
 
 def op3_quality_rules(spark, sf_dir: str) -> DataFrame:
-    return judge(table(spark, sf_dir, "documents"))
+    found = judge(table(spark, sf_dir, "documents"))
+    return found.withColumns({c: F.round(c, 6) + 0.0 for c in ("char_distance", "word_distance")})

@@ -10,6 +10,7 @@ from riskloom.llm import (
     html_text,
     language,
     licenses,
+    oracles,
     packing,
     quality_rules,
     simhash,
@@ -30,4 +31,7 @@ QUERIES = {
     "pipeline": corpus_pipeline.run,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_quality_rules": oracles.quality_sql(),
+    "op7_license_scan": oracles.license_sql(),
+}
