@@ -43,7 +43,7 @@ grams AS (SELECT rid, k, words[k:k + 4] AS gram FROM (SELECT rid, words, unnest(
 twice AS (SELECT rid, k FROM (SELECT rid, k, count(*) OVER (PARTITION BY rid, gram) AS m FROM grams) g WHERE m > 1),
 covered AS (SELECT rid, count(DISTINCT k + j) AS n_repeat_words FROM twice, range(0, 5) o(j) GROUP BY rid),
 long AS (SELECT * FROM c WHERE n_words >= {q.MIN_WORDS}),
-langs AS (SELECT lang FROM long WHERE lang IS NOT NULL GROUP BY lang ORDER BY count(*) DESC, lang LIMIT {q.LANGUAGES}),
+langs AS (SELECT lang FROM long WHERE lang IS NOT NULL GROUP BY lang ORDER BY sum(n_words) DESC, lang LIMIT {q.LANGUAGES}),
 tongues AS (SELECT '=' || lang AS tongue, words, classes FROM long WHERE lang IN (SELECT lang FROM langs)
   UNION ALL SELECT '{q.ALL}', words, classes FROM long),
 shapes AS (SELECT tongue, [{sums}] AS classes FROM tongues GROUP BY tongue),

@@ -102,73 +102,39 @@ def divergence(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(terms, F.lit(0.0), lambda a, x: a + x)))
 
 
-def references(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``tongue, terms, word_shares, class_shares`` of each language, at most ``LANGUAGES`` + 1 rows.
+def common_words(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """``tongue, terms, word_shares`` of each language and of all texts, at most ``LANGUAGES`` + 1 rows.
 
-    All documents of at least ``min_words`` words count. Equal counts of words order by the word.
+    All documents of at least ``min_words`` words count. Equal counts order by word or language.
     """
-    text = F.coalesce(F.col("text"), F.lit(""))
-    split = F.array_remove(F.split(text, f"{SPACE}+"), "")
-    read = docs.select("lang", text.alias("text"), split.alias("words"))
-    read = read.where((F.size("words") >= min_words))
-    per_language = (
-        with_classes(read.select("lang", "text"))
-        .groupBy("lang")
-        .agg(
-            F.count("*").alias("n"),
-            *[F.sum(F.get("classes", F.lit(k))).alias(f"c{k}") for k in range(len(_CLASSES) + 1)],
-        )
-    )
-    classes = stored(
-        per_language.select(
-            "lang", "n", F.array(*[f"c{k}" for k in range(len(_CLASSES) + 1)]).alias("classes")
-        )
-    )
+    split = F.array_remove(F.split(F.coalesce(F.col("text"), F.lit("")), f"{SPACE}+"), "")
     words = stored(
-        read.select("lang", F.explode("words").alias("word"))
+        docs.select("lang", split.alias("words"))
+        .where(F.size("words") >= min_words)
+        .select("lang", F.explode("words").alias("word"))
         .groupBy("lang", "word")
         .agg(F.count("*").alias("n"))
     )
-    most = classes.where("lang IS NOT NULL").orderBy(F.desc("n"), "lang").limit(LANGUAGES)
-    pooled_words = words.groupBy("word").agg(F.sum("n").alias("n")).select(
-        F.lit(ALL).alias("tongue"), "word", "n"
-    )
-    own_words = words.join(F.broadcast(most.select("lang")), "lang", "left_semi").select(
+    most = words.where("lang IS NOT NULL").groupBy("lang").agg(F.sum("n").alias("n"))
+    most = most.orderBy(F.desc("n"), "lang").limit(LANGUAGES).select("lang")
+    own = words.join(F.broadcast(most), "lang", "left_semi").select(
         F.concat(F.lit("="), F.col("lang")).alias("tongue"), "word", "n"
     )
-    every = own_words.union(pooled_words)
+    pooled = words.groupBy("word").agg(F.sum("n").alias("n"))
+    every = own.union(pooled.select(F.lit(ALL).alias("tongue"), "word", "n"))
     order = Window.partitionBy("tongue").orderBy(F.desc("n"), "word")
     # a row_number with a bound keeps only the first rows of each task before anything is shuffled
     top = every.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= TERMS)
     total = every.groupBy("tongue").agg(F.sum("n").alias("total"))
-    terms = (
-        top.groupBy("tongue")
-        .agg(F.array_sort(F.collect_list(F.struct("nth", "word", "n"))).alias("top"))
-        .join(total, "tongue")
-        .select(
-            "tongue",
-            F.col("top.word").alias("terms"),
-            _shares(
-                F.concat(
-                    F.transform("top.n", lambda n: n.cast("double")),
-                    F.array(
-                        (
-                            F.col("total")
-                            - F.aggregate("top.n", F.lit(0).cast("long"), lambda a, n: a + n)
-                        ).cast("double")
-                    ),
-                )
-            ).alias("word_shares"),
-        )
+    listed = top.groupBy("tongue").agg(
+        F.array_sort(F.collect_list(F.struct("nth", "word", "n"))).alias("top")
     )
-    summed = [F.sum(F.get("classes", F.lit(k))) for k in range(len(_CLASSES) + 1)]
-    shapes = most.select(F.concat(F.lit("="), F.col("lang")).alias("tongue"), "classes").union(
-        classes.agg(F.array(*summed).alias("classes")).select(F.lit(ALL), "classes")
-    )
-    return stored(
-        terms.join(shapes, "tongue").select(
-            "tongue", "terms", "word_shares", _shares(F.col("classes")).alias("class_shares")
-        )
+    inside = F.aggregate("top.n", F.lit(0).cast("long"), lambda a, n: a + n)
+    rest = F.array((F.col("total") - inside).cast("double"))
+    return listed.join(total, "tongue").select(
+        "tongue",
+        F.col("top.word").alias("terms"),
+        _shares(F.concat(F.transform("top.n", lambda n: n.cast("double")), rest)).alias("word_shares"),
     )
 
 
@@ -186,40 +152,52 @@ def judge(
     other than ``doc_id``, ``text`` and ``lang`` are not read.
     """
     docs = docs.select("doc_id", "text", "lang")
-    held = references(docs, min_words).collect()
+    held = common_words(docs, min_words).collect()
     known = [r.tongue for r in held]
-    tongue = F.concat(F.lit("="), F.col("lang"))
-    tongue = F.when(tongue.isin(known), tongue).otherwise(F.lit(ALL))
-    spark = docs.sparkSession
-    refs = F.broadcast(
-        spark.createDataFrame(
-            held,
-            "tongue string, terms array<string>, word_shares array<double>, class_shares array<double>",
+    own = F.concat(F.lit("="), F.col("lang"))
+    own = F.when(own.isin(known), own).otherwise(F.lit(ALL))
+    words = F.broadcast(
+        docs.sparkSession.createDataFrame(
+            held, "tongue string, terms array<string>, word_shares array<double>"
         )
     )
     every_term = sorted({w for r in held for w in r.terms})
-    df = with_classes(with_measures(docs)).withColumn("tongue", tongue).join(refs, "tongue", "left")
     long_enough = F.col("n_words") >= min_words
-    df = df.withColumn(
-        "common",
-        F.when(long_enough, F.filter("words", lambda w: w.isin(every_term) if every_term else F.lit(False))),
-    )
-    counted = F.transform(
+    df = with_classes(with_measures(docs)).withColumn("tongue", own).join(words, "tongue", "left")
+    common = F.filter("words", lambda w: w.isin(every_term) if every_term else F.lit(False))
+    df = df.withColumn("common", F.when(long_enough, common))
+    times = F.transform(
         "terms",
         lambda t: (F.size("common") - F.size(F.array_remove(F.col("common"), t))).cast("double"),
     )
-    df = df.withColumn("counted", counted)
-    inside = F.aggregate("counted", F.lit(0.0), lambda a, x: a + x)
-    df = df.withColumn("bins", F.concat("counted", F.array(F.col("n_words") - inside)))
-    df = df.withColumn(
-        "word_distance",
-        F.when(long_enough, divergence(_shares(F.col("bins")), F.col("word_shares"))),
+    df = df.withColumn("times", F.when(long_enough, times))
+    # one pass over the texts: what follows reads numbers only
+    df = stored(
+        df.select(
+            "doc_id", "tongue", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+            "classes", "times", "word_shares",
+        )
     )
+    sums = [F.sum(F.get("classes", F.lit(k))).alias(f"c{k}") for k in range(len(_CLASSES) + 1)]
+    counted = F.array(*[f"c{k}" for k in range(len(_CLASSES) + 1)])
+    by_tongue = stored(df.where(long_enough).groupBy("tongue").agg(*sums).select("tongue", counted.alias("sums")))
+    shapes = by_tongue.where(F.col("tongue") != ALL).union(
+        by_tongue.select(F.lit(ALL), F.posexplode("sums").alias("k", "c"))
+        .groupBy("k")
+        .agg(F.sum("c").alias("c"))
+        .agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "c"))), lambda e: e["c"]))
+        .select(F.lit(ALL), "*")
+    )
+    df = df.join(F.broadcast(shapes), "tongue", "left")
+    rest = F.col("n_words") - F.aggregate("times", F.lit(0.0), lambda a, x: a + x)
+    bins = F.concat("times", F.array(rest))
+    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     df = df.withColumn(
         "char_distance",
-        F.when(long_enough, divergence(_shares(F.col("classes")), F.col("class_shares"))),
+        F.when(long_enough, divergence(_shares(F.col("classes")), _shares(F.col("sums")))),
+    ).withColumn(
+        "word_distance", F.when(long_enough, divergence(_shares(bins), F.col("word_shares")))
     )
-    failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     close = F.coalesce(F.col("char_distance") <= max_char, F.lit(True)) & F.coalesce(
         F.col("word_distance") <= max_word, F.lit(True)
     )
