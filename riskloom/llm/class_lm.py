@@ -27,10 +27,10 @@ from pyspark.sql import functions as F
 from riskloom.llm.common import encoded, remainder, stored, table
 
 #: Most frequent words that are clustered one by one; all others are clustered by their ending.
-ITEMS = 8192
+ITEMS = 4096
 UNITS = 1024
-CLASSES = 48
-ROUNDS = 8
+CLASSES = 40
+ROUNDS = 5
 #: Most frequent words whose counts travel to the tasks; the others are joined.
 LOOKUP = 200_000
 SMOOTHING = 20.0
@@ -74,6 +74,26 @@ def vocabulary(training: DataFrame) -> DataFrame:
     return stored(parts.groupBy("word", "unit").agg(F.sum("n").alias("n")))
 
 
+def most_frequent(words: DataFrame, most: int) -> list[tuple[bytes, int, int]]:
+    """``(word, unit, n)`` of highest count, at most ``most``: all whose count lies above a cut.
+
+    The cut falls between eighths of powers of two, found from how many words lie in each; so only
+    the words wanted reach the driver, not the best of every task.
+    """
+    eighth = F.floor(F.log2("n") * 8)
+    taken, cut = 0, None
+    for e, k in sorted(words.groupBy(eighth.alias("e")).count().collect(), reverse=True):
+        taken += k
+        if taken > most:
+            break
+        cut = e
+    if cut is None:
+        return []
+    found = words.where(eighth >= cut).select("word", "unit", "n").toPandas()
+    found = found.sort_values(["n", "word"], ascending=[False, True])
+    return [(bytes(w), int(u), int(n)) for w, u, n in zip(found["word"], found["unit"], found["n"])]
+
+
 class _Numbers(dict):
     """Word → item number; words outside the list get their unit's number, and are remembered."""
 
@@ -219,22 +239,20 @@ def fit(training: DataFrame, words: DataFrame, rounds: int = ROUNDS) -> ClassMod
         F.sum((F.col("n") == 1).cast("long")), F.sum((F.col("n") == 2).cast("long")),
     ).first()
     tokens, distinct, once, twice = (int(x or 0) for x in totals)
-    top = (
-        words.where(~ends).orderBy(F.desc("n"), "word").limit(ITEMS - 1).select("word", "unit", "n").collect()
-    )
+    top = most_frequent(words.where(~ends), ITEMS - 1)
     per_unit = {
         u: (n, k)
         for u, n, k in words.where(~ends).groupBy("unit").agg(F.sum("n"), F.count("*")).collect()
     }
-    head = [END, *[bytes(r.word) for r in top]]
+    head = [END, *[w for w, _, _ in top]]
     unit_tokens, unit_words = np.zeros(UNITS), np.zeros(UNITS)
     for u, (n, k) in per_unit.items():
         unit_tokens[u], unit_words[u] = n, k
-    for r in top:
-        unit_tokens[r.unit] -= r.n
-        unit_words[r.unit] -= 1
+    for _, u, n in top:
+        unit_tokens[u] -= n
+        unit_words[u] -= 1
     texts = tokens - sum(n for n, _ in per_unit.values())
-    counts = np.r_[texts, [r.n for r in top], unit_tokens].astype(float)
+    counts = np.r_[texts, [n for _, _, n in top], unit_tokens].astype(float)
     items = len(counts)
 
     # the most frequent words start alone, all other items together
@@ -342,10 +360,8 @@ def score_documents(
     training = read.where(~F.col("held_out"))
     words = vocabulary(training)
     model = fit(training, words, rounds)
-    frequent = words.orderBy(F.desc("n"), "word").limit(max(ITEMS, LOOKUP)).select("word", "n").toPandas()
-    counts = {bytes(w): int(n) for w, n in zip(frequent["word"], frequent["n"])}
+    counts = {w: n for w, _, n in most_frequent(words, max(ITEMS, LOOKUP))}
     counts.setdefault(END, 0)
-    del frequent
     parts = stored(_parts(read, model, counts))
 
     spark = docs.sparkSession
