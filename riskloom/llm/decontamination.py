@@ -213,7 +213,8 @@ def leaks(
         .groupBy("key", "item_id", "item_words")
         .agg(F.max(best).alias("best"))
         .select(
-            "key", "item_id", (-F.col("best.back")).alias("start_word"), "item_words",
+            "key", "item_id", (-F.col("best.back")).cast("long").alias("start_word"),
+            F.col("item_words").cast("long").alias("item_words"),
             F.col("best.similarity").alias("similarity"),
         )
     )

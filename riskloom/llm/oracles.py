@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskloom.llm import licenses, quality_rules
+from riskloom.llm import decontamination, licenses, quality_rules
 
 _SPACE = r"[\x20\x09-\x0D]"
 
@@ -106,3 +106,34 @@ SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) A
  CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
  coalesce(array_to_string(base, ','), '') AS base_labels, coalesce(array_to_string(every, ','), '') AS labels,
  coalesce(score, 0.0) AS score FROM d LEFT JOIN by_text USING (rid)"""
+
+
+def leak_sql() -> str:
+    """Windows and items that reach the similarity, found without fingerprints."""
+    d = decontamination
+    split = r"list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '')"
+    return f"""
+WITH items AS (SELECT DISTINCT item_id, words, len(words) AS item_words, least({d.SHINGLE}, len(words)) AS width,
+  len(words) - least({d.SHINGLE}, len(words)) + 1 AS places FROM (SELECT item_id, {split} AS words FROM benchmark) b
+  WHERE len(words) > 0),
+held AS (SELECT row_number() OVER () AS no, * FROM items),
+item_grams AS (SELECT no, width, places, words[k:k + width - 1] AS gram, count(*) AS n
+  FROM (SELECT *, unnest(range(1, places + 1)) AS k FROM held) h GROUP BY no, width, places, gram),
+docs AS (SELECT row_number() OVER () AS rid, doc_id, {split} AS words FROM documents),
+grams AS (SELECT rid, width, k - 1 AS pos, words[k:k + width - 1] AS gram FROM (
+  SELECT rid, words, width, unnest(range(1, len(words) - width + 2)) AS k
+  FROM docs, (SELECT DISTINCT width FROM held) w) u),
+hits AS (SELECT DISTINCT rid, no, places, pos FROM grams JOIN item_grams USING (width, gram)),
+starts AS (SELECT a.rid, a.no, a.pos AS start FROM hits a JOIN hits b ON a.rid = b.rid AND a.no = b.no
+  AND b.pos BETWEEN a.pos AND a.pos + a.places - 1
+  GROUP BY a.rid, a.no, a.pos, a.places HAVING count(*) >= ceil({d.LEAST} * a.places)),
+counted AS (SELECT s.rid, s.no, s.start, g.gram, count(*) AS n FROM starts s JOIN held h USING (no)
+  JOIN grams g ON g.rid = s.rid AND g.width = h.width AND g.pos BETWEEN s.start AND s.start + h.places - 1
+  GROUP BY s.rid, s.no, s.start, g.gram),
+sums AS (SELECT c.rid, c.no, c.start, sum(c.n) AS own, sum(least(c.n, coalesce(i.n, 0))) AS common
+  FROM counted c LEFT JOIN item_grams i ON i.no = c.no AND i.gram = c.gram GROUP BY c.rid, c.no, c.start),
+scored AS (SELECT rid, no, start, common / (own + places - common) AS similarity FROM sums JOIN held USING (no)),
+best AS (SELECT *, row_number() OVER (PARTITION BY rid, no ORDER BY similarity DESC, start) AS nth FROM scored
+  WHERE similarity >= {d.LEAST})
+SELECT doc_id, item_id, CAST(start AS BIGINT) AS start_word, CAST(item_words AS BIGINT) AS item_words, similarity
+FROM best JOIN docs USING (rid) JOIN held USING (no) WHERE nth = 1"""

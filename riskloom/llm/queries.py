@@ -33,5 +33,6 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op3_quality_rules": oracles.quality_sql(),
+    "op4_decontamination": oracles.leak_sql(),
     "op7_license_scan": oracles.license_sql(),
 }
