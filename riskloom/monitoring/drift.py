@@ -7,10 +7,16 @@ distance (natural logarithm), and the chi-square statistic of the two count rows
 
 from __future__ import annotations
 
+import json
+import uuid
+from datetime import datetime, timezone
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskloom.operators.cumulative import CELL, ranged, running_sums
+from riskloom.schema import DRIFT_REPORTS
 
 # The monitored features.
 NUMERIC_FEATURES = [
@@ -244,3 +250,43 @@ def detect_drift(spark: SparkSession, current: DataFrame, batch_id: str, referen
             for r in columns
         },
     }
+
+
+# --- reports as a table -----------------------------------------------------------------------
+
+
+def period(df: DataFrame, time_column: str = "timestamp") -> tuple:
+    """First and last time of a table; nulls where it has no such column."""
+    if time_column not in df.columns:
+        return None, None
+    return tuple(df.agg(F.min(time_column), F.max(time_column)).first())
+
+
+def store_report(
+    spark: SparkSession,
+    path: str,
+    report: dict,
+    report_type: str,
+    *,
+    reference_period: tuple = (None, None),
+    current_period: tuple = (None, None),
+    created_at: datetime | None = None,
+) -> None:
+    """Append a report of :func:`detect_drift` or of the performance monitor to the report table."""
+    share = report.get("drift_share")
+    row = (
+        uuid.uuid4().hex,
+        report["batch_id"],
+        created_at or datetime.now(timezone.utc),
+        report_type,
+        *reference_period,
+        *current_period,
+        report.get("drift_detected"),
+        None if share is None else Decimal(f"{share:.4f}"),
+        json.dumps(report, default=str, sort_keys=True),
+    )
+    spark.createDataFrame([row], DRIFT_REPORTS).coalesce(1).write.mode("append").parquet(path)
+
+
+def read_reports(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(DRIFT_REPORTS).parquet(path)

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.session import checkpointed
+
 # Stored windows in hours, and entity types with their key column.
 STORE_WINDOWS = {"1H": 1, "24H": 24, "7D": 168, "30D": 720}
 ENTITY_COLUMNS = {"CARD": "card_id", "MERCHANT": "merchant_id", "CUSTOMER": "customer_id"}
@@ -109,3 +111,74 @@ def retained(df: DataFrame, table: str, as_of: datetime, *, time_column: str = "
 def erased(df: DataFrame, requests: DataFrame, *, key: str = "transaction_id") -> DataFrame:
     """The table without the rows whose id is on the erasure list."""
     return df.join(requests.select(key), key, "left_anti")
+
+
+# --- stored tables ----------------------------------------------------------------------------
+#
+# Tables are Parquet folders partitioned by a date column. Only partitions that lose rows are
+# touched: whole ones are removed, others rewritten from a copy in the checkpoint folder.
+
+
+def _remove_partitions(spark: SparkSession, path: str, column: str, values: list) -> None:
+    jvm = spark.sparkContext._jvm
+    for value in values:
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={value}")
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _rewrite(kept: DataFrame, path: str, column: str) -> None:
+    copy = checkpointed(kept)  # the files being replaced are the ones being read
+    copy.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
+
+
+def retain_stored(
+    spark: SparkSession,
+    path: str,
+    table: str,
+    as_of: datetime,
+    *,
+    time_column: str = "timestamp",
+    date_column: str = "date",
+) -> None:
+    """Apply a table's retention period to its stored rows.
+
+    Dates wholly before the period go by name, without being read; the date the period begins in is
+    rewritten if it loses rows.
+    """
+    since = as_of - timedelta(days=RETENTION_DAYS[table])
+    rows = spark.read.parquet(path)
+    day = F.col(date_column).cast("date")
+    old = [r[0] for r in rows.where(day < F.lit(since.date())).select(date_column).distinct().collect()]
+    edge = rows.where(day == F.lit(since.date()))
+    kept = edge.where(F.col(time_column) >= F.lit(since))
+    if edge.where(F.col(time_column) < F.lit(since)).limit(1).count():
+        if kept.limit(1).count():
+            _rewrite(kept, path, date_column)
+        else:
+            old += [r[0] for r in edge.select(date_column).distinct().collect()]
+    _remove_partitions(spark, path, date_column, old)
+
+
+def erase_stored(
+    spark: SparkSession,
+    path: str,
+    requests: DataFrame,
+    *,
+    key: str = "transaction_id",
+    date_column: str = "date",
+) -> list:
+    """Remove the rows of an erasure list from a stored table; returns the dates that lost rows."""
+    rows = spark.read.parquet(path)
+    asked = requests.select(key).distinct()
+    # one value per date that is hit
+    hit = [r[0] for r in rows.select(key, date_column).join(asked, key, "left_semi").select(date_column).distinct().collect()]
+    if not hit:
+        return []
+    kept = checkpointed(erased(rows.where(F.col(date_column).isin(hit)), asked, key=key))
+    left = [r[0] for r in kept.select(date_column).distinct().collect()]
+    if left:
+        kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            date_column
+        ).parquet(path)
+    _remove_partitions(spark, path, date_column, [v for v in hit if v not in left])
+    return hit

@@ -8,9 +8,9 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from riskloom.models.ensemble import EnsembleScorer
-from riskloom.monitoring import quality
+from riskloom.monitoring import drift, evaluation, quality
 from riskloom.operators import feature_store as store
-from riskloom.operators import injection
+from riskloom.operators import injection, sampling
 from riskloom.operators.features import FeatureGroups, feature_names, with_features
 from riskloom.plans.fixtures import Tables
 from riskloom.plans.registry.core import plain, query, rnd
@@ -277,6 +277,78 @@ def _(t: Tables):
     return store.erased(t.txn, t.txn.where("is_fraud")).select("transaction_id")
 
 
+def _dated(t: Tables, name: str) -> str:
+    """Transactions as a stored table, one folder for each date."""
+    path = _folder(t, name)
+    t.txn.withColumn("date", F.to_date("timestamp")).write.partitionBy("date").parquet(path)
+    return path
+
+
+@query(
+    "p3_retention_stored",
+    "SELECT transaction_id, timestamp FROM txn WHERE timestamp >= TIMESTAMP '2026-01-15 12:00:00' - INTERVAL 730 DAY",
+    ("txn",),
+)
+def _(t: Tables):
+    """Whole dates are removed, the date the period begins in is rewritten."""
+    path = _dated(t, "retained")
+    store.retain_stored(t.spark, path, "transactions", datetime(2026, 1, 15, 12))
+    return plain(t.spark.read.parquet(path).select("transaction_id", "timestamp"))
+
+
+@query("p4_erasure_stored", "SELECT transaction_id, amount FROM txn WHERE NOT is_fraud", ("txn",))
+def _(t: Tables):
+    path = _dated(t, "erased")
+    store.erase_stored(t.spark, path, t.txn.where("is_fraud"))
+    return plain(t.spark.read.parquet(path).select("transaction_id", "amount"))
+
+
+@query(
+    "o_drift_report_table",
+    """SELECT 'first' AS batch_id, 'DATA_DRIFT' AS report_type, min(timestamp) AS current_start,
+      max(timestamp) AS current_end, false AS compared, CAST(NULL AS BIGINT) AS columns FROM txn
+      WHERE timestamp < TIMESTAMP '2024-01-16 00:00:00'
+    UNION ALL SELECT 'second', 'DATA_DRIFT', min(timestamp), max(timestamp), true, 14 FROM txn
+      WHERE timestamp >= TIMESTAMP '2024-01-16 00:00:00'""",
+    ("txn",),
+)
+def _(t: Tables):
+    """The first batch becomes the reference, the second is compared; both reports are stored."""
+    folder = _folder(t, "drift")
+    matrix = checkpointed(with_features(t.txn, keep=("transaction_id", "timestamp")))
+    cut = F.lit("2024-01-16 00:00:00").cast("timestamp")
+    for name, rows in (("first", F.col("timestamp") < cut), ("second", F.col("timestamp") >= cut)):
+        batch = matrix.where(rows)
+        report = drift.detect_drift(t.spark, batch, name, f"{folder}/reference")
+        drift.store_report(
+            t.spark, f"{folder}/reports", report, "DATA_DRIFT", current_period=drift.period(batch)
+        )
+    found = drift.read_reports(t.spark, f"{folder}/reports")
+    return plain(
+        found.select(
+            "batch_id", "report_type", "current_start", "current_end",
+            F.col("drift_score").isNotNull().alias("compared"),
+            F.get_json_object("metrics", "$.n_columns").cast("bigint").alias("columns"),
+        )
+    )
+
+
+@query("n9_quality_after_injection", "SELECT true AS ranks_frauds_first, true AS beats_the_share")
+def _(t: Tables):
+    """Inject anomalies, fit on one part, score the other: injected rows rank first."""
+    rows = injection.inject(_with_address(t), injection.AnomalyMix(rate=0.05)).select(*t.txn.columns)
+    matrix = checkpointed(with_features(rows, keep=("transaction_id", "timestamp", "is_fraud")))
+    split = checkpointed(sampling.stratified_split(matrix))
+    names = feature_names(t.txn.columns)
+    scorer = EnsembleScorer().fit(split.where("NOT is_test"), names)
+    scored = scorer.score(split.where("is_test"))
+    metrics = evaluation.ranking_metrics(scored)
+    share = scored.agg(F.avg(F.col("is_fraud").cast("double"))).scalar()
+    return metrics.select(
+        (F.col("roc_auc") > 0.6).alias("ranks_frauds_first"), (F.col("pr_auc") > share).alias("beats_the_share")
+    )
+
+
 # --- anomaly injection ------------------------------------------------------------------------
 
 

@@ -46,6 +46,21 @@ TRANSACTIONS = _struct(
 #: Values a row gets when its source leaves the column out.
 TRANSACTION_DEFAULTS = {"currency": "USD", "is_online": True, "data_source": "UNKNOWN"}
 
+#: One row per report: data drift or model performance of a batch. ``metrics`` is JSON.
+DRIFT_REPORTS = _struct(
+    ("report_id", _STRING, False),
+    ("batch_id", _STRING, False),
+    ("created_at", _TS, False),
+    ("report_type", _STRING, False),
+    ("reference_start", _TS, True),
+    ("reference_end", _TS, True),
+    ("current_start", _TS, True),
+    ("current_end", _TS, True),
+    ("drift_detected", _BOOL, True),
+    ("drift_score", T.DecimalType(5, 4), True),
+    ("metrics", _STRING, True),
+)
+
 REASON = _struct(
     ("model", _STRING, True),
     ("rule", _STRING, True),
