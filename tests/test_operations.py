@@ -182,3 +182,80 @@ def test_stream_drops_repeats(spark, tables, tmp_path):
     query = stream.writeStream.format("memory").queryName("unique_rows").trigger(availableNow=True).start()
     query.awaitTermination()
     assert spark.table("unique_rows").count() == tables.txn.count()
+
+
+# --- chunks, audit, stored tables ---------------------------------------------------------------
+
+
+def test_chunks_have_their_size_even_for_equal_rows(spark):
+    rows = spark.range(90).selectExpr("1 AS a", "'x' AS _chunk").repartition(7)
+    chunks = list(store_tables.parts(rows, 30))
+    assert [c.count() for c in chunks] == [30, 30, 30]
+    assert all(c.columns == ["a", "_chunk"] for c in chunks)
+    assert [c.count() for c in store_tables.parts(rows.limit(31), 30)] == [30, 1]
+    assert [c.count() for c in store_tables.parts(rows.limit(0), 30)] == [0]
+    numbered = spark.range(1000).repartition(5)
+    seen = [r.id for c in store_tables.parts(numbered, 64) for r in c.collect()]
+    assert sorted(seen) == list(range(1000))
+
+
+def test_failed_step_keeps_the_whole_message_and_its_facts(spark, tmp_path):
+    log = AuditLog(spark, str(tmp_path / "audit"))
+    with pytest.raises(ValueError):
+        with log.step("b1", "SCORE") as facts:
+            facts["records_processed"] = 7
+            facts["metadata"] = {"why": "test"}
+            raise ValueError("x" * 5000)
+    (failed,) = log.read().where("status = 'FAILED'").collect()
+    assert failed.error_message == "x" * 5000
+    assert failed.records_processed == 7 and "test" in failed.metadata
+
+
+def test_stored_tables_lose_only_what_they_must(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    start = datetime(2024, 1, 1)
+    rows = [(f"t{i}", start + timedelta(hours=6 * i)) for i in range(40)]
+    df = spark.createDataFrame(rows, "transaction_id string, timestamp timestamp")
+    df.selectExpr("*", "to_date(timestamp) AS date").write.partitionBy("date").parquet(path)
+
+    def left():
+        return {r.transaction_id for r in spark.read.parquet(path).collect()}
+
+    def files():
+        return {p: p.stat().st_mtime_ns for p in (tmp_path / "rows").rglob("*.parquet")}
+
+    before = files()
+    hit = feature_store.erase_stored(spark, path, spark.createDataFrame([("t4",), ("t5",), ("t6",), ("t7",), ("t20",)], "transaction_id string"))
+    assert sorted(map(str, hit)) == ["2024-01-02", "2024-01-06"]
+    assert left() == {f"t{i}" for i in range(40)} - {"t4", "t5", "t6", "t7", "t20"}
+    untouched = {p for p in before if "2024-01-06" not in str(p) and "2024-01-02" not in str(p)}
+    assert all(files()[p] == before[p] for p in untouched)
+    assert feature_store.erase_stored(spark, path, df.where("transaction_id = 'none'")) == []
+    feature_store.retain_stored(spark, path, "feature_store", datetime(2024, 2, 2, 9))
+    assert left() == {f"t{i}" for i in range(40) if rows[i][1] >= datetime(2024, 1, 3, 9)} - {"t20"}
+
+
+def test_every_tree_takes_rows_with_one_probability(spark):
+    from riskloom.models.forest import IsolationForest
+
+    model = IsolationForest(n_estimators=40, max_samples=16)
+    model.sample_size, model.features = 16, ["x"]
+    for n in (50, 3000):
+        df = spark.range(n).selectExpr("cast(id AS string) AS transaction_id", "cast(id AS double) AS x")
+        drawn = model._samples(df, n)
+        assert drawn.count() == drawn.select("tree", "_id").distinct().count()
+        sizes = [r["count"] for r in drawn.groupBy("tree").count().collect()]
+        want = min(n, 1.5 * 16 + 50)
+        assert len(sizes) == 40 and abs(sum(sizes) / 40 - want) < 0.15 * want + 1
+        assert {(r.tree, r._id) for r in drawn.collect()} == {(r.tree, r._id) for r in drawn.repartition(5).collect()}
+
+
+def test_split_is_exact_when_hashes_tie(spark):
+    from riskloom.operators.sampling import stratified_split
+
+    rows = [("same", True)] * 50 + [(f"t{i}", i % 3 == 0) for i in range(200)]
+    df = spark.createDataFrame(rows, "transaction_id string, is_fraud boolean")
+    out = stratified_split(df, 0.3)
+    assert out.count() == 250
+    for r in out.groupBy("is_fraud").agg(F.count("*").alias("n"), F.sum(F.col("is_test").cast("int")).alias("t")).collect():
+        assert r.t == int(r.n * 0.3 + 0.5)
