@@ -39,19 +39,32 @@ def missing_columns(df: DataFrame) -> list[str]:
     return [c for c in REQUIRED_COLUMNS if c not in df.columns]
 
 
-def _nulls(column: str) -> Column:
-    return F.coalesce(F.sum(F.col(column).isNull().cast("bigint")), F.lit(0))
+def _counters(df: DataFrame) -> DataFrame:
+    """All counts of both suites as one row, from one pass.
 
-
-def _outside(low: float, high: float) -> Column:
-    amount = F.col("amount").cast("double")
-    out = (amount < low) | (amount > high)
-    return F.coalesce(F.sum(F.coalesce(out, F.lit(False)).cast("bigint")), F.lit(0))
-
-
-def _repeats(df: DataFrame, key: str) -> DataFrame:
-    """Rows per key value; the partial counts leave each map task once per value."""
-    return df.groupBy(key).agg(F.count("*").alias("_n"))
+    Rows are counted by id first (partial counts leave each map task once per id), so that
+    uniqueness and everything else come from the same aggregation.
+    """
+    present = df.columns
+    counts = [F.count("*").alias("rows")]
+    counts += [
+        F.sum(F.col(c).isNull().cast("bigint")).alias(f"null_{c}") for c in REQUIRED_COLUMNS if c in present
+    ]
+    if "amount" in present:
+        amount = F.col("amount").cast("double")
+        out = (amount < AMOUNT_RANGE[0]) | (amount > AMOUNT_RANGE[1])
+        counts.append(F.sum(F.coalesce(out, F.lit(False)).cast("bigint")).alias("outside"))
+    if "transaction_id" not in present:
+        one = df.agg(*counts)
+        return one.select(*[F.coalesce(c, F.lit(0)).alias(c) for c in one.columns])
+    per_id = df.groupBy("transaction_id").agg(*counts)
+    known = F.col("transaction_id").isNotNull()
+    names = [c for c in per_id.columns if c != "transaction_id"]
+    return per_id.agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names],
+        F.count("*").alias("ids"),
+        F.coalesce(F.sum(F.when(known & (F.col("rows") > 1), F.col("rows"))), F.lit(0)).alias("repeated"),
+    )
 
 
 def _rows(counters: DataFrame, entries: list[tuple[str, str, Column]]) -> DataFrame:
@@ -78,23 +91,7 @@ def _rows(counters: DataFrame, entries: list[tuple[str, str, Column]]) -> DataFr
     )
 
 
-def expectation_suite(df: DataFrame) -> DataFrame:
-    """The twelve expectations with unexpected counts.
-
-    Uniqueness counts every row of a repeated non-null id. An expectation on a missing column fails.
-    """
-    present = df.columns
-    counts = [_nulls(c).alias(f"null_{c}") for c in REQUIRED_COLUMNS if c in present]
-    if "amount" in present:
-        counts.append(_outside(*AMOUNT_RANGE).alias("outside"))
-    counters = df.agg(*counts) if counts else df.sparkSession.range(1)
-    if "transaction_id" in present:
-        repeated = _repeats(df.where(F.col("transaction_id").isNotNull()), "transaction_id")
-        repeated = repeated.agg(
-            F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n"))), F.lit(0)).alias("repeated")
-        )
-        counters = counters.select("*", repeated.scalar().alias("repeated"))
-
+def _expectations(present: list[str]) -> list[tuple[str, str, Column]]:
     def unexpected(expectation: str, column: str) -> Column:
         if column not in present:
             return F.lit(1)
@@ -104,35 +101,38 @@ def expectation_suite(df: DataFrame) -> DataFrame:
             return F.col(f"null_{column}")
         return F.col("repeated") if expectation == _UNIQUE else F.col("outside")
 
-    return _rows(counters, [(e, c, unexpected(e, c)) for e, c in SUITE])
+    return [(e, c, unexpected(e, c)) for e, c in SUITE]
 
 
-def basic_suite(df: DataFrame) -> DataFrame:
-    """Column checks, NULL and duplicate ids, amounts out of range or missing.
-
-    Duplicates are rows beyond the first of each id, NULL counting as one id.
-    """
-    present = df.columns
+def _basic_checks(present: list[str]) -> list[tuple[str, str, Column]]:
     entries = [("column_exists", c, F.lit(0 if c in present else 1)) for c in REQUIRED_COLUMNS]
-    counts = [F.count("*").alias("rows")]
     if "transaction_id" in present:
-        counts.append(_nulls("transaction_id").alias("null_ids"))
-    if "amount" in present:
-        counts += [_outside(*AMOUNT_RANGE).alias("outside"), _nulls("amount").alias("null_amounts")]
-    counters = df.agg(*counts)
-    if "transaction_id" in present:
-        ids = _repeats(df, "transaction_id").agg(F.count("*").alias("ids"))
-        counters = counters.select("*", ids.scalar().alias("ids"))
         entries += [
-            ("no_null_transaction_ids", "transaction_id", F.col("null_ids")),
+            ("no_null_transaction_ids", "transaction_id", F.col("null_transaction_id")),
             ("unique_transaction_ids", "transaction_id", F.col("rows") - F.col("ids")),
         ]
     if "amount" in present:
         entries += [
             ("valid_amount_range", "amount", F.col("outside")),
-            ("no_null_amounts", "amount", F.col("null_amounts")),
+            ("no_null_amounts", "amount", F.col("null_amount")),
         ]
-    return _rows(counters, entries)
+    return entries
+
+
+def expectation_suite(df: DataFrame) -> DataFrame:
+    """The twelve expectations with unexpected counts.
+
+    Uniqueness counts every row of a repeated non-null id. An expectation on a missing column fails.
+    """
+    return _rows(_counters(df), _expectations(df.columns))
+
+
+def basic_suite(df: DataFrame) -> DataFrame:
+    """Column checks, NULL and duplicate ids, amounts out of range or missing.
+
+    Duplicates are rows beyond the first of each id, NULL counting as one id.
+    """
+    return _rows(_counters(df), _basic_checks(df.columns))
 
 
 def validate(
@@ -140,10 +140,12 @@ def validate(
 ) -> dict:
     """Run a suite and return its outcome; ``strict`` raises when anything failed.
 
-    Only the suite's own dozen result rows reach the driver.
+    One pass; only the suite's own dozen result rows, and the row count, reach the driver.
     """
-    checks = expectation_suite(df) if suite == "expectations" else basic_suite(df)
-    rows: list[Row] = checks.orderBy("position").collect()
+    chosen = _expectations if suite == "expectations" else _basic_checks
+    entries_and_count = [*chosen(df.columns), ("rows", "", F.col("rows"))]
+    rows: list[Row] = _rows(_counters(df), entries_and_count).orderBy("position").collect()
+    n_rows = rows.pop()["unexpected_count"]
     entries = [
         {
             "expectation": r["expectation"],
@@ -168,7 +170,7 @@ def validate(
     result = {
         "batch_id": batch_id,
         "timestamp": datetime.now(timezone.utc).isoformat(),
-        "n_rows": df.count(),
+        "n_rows": n_rows,
         "success": not failed,
         "expectations": entries,
         "failed_expectations": failed,
@@ -239,7 +241,7 @@ def batch_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 def batch_quality(df: DataFrame) -> DataFrame:
     """Rows, duplicate rate of the ids, and whether all required columns are there."""
-    per_id = _repeats(df, "transaction_id")
+    per_id = df.groupBy("transaction_id").agg(F.count("*").alias("_n"))
     return per_id.agg(
         F.sum("_n").alias("rows"),
         ((F.sum("_n") - F.count("*")) / F.sum("_n")).alias("duplicate_rate"),
