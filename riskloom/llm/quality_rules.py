@@ -15,6 +15,7 @@ from riskloom.llm.common import SPACE, stored, table
 
 #: Commonest words of a language that make its histogram; all others share one bin.
 TERMS = 24
+SHARES = 32
 MIN_WORDS = 50
 MAX_CHAR_DISTANCE = 0.30
 MAX_WORD_DISTANCE = 0.50
@@ -122,9 +123,14 @@ def common_words(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     )
     pooled = words.groupBy("word").agg(F.sum("n").alias("n"))
     every = own.union(pooled.select(F.lit(ALL).alias("tongue"), "word", "n"))
-    order = Window.partitionBy("tongue").orderBy(F.desc("n"), "word")
-    # a row_number with a bound keeps only the first rows of each task before anything is shuffled
-    top = every.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= TERMS)
+    # the best of each hash share first, so that a language's last ranking has SHARES * TERMS rows,
+    # however many tasks there were; bounded row numbers also cut each task before the shuffle
+    share = F.pmod(F.xxhash64("word"), F.lit(SHARES))
+    order = [F.desc("n"), "word"]
+    within = F.row_number().over(Window.partitionBy("tongue", "share").orderBy(*order))
+    top = every.withColumn("share", share).withColumn("nth", within).where(F.col("nth") <= TERMS)
+    overall = F.row_number().over(Window.partitionBy("tongue").orderBy(*order))
+    top = top.withColumn("nth", overall).where(F.col("nth") <= TERMS)
     total = every.groupBy("tongue").agg(F.sum("n").alias("total"))
     listed = top.groupBy("tongue").agg(
         F.array_sort(F.collect_list(F.struct("nth", "word", "n"))).alias("top")
