@@ -29,7 +29,8 @@ FAMILIES = {
 
 UNKNOWN = "und"
 BUCKETS = 1 << 12
-#: Bounds of the training sample: rows a language, and rows in all.
+#: Bounds of the training sample: languages (those with most rows), rows a language, rows in all.
+LANGUAGES = 300
 ROWS_PER_LANGUAGE = 400
 ROWS_IN_ALL = 6000
 
@@ -135,8 +136,10 @@ def fit(docs: DataFrame, penalty: float = 1e-5) -> LanguageModel:
     labelled = docs.where(
         F.col("lang").isNotNull() & F.col("text").isNotNull() & (remainder(F.col("doc_id"), 5) != 0)
     ).select("doc_id", "text", "lang")
-    known = labelled.select("lang").distinct().count()
-    share = max(1, min(ROWS_PER_LANGUAGE, ROWS_IN_ALL // max(1, known)))
+    most = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
+    known = [r.lang for r in most.collect()]
+    labelled = labelled.where(F.col("lang").isin(known))
+    share = max(1, min(ROWS_PER_LANGUAGE, ROWS_IN_ALL // max(1, len(known))))
 
     @pandas_udf("binary")
     def packed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -204,7 +207,7 @@ def identify(docs: DataFrame, model: LanguageModel | None = None) -> DataFrame:
     ``und`` with score 0 stands for a null text, a text without letters, or a table without labelled
     rows. Repeated rows are kept; a null id counts as empty text for ``held_out``; columns other than
     ``doc_id``, ``text`` and (to learn) ``lang`` are not read. The sample's bounds are
-    ``ROWS_PER_LANGUAGE`` and ``ROWS_IN_ALL``.
+    ``LANGUAGES``, ``ROWS_PER_LANGUAGE`` and ``ROWS_IN_ALL``; a language beyond the first is not learned.
     """
     model = model or fit(docs)
     found = docs.select(
