@@ -27,8 +27,8 @@ RETENTION_DAYS = {
 def materialise(txns: DataFrame, as_of: datetime, *, valid_hours: int = 24) -> DataFrame:
     """One row per (entity type, entity, window) with the window's features in a map.
 
-    Every transaction is counted for its entities and windows before the shuffle, so a busy entity
-    sends one partial row per task.
+    A transaction becomes one row per entity; the windows are conditional aggregates of the same
+    group, so a busy entity sends one partial row per task and windows multiply nothing.
     """
     longest = max(STORE_WINDOWS.values())
     age = (F.unix_micros(F.lit(as_of).cast("timestamp")) - F.unix_micros("timestamp")) / 3.6e9
@@ -43,26 +43,35 @@ def materialise(txns: DataFrame, as_of: datetime, *, valid_hours: int = 24) -> D
             if c in txns.columns
         ]
     )
+    amount = F.col("amount").cast("double")
+    long = recent.select(
+        amount.alias("amount"), age.alias("age"), F.explode(entities).alias("e")
+    ).where("e.entity_id IS NOT NULL")
+    aggregates = []
+    for w, h in STORE_WINDOWS.items():
+        inside = F.col("age") <= float(h)
+        aggregates += [
+            F.count(F.when(inside, 1)).alias(f"n_{w}"),
+            F.sum(F.when(inside, F.col("amount"))).alias(f"total_{w}"),
+            F.avg(F.when(inside, F.col("amount"))).alias(f"mean_{w}"),
+            F.max(F.when(inside, F.col("amount"))).alias(f"largest_{w}"),
+        ]
     windows = F.array(
         *[
-            F.struct(F.lit(w).alias("feature_window"), F.lit(float(h)).alias("hours"))
-            for w, h in STORE_WINDOWS.items()
+            F.struct(
+                F.lit(w).alias("feature_window"),
+                F.col(f"n_{w}").cast("double").alias("n"),
+                *[F.col(f"{x}_{w}").alias(x) for x in ("total", "mean", "largest")],
+            )
+            for w in STORE_WINDOWS
         ]
     )
-    amount = F.col("amount").cast("double")
-    long = (
-        recent.select(
-            amount.alias("amount"), age.alias("age"), F.explode(entities).alias("e")
-        )
-        .where("e.entity_id IS NOT NULL")
-        .select("amount", "age", "e", F.explode(windows).alias("w"))
-        .where(F.col("age") <= F.col("w.hours"))
-    )
-    grouped = long.groupBy("e.entity_type", "e.entity_id", "w.feature_window").agg(
-        F.count("*").cast("double").alias("n"),
-        F.sum("amount").alias("total"),
-        F.avg("amount").alias("mean"),
-        F.max("amount").alias("largest"),
+    grouped = (
+        long.groupBy("e.entity_type", "e.entity_id")
+        .agg(*aggregates)
+        .select("entity_type", "entity_id", F.explode(windows).alias("w"))
+        .select("entity_type", "entity_id", "w.*")
+        .where("n > 0")
     )
     features = F.create_map(
         F.lit("txn_count"), F.col("n"),

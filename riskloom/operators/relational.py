@@ -79,9 +79,14 @@ def card_velocity(
     """Point-in-time card velocity for a table of (request_id, card_id, reference_time).
 
     Requests and transactions share one time line per card, so the window is a trailing window and
-    no request-by-transaction pairs are formed. Requests without history get zeros.
+    no request-by-transaction pairs are formed. Only facts of the asked cards, between the first
+    window's start and the last request, enter it. Requests without history get zeros.
     """
-    facts = txns.select(
+    first, last = requests.agg(F.min("reference_time"), F.max("reference_time")).first()
+    reach = F.lit(first).cast("timestamp") - F.expr(f"INTERVAL {int(window_hours)} HOURS")
+    inside = (F.col("timestamp") >= reach) & (F.col("timestamp") < F.lit(last).cast("timestamp"))
+    asked = requests.where(F.col("card_id").isNotNull()).select("card_id").distinct()
+    facts = txns.where(inside).join(asked, "card_id", "left_semi").select(
         F.col("transaction_id").alias("_row"),
         "card_id",
         F.col("timestamp").alias("_at"),
