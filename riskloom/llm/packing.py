@@ -28,7 +28,7 @@ from riskloom.llm.common import stored, table
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
-_CACHED_WORDS = 500_000
+_CACHED_WORDS = 250_000
 _CACHED_LENGTH = 64
 #: Byte-level vocabularies write a byte that has no printable Latin-1 character as one from 256 on.
 _PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
