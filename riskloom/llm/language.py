@@ -18,7 +18,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from riskloom.llm.common import bounded_sample, fresh, remainder, squared_hinge, table
+from riskloom.llm.common import (
+    bounded_sample,
+    fresh,
+    give_back_memory,
+    remainder,
+    squared_hinge,
+    table,
+)
 
 # Families of languages by ISO 639-1 code.
 FAMILIES = {
@@ -189,14 +196,15 @@ def predicted(text: Column, model: LanguageModel) -> Column:
         for batch in batches:
             lang = np.full(len(batch), UNKNOWN, object)
             score = np.zeros(len(batch))
-            for at in range(0, len(batch), 512):
-                rows = [features(t) for t in batch.iloc[at : at + 512]]
+            for at in range(0, len(batch), 256):
+                rows = [features(t) for t in batch.iloc[at : at + 256]]
                 have = [k for k, r in enumerate(rows) if r is not None]
                 if have and model.languages:
                     best, sure = model.predict(np.stack([rows[k] for k in have]))
                     lang[at + np.array(have)] = np.array(model.languages, object)[best]
                     score[at + np.array(have)] = sure
             yield pd.DataFrame({"lang_pred": lang, "score": score})
+        give_back_memory()
 
     return predict(text)
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from riskloom.llm.common import stored, table
+from riskloom.llm.common import give_back_memory, stored, table
 
 VOCABULARY = "word_bpe_49k.json"
 END_ID = 1
@@ -107,6 +107,7 @@ def pieces(docs: DataFrame, path: str, size: int = 4096, end_id: int = END_ID) -
                     [dict(zip(("piece", "start", "length", "ids_crc32"), row)) for row in rows]
                 )
             yield pd.Series(out)
+        give_back_memory()
 
     return docs.select("doc_id", F.explode(cut("text")).alias("p")).select("doc_id", "p.*")
 

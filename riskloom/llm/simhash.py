@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from riskloom.llm.common import encoded, fresh, stored, table
+from riskloom.llm.common import encoded, fresh, give_back_memory, stored, table
 
 _PIECE = 1 << 15
 _FANOUT = 8
@@ -60,6 +60,7 @@ def fingerprint_column(text: Column, words: int = 4) -> Column:
         for batch in batches:
             out = np.array([fingerprint(t, words) for t in batch], np.uint64)
             yield pd.Series(out.view(np.int64))
+        give_back_memory()
 
     return bits(text)
 
