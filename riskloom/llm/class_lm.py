@@ -27,10 +27,10 @@ from pyspark.sql import functions as F
 from riskloom.llm.common import encoded, remainder, stored, table
 
 #: Most frequent words that are clustered one by one; all others are clustered by their ending.
-ITEMS = 4096
+ITEMS = 8192
 UNITS = 1024
-CLASSES = 40
-ROUNDS = 5
+CLASSES = 48
+ROUNDS = 8
 #: Most frequent words whose counts travel to the tasks; the others are joined.
 LOOKUP = 200_000
 SMOOTHING = 20.0
@@ -75,22 +75,34 @@ def vocabulary(training: DataFrame) -> DataFrame:
 
 
 def most_frequent(words: DataFrame, most: int) -> list[tuple[bytes, int, int]]:
-    """``(word, unit, n)`` of highest count, at most ``most``: all whose count lies above a cut.
+    """``(word, unit, n)`` of highest count, at most ``most``; of words with the last count some, by hash.
 
-    The cut falls between eighths of powers of two, found from how many words lie in each; so only
-    the words wanted reach the driver, not the best of every task.
+    The cut is found from how many words lie in each eighth of a power of two, then from how many have
+    each count in the eighth where it falls; so only about the words wanted reach the driver, not the
+    best of every task.
     """
     eighth = F.floor(F.log2("n") * 8)
-    taken, cut = 0, None
-    for e, k in sorted(words.groupBy(eighth.alias("e")).count().collect(), reverse=True):
-        taken += k
-        if taken > most:
-            break
-        cut = e
-    if cut is None:
-        return []
-    found = words.where(eighth >= cut).select("word", "unit", "n").toPandas()
-    found = found.sort_values(["n", "word"], ascending=[False, True])
+
+    def split(sizes: list[tuple[int, int]], room: int) -> tuple[int | None, int]:
+        """The value at which ``room`` ends (None: all fit) and what is left of it there."""
+        for value, k in sorted(sizes, reverse=True):
+            if k > room:
+                return value, room
+            room -= k
+        return None, room
+
+    edge, room = split(words.groupBy(eighth.alias("e")).count().collect(), most)
+    wanted = F.lit(True)
+    if edge is not None:
+        inside = words.where(eighth == edge)
+        last, room = split(inside.groupBy("n").count().collect(), room)
+        ties = inside.where(F.col("n") == last).count()
+        # the words of the last count that fit, and a few more, which are cut below
+        share = min(1.0, (room + 4.0 * math.sqrt(room)) / ties)
+        draw = F.pmod(F.xxhash64("word"), F.lit(1 << 30)) < int(share * (1 << 30))
+        wanted = (F.col("n") > last) | ((F.col("n") == last) & draw)
+    found = words.where(wanted).select("word", "unit", "n").toPandas()
+    found = found.sort_values(["n", "word"], ascending=[False, True])[:most]
     return [(bytes(w), int(u), int(n)) for w, u, n in zip(found["word"], found["unit"], found["n"])]
 
 

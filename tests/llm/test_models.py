@@ -171,6 +171,19 @@ def test_probabilities_sum_to_one(spark, docs):
     assert np.allclose(inside, 1.0)
 
 
+def test_every_word_up_to_the_bound_is_an_item_of_its_own(spark):
+    rows = [(k, " ".join(f"w{j}" for j in range(k, 6000, 20))) for k in range(20)]
+    training = spark.createDataFrame(rows, "doc_id long, text string")
+    words = class_lm.vocabulary(training)
+    m = class_lm.fit(training, words, rounds=1)
+    assert len(m.head) == 6001 and not m.unit_tokens.any()
+    # counts that are equal do not shorten the list
+    assert len(class_lm.most_frequent(words, 500)) > 450
+    twice = spark.createDataFrame([(1, "a a a b b b c c " + rows[0][1])], "doc_id long, text string")
+    top = class_lm.most_frequent(class_lm.vocabulary(twice), 3)
+    assert [(w, n) for w, _, n in top] == [(b"a", 3), (b"b", 3), (b"c", 2)]
+
+
 def test_exchange_raises_the_likelihood(spark):
     rows = [(1, "a x b y a x b y a y b x " * 40), (2, "c z c z c z " * 40)]
     training = spark.createDataFrame(rows, "doc_id long, text string")
