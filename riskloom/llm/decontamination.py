@@ -22,7 +22,7 @@ from riskloom.llm.common import fresh, stored, table
 
 SHINGLE = 5
 LEAST = 0.8
-RADIUS = 15
+RADIUS = 23
 _BLOCKS = 4
 #: Sides up to this many rows are broadcast (at most about 50 MB); larger ones are shuffled.
 BROADCAST_ROWS = 500_000

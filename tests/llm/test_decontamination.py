@@ -79,6 +79,15 @@ def test_leaks_match_brute_force(spark, docs, bench):
     assert sum(r.doc_id == 202 and r.item_id == 0 for r in got) == 2
 
 
+def test_windows_that_barely_reach_the_similarity_are_found(spark):
+    rng = random.Random(6)
+    items = [(i, " ".join(f"w{rng.randrange(10**9)}" for _ in range(13))) for i in range(300)]
+    # eight of nine shingles are the item's: similarity 8 / 10
+    rows = [row(i, text.rsplit(" ", 1)[0] + " changed") for i, text in items]
+    got = d.contaminated(table(spark, rows), spark.createDataFrame(items, "item_id long, text string"))
+    assert sum(r.doc_id == r.item_id for r in got.collect()) == len(items)
+
+
 def test_filter_keeps_clean_rows_and_columns(spark, docs, bench):
     items = spark.createDataFrame(bench, "item_id long, text string")
     rows = docs + awkward()
