@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from riskloom.llm import (
+    byte_bpe,
     class_lm,
     cotraining,
     decontamination,
@@ -28,6 +29,7 @@ QUERIES = {
     "op8_language_id": language.op8_language_id,
     "op9_quality_cotraining": cotraining.op9_quality_cotraining,
     "op10_simhash_near_dedup": simhash.op10_simhash_near_dedup,
+    "op12_byte_bpe": byte_bpe.op12_byte_bpe,
     "pipeline": corpus_pipeline.run,
 }
 
