@@ -137,3 +137,26 @@ best AS (SELECT *, row_number() OVER (PARTITION BY rid, no ORDER BY similarity D
   WHERE similarity >= {d.LEAST})
 SELECT doc_id, item_id, CAST(start AS BIGINT) AS start_word, CAST(item_words AS BIGINT) AS item_words, similarity
 FROM best JOIN docs USING (rid) JOIN held USING (no) WHERE nth = 1"""
+
+
+def search_sql() -> str:
+    term = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+WITH asked AS (SELECT row_number() OVER () AS q, item_id, regexp_extract_all({lower}, '{term}') AS words FROM benchmark),
+times AS (SELECT q, term, count(*) AS times FROM (SELECT q, unnest(words) AS term FROM asked) u GROUP BY q, term),
+d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({lower}, '{term}') AS words FROM documents),
+sized AS (SELECT rid, doc_id, len(words) AS n FROM d WHERE len(words) > 0),
+totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM sized),
+post AS (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(words) AS term FROM d) u
+  WHERE term IN (SELECT term FROM times) GROUP BY rid, term),
+weights AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM post GROUP BY term) g, totals),
+parts AS (SELECT rid, doc_id, term,
+  w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // words))) AS part
+  FROM post JOIN sized USING (rid) JOIN weights USING (term), totals),
+scored AS (SELECT q, rid, doc_id, CAST(sum(times * part) AS BIGINT) AS score
+  FROM times JOIN parts USING (term) GROUP BY q, rid, doc_id HAVING sum(times * part) > 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked JOIN asked USING (q) WHERE rank <= 20
+"""

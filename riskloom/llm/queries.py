@@ -10,6 +10,7 @@ from riskloom.llm import (
     decontamination,
     html_text,
     language,
+    lexical,
     licenses,
     oracles,
     packing,
@@ -30,6 +31,7 @@ QUERIES = {
     "op9_quality_cotraining": cotraining.op9_quality_cotraining,
     "op10_simhash_near_dedup": simhash.op10_simhash_near_dedup,
     "op12_byte_bpe": byte_bpe.op12_byte_bpe,
+    "op13_lexical_search": lexical.op13_lexical_search,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -37,4 +39,5 @@ ORACLE_SQL: dict[str, str] = {
     "op3_quality_rules": oracles.quality_sql(),
     "op4_decontamination": oracles.leak_sql(),
     "op7_license_scan": oracles.license_sql(),
+    "op13_lexical_search": oracles.search_sql(),
 }
