@@ -160,3 +160,27 @@ scored AS (SELECT q, rid, doc_id, CAST(sum(times * part) AS BIGINT) AS score
 ranked AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored)
 SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked JOIN asked USING (q) WHERE rank <= 20
 """
+
+
+def negatives_sql() -> str:
+    return """
+WITH e AS (SELECT row_number() OVER () AS rid, vec_id,
+  CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE CAST(label AS BIGINT) END AS label, embedding
+  FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS (SELECT rid, vec_id, label, unnest(range(1, len(embedding) + 1)) AS d,
+  unnest(list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT))) AS v FROM e),
+products AS (SELECT a.rid AS a, c.rid AS c, CAST(sum(a.v * c.v) AS BIGINT) AS score
+  FROM parts a JOIN parts c USING (d) WHERE a.vec_id % 100 = 0 AND a.rid <> c.rid GROUP BY a.rid, c.rid),
+scored AS (SELECT a, c, score, o.vec_id AS anchor_id, r.vec_id AS other_id, o.label = r.label AS same
+  FROM products JOIN e o ON o.rid = a JOIN e r ON r.rid = c),
+near AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY score DESC, other_id NULLS LAST) AS nth
+  FROM scored WHERE same) s WHERE nth <= 5),
+pairs AS (SELECT p.a, p.nth, p.anchor_id, p.other_id AS positive_id, n.other_id AS negative_id,
+  p.score AS positive_score, n.score AS negative_score,
+  row_number() OVER (PARTITION BY p.a, p.nth ORDER BY n.score DESC, n.other_id NULLS LAST) AS rank
+  FROM near p JOIN scored n ON p.a = n.a AND NOT n.same
+    AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM pairs WHERE rank <= 10
+"""

@@ -12,6 +12,7 @@ from riskloom.llm import (
     language,
     lexical,
     licenses,
+    negatives,
     oracles,
     packing,
     quality_rules,
@@ -30,6 +31,7 @@ QUERIES = {
     "op8_language_id": language.op8_language_id,
     "op9_quality_cotraining": cotraining.op9_quality_cotraining,
     "op10_simhash_near_dedup": simhash.op10_simhash_near_dedup,
+    "op11_hard_negatives": negatives.op11_hard_negatives,
     "op12_byte_bpe": byte_bpe.op12_byte_bpe,
     "op13_lexical_search": lexical.op13_lexical_search,
     "pipeline": corpus_pipeline.run,
@@ -39,5 +41,6 @@ ORACLE_SQL: dict[str, str] = {
     "op3_quality_rules": oracles.quality_sql(),
     "op4_decontamination": oracles.leak_sql(),
     "op7_license_scan": oracles.license_sql(),
+    "op11_hard_negatives": oracles.negatives_sql(),
     "op13_lexical_search": oracles.search_sql(),
 }
