@@ -4,9 +4,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as spark_entry
+from riskloom.plans import registry
 from tests.conftest import SMALL
 
-QUERIES, ORACLES = spark_entry.queries(), spark_entry.oracle_sql()
+# the corpus operators have tests and tables of their own
+QUERIES, ORACLES = registry.queries(), registry.oracle_sql()
 # quick ones of every section; tools/compare.py runs them all
 PICKED = [
     "b1_external_to_canonical",
@@ -35,6 +37,8 @@ def duck():
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
     assert len(QUERIES) > 100
+    assert set(QUERIES) <= set(spark_entry.queries())
+    assert set(spark_entry.oracle_sql()) <= set(spark_entry.queries())
 
 
 def test_entry(spark):
