@@ -7,9 +7,10 @@ share of the window's places holds shingles of the item, and moving the window t
 place does not lower the similarity. So only windows that begin at a shared shingle, and are dense
 enough, get a fingerprint: nothing that could pass is left out before the fingerprints.
 
-Fingerprints meet item fingerprints through four 16-bit blocks. Within ``radius`` bits one block
-differs in at most a quarter of it, and the item side lists all such values of each block, so the
-search finds every pair within the radius. Pairs are then checked on their shingles. Only DataFrame
+Fingerprints meet the fingerprints of the items that proposed them through eight 8-bit blocks. Within
+``radius`` bits one block differs in at most an eighth of it, and the item side lists all such values
+of each block (37 of 256 at 23 bits), so the search finds every pair within the radius; the listed
+values are shuffled, never broadcast. Pairs are then checked on their shingles. Only DataFrame
 functions are used.
 """
 
@@ -23,7 +24,7 @@ from riskloom.llm.common import fresh, stored, table
 SHINGLE = 5
 LEAST = 0.8
 RADIUS = 23
-_BLOCKS = 4
+_BLOCKS = 8
 #: Sides up to this many rows are broadcast (at most about 50 MB); larger ones are shuffled.
 BROADCAST_ROWS = 500_000
 
@@ -68,20 +69,23 @@ def with_fingerprint(rows: DataFrame, key: list[str], shingles: str) -> DataFram
     return votes.select(*key, code.alias("code"))
 
 
-def within_radius(windows: DataFrame, items: DataFrame, radius: int) -> DataFrame:
-    """``cid, item_id`` of all fingerprints of equal ``width`` and ``places`` within the radius."""
-    near = radius // _BLOCKS
-    flips = F.filter(F.sequence(F.lit(0), F.lit(65535)), lambda m: F.bit_count(m) <= near)
+def within_radius(
+    windows: DataFrame, items: DataFrame, radius: int, on: tuple[str, ...] = ("width", "places")
+) -> DataFrame:
+    """``cid, item_id`` of all fingerprints that agree in the columns ``on``, within the radius."""
+    near, bits = radius // _BLOCKS, 64 // _BLOCKS
+    flips = F.filter(F.sequence(F.lit(0), F.lit((1 << bits) - 1)), lambda m: F.bit_count(m) <= near)
     blocks = F.explode(F.sequence(F.lit(0), F.lit(_BLOCKS - 1))).alias("block")
-    value = "shiftrightunsigned({0}, 16 * block) & 65535"
-    asked = windows.select("cid", "width", "places", F.col("code").alias("window_code"), blocks)
+    value = f"shiftrightunsigned({{0}}, {bits} * block) & {(1 << bits) - 1}"
+    asked = windows.select("cid", *on, F.col("code").alias("window_code"), blocks)
     asked = asked.withColumn("value", F.expr(value.format("window_code")))
-    held = items.select("item_id", "width", "places", F.col("code").alias("item_code"), blocks)
+    held = items.select("item_id", *on, F.col("code").alias("item_code"), blocks)
     held = held.withColumn("flip", F.explode(flips)).withColumn(
         "value", F.expr(f"({value.format('item_code')}) ^ flip")
     )
     return (
-        asked.join(held, ["width", "places", "block", "value"])
+        # the listed values are many more rows than Spark's estimate, so no side may be broadcast
+        asked.join(held.hint("merge"), [*on, "block", "value"])
         .where(F.bit_count(F.expr("window_code ^ item_code")) <= radius)
         .select("cid", "item_id")
         .distinct()
@@ -107,25 +111,28 @@ def leaks(
     """``key, item_id, start_word, item_words, similarity``: the best window of each text and item.
 
     ``key`` is ``text_key`` of the document. Items without words match nothing; of equal windows the
-    first counts; null item ids are kept; repeated items are one. Columns other than ``text`` and the
-    benchmark's ``item_id`` and ``text`` are not read.
+    first counts; null item ids are kept; repeated items are one; items of equal words are searched
+    for once and reported by each id. Texts of any length are read whole; an empty table on either
+    side gives no rows. Columns other than ``text`` and the benchmark's ``item_id`` and ``text`` are
+    not read.
     """
     item_words = words_of(F.col("text"))
-    items = stored(
+    named = stored(
         benchmark.select("item_id", item_words.alias("words"))
         .where(F.size("words") > 0)
+        .withColumn("no", F.md5(F.array_join("words", " ")))
         .distinct()
+    )
+    items = stored(
+        named.dropDuplicates(["no"])
         .withColumn("item_words", F.size("words"))
         .withColumn("width", F.least(F.lit(SHINGLE), "item_words"))
         .withColumn("shingles", shingles_of(F.col("words"), F.col("width")))
-        .select(
-            F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("no"),
-            "item_id", "item_words", "width", "shingles", F.size("shingles").alias("places"),
-        )
+        .select("no", "item_words", "width", "shingles", F.size("shingles").alias("places"))
     )
     widths = sorted(r[0] for r in items.select("width").distinct().collect())
     places = stored(
-        items.select("no", "item_words", "width", "places", F.explode("shingles").alias("h")).distinct()
+        items.select("no", "width", "places", F.explode("shingles").alias("h")).distinct()
     )
     # runs of different widths have different hashes, so the hash alone is the key
     known = small(stored(places.select("h").distinct()))
@@ -143,11 +150,11 @@ def leaks(
     )
     shared = stored(every.join(known, "h").distinct())
 
-    # windows that begin at a shared shingle and hold enough of them
+    # windows that begin at a shingle shared with an item and hold enough of the item's
     need = F.ceil(F.lit(least) * F.col("places")).cast("int")
     spans = (
-        shared.join(places, ["width", "h"])
-        .groupBy("key", "no", "width", "places", "item_words")
+        shared.join(small(places), ["width", "h"])
+        .groupBy("key", "no", "width", "places")
         .agg(F.sort_array(F.collect_set("pos")).alias("at"))
         .withColumn("need", need)
         .where(F.size("at") >= F.col("need"))
@@ -166,37 +173,36 @@ def leaks(
             ),
         )
     )
-    windows = stored(
-        spans.select("key", "width", "places", F.explode("starts").alias("start")).distinct()
-    )
+    windows = stored(spans.select("key", "no", "width", "places", F.explode("starts").alias("start")))
     by_key = small(
         stored(
-            windows.groupBy("key").agg(F.collect_list(F.struct("width", "places", "start")).alias("w"))
+            windows.groupBy("key").agg(
+                F.collect_list(F.struct("no", "width", "places", "start")).alias("w")
+            )
         )
     )
-    cut = (
+    cut = stored(
         texts.join(by_key, "key")
         .dropDuplicates(["key"])
         .select("key", words_of(F.col("text")).alias("words"), F.explode("w").alias("w"))
-        .select("key", "w.*", F.expr(
-            "slice(words, start + 1, places + width - 1)"
-        ).alias("part"))
+        .select("key", "w.*", F.expr("slice(words, start + 1, places + width - 1)").alias("part"))
         .withColumn("shingles", shingles_of(F.col("part"), F.col("width")))
         .withColumn("cid", F.md5(F.array_join(F.col("shingles").cast("array<string>"), ",")))
-        .select("key", "start", "width", "places", "cid", "shingles")
+        .select("key", "no", "start", "width", "places", "cid", "shingles")
     )
-    cut = stored(cut)
-    contents = stored(cut.dropDuplicates(["cid", "width", "places"]).drop("key", "start"))
+    contents = stored(cut.select("cid", "width", "places", "shingles").dropDuplicates(["cid", "width", "places"]))
 
     held = stored(
-        with_fingerprint(items, ["no", "item_words", "width", "places"], "shingles")
-        .select(F.struct("no", "item_words").alias("item_id"), "width", "places", "code")
+        with_fingerprint(items, ["no", "width", "places"], "shingles").select(
+            "no", F.col("no").alias("item_id"), "width", "places", "code"
+        )
     )
-    asked = with_fingerprint(contents, ["cid", "width", "places"], "shingles")
-    found = within_radius(asked, held, radius)
+    codes = with_fingerprint(contents, ["cid", "width", "places"], "shingles")
+    asked = cut.select("cid", "no", "width", "places").distinct().join(codes, ["cid", "width", "places"])
     pairs = (
-        found.select("cid", "item_id.no", "item_id.item_words")
-        .join(items, ["no", "item_words"])
+        within_radius(asked, held, radius, on=("no", "width", "places"))
+        .withColumnRenamed("item_id", "no")
+        .join(items, "no")
         .join(contents.withColumnRenamed("shingles", "own"), ["cid", "width", "places"])
         .withColumn("both", weighted_overlap(F.col("own"), F.col("shingles")))
         .withColumn(
@@ -204,14 +210,15 @@ def leaks(
             F.col("both") / (F.size("own") + F.size("shingles") - F.col("both")),
         )
         .where(F.col("similarity") >= least)
-        .select("cid", "width", "places", "item_id", "item_words", "similarity")
+        .select("cid", "no", "width", "places", "item_words", "similarity")
     )
     best = F.struct(F.col("similarity"), (-F.col("start")).alias("back"))
     return (
         cut.drop("shingles")
-        .join(pairs, ["cid", "width", "places"])
-        .groupBy("key", "item_id", "item_words")
+        .join(pairs, ["cid", "no", "width", "places"])
+        .groupBy("key", "no", "item_words")
         .agg(F.max(best).alias("best"))
+        .join(named.select("no", "item_id"), "no")
         .select(
             "key", "item_id", (-F.col("best.back")).cast("long").alias("start_word"),
             F.col("item_words").cast("long").alias("item_words"),
