@@ -17,16 +17,21 @@ def unscored(txns: DataFrame, scores: DataFrame) -> DataFrame:
     return txns.join(scores.select("transaction_id"), "transaction_id", "left_anti")
 
 
+def oldest(rows: DataFrame, batch_size: int) -> DataFrame:
+    """The first ``batch_size`` rows by time and id: each partition's first, then the first of those."""
+    return rows.orderBy("timestamp", "transaction_id").limit(batch_size)
+
+
 def extract_unscored_batch(
     txns: DataFrame, scores: DataFrame, batch_size: int = 10_000, data_source: str | None = None
 ) -> DataFrame:
     """The oldest rows without a score, with every column, at most ``batch_size`` of them.
 
-    The source filter is only there when asked for, so it reaches the scan. Spark keeps the first
-    ``batch_size`` rows of each partition and merges those, instead of sorting the whole table.
+    The source filter is only there when asked for, so it reaches the scan. Both tables are read and
+    shuffled whole; :class:`riskloom.sources.pending.PendingTables` reads what a batch needs.
     """
     rows = txns if data_source is None else txns.where(F.col("data_source") == data_source)
-    return unscored(rows, scores).orderBy("timestamp", "transaction_id").limit(batch_size)
+    return oldest(unscored(rows, scores), batch_size)
 
 
 def insert_if_absent(target: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:

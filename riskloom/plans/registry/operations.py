@@ -177,6 +177,28 @@ def _(t: Tables):
     return plain(t.spark.sql(text))
 
 
+_T1_WAITING = """SELECT t.transaction_id, t.timestamp, t.amount, t.device_id FROM txn t WHERE NOT EXISTS
+     (SELECT 1 FROM scores s WHERE s.transaction_id = t.transaction_id)
+    ORDER BY t.timestamp, t.transaction_id LIMIT {}"""
+
+
+def _sql_batch(t: Tables, arguments: str):
+    sql_surface.register_views(t.spark, t.txn, t.scores)
+    sql_surface.register_functions(t.spark)
+    call = f"SELECT transaction_id, timestamp, amount, device_id FROM extract_unscored_batch({arguments})"
+    return plain(t.spark.sql(call))
+
+
+@query("t1_sql_unscored_default", _T1_WAITING.format(10000), ("txn", "scores"))
+def _(t: Tables):
+    return _sql_batch(t, "")
+
+
+@query("t1_sql_unscored_source", _T1_WAITING.format(1234), ("txn", "scores"))
+def _(t: Tables):
+    return _sql_batch(t, "1234, 'SYNTHETIC'")
+
+
 @query(
     "t2_sql_views",
     f"""WITH twice AS (SELECT batch_id, ensemble_score FROM scores

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -11,6 +12,9 @@ from riskloom.operators import relational as rel
 from riskloom.operators import sampling
 from riskloom.plans.fixtures import Tables
 from riskloom.plans.registry.core import plain, query
+from riskloom.schema import SCORING_RESULTS, canonical_transactions, conform
+from riskloom.session import shared_dir
+from riskloom.sources.pending import PendingTables
 
 AS_OF = datetime(2024, 1, 31)
 
@@ -47,6 +51,46 @@ def _(t: Tables):
     return plain(batch.select(*[c.strip() for c in _TXN_PLAIN.split(",")]))
 
 
+_UNSCORED = f"""SELECT {_TXN_PLAIN} FROM txn t WHERE data_source = 'SYNTHETIC'
+    AND NOT EXISTS (SELECT 1 FROM scores s WHERE s.transaction_id = t.transaction_id)
+    ORDER BY timestamp, transaction_id LIMIT {{}}"""
+
+
+def _pending(t: Tables) -> PendingTables:
+    """Bucketed tables filled in three steps: two thirds of the rows, the scores, and the rest late."""
+    at = uuid.uuid4().hex
+    tables = PendingTables(t.spark, f"{shared_dir(t.spark)}/pending-{at}", f"pending_{at}", buckets=8)
+    rows = canonical_transactions(t.txn)
+    late = F.pmod(F.xxhash64("transaction_id"), F.lit(3)) == 0
+    tables.add_transactions(rows.where(~late))
+    tables.add_scores(conform(t.scores.withColumn("flag_threshold", F.lit(0.5)), SCORING_RESULTS), rows.where(~late))
+    tables.add_transactions(rows.where(late))
+    tables.add_scores(conform(t.scores.withColumn("flag_threshold", F.lit(0.5)), SCORING_RESULTS), rows)
+    return tables
+
+
+@query("a8_pending_batch", _UNSCORED.format(10000), ("txn", "scores"))
+def _(t: Tables):
+    batch = _pending(t).next_batch(10_000, "SYNTHETIC")
+    return plain(batch.select(*[c.strip() for c in _TXN_PLAIN.split(",")]))
+
+
+@query("a8_pending_first_days", _UNSCORED.format(40), ("txn", "scores"))
+def _(t: Tables):
+    batch = _pending(t).next_batch(40, "SYNTHETIC")
+    return plain(batch.select(*[c.strip() for c in _TXN_PLAIN.split(",")]))
+
+
+@query(
+    "d2_pending_days",
+    """SELECT CAST(timestamp AS DATE) AS day, data_source, CAST(count(*) AS BIGINT) AS rows FROM txn t
+    WHERE NOT EXISTS (SELECT 1 FROM scores s WHERE s.transaction_id = t.transaction_id) GROUP BY 1, 2""",
+    ("txn", "scores"),
+)
+def _(t: Tables):
+    return _pending(t).pending()
+
+
 @query("c1_flagged", "SELECT transaction_id, batch_id FROM scores WHERE is_flagged", ("scores",))
 def _(t: Tables):
     return rel.flagged_only(t.scores).select("transaction_id", "batch_id")

@@ -7,6 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from riskloom.operators.relational import batch_summary, flagged_transactions
 
 
+#: Shares an hour is cut into where a batch ends inside it.
+_SHARES = 64
+
+
 def register_views(spark: SparkSession, txns: DataFrame, scores: DataFrame) -> None:
     """``transactions``, ``scoring_results``, ``v_flagged_transactions``, ``v_batch_summary``."""
     txns.createOrReplaceTempView("transactions")
@@ -37,7 +41,8 @@ def register_functions(spark: SparkSession) -> None:
           AND timestamp < p_reference_time
         """
     )
-    # called with a constant size, the rank becomes a top-k of each partition
+    # The cut is found from counts per hour; only the hour it falls into is ranked, and of that no
+    # more than the batch size per hash share, so no task ever holds the table or the hour.
     columns = spark.table("transactions").schema.fields
     names = ", ".join(f"`{f.name}`" for f in columns)
     typed = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
@@ -46,10 +51,27 @@ def register_functions(spark: SparkSession) -> None:
         CREATE OR REPLACE TEMPORARY FUNCTION extract_unscored_batch(
           p_batch_size INT DEFAULT 10000, p_data_source STRING DEFAULT NULL)
         RETURNS TABLE ({typed})
-        RETURN SELECT {names} FROM (
-          SELECT *, row_number() OVER (ORDER BY timestamp, transaction_id) AS _place
+        RETURN WITH waiting AS (
+          SELECT *, date_trunc('HOUR', timestamp) AS _hour
           FROM transactions LEFT ANTI JOIN scoring_results USING (transaction_id)
-          WHERE p_data_source IS NULL OR data_source = p_data_source)
-        WHERE _place <= p_batch_size ORDER BY timestamp, transaction_id
+          WHERE p_data_source IS NULL OR data_source = p_data_source),
+        hours AS (
+          SELECT _hour, n, sum(n) OVER (ORDER BY _hour) AS upto
+          FROM (SELECT _hour, count(*) AS n FROM waiting GROUP BY _hour)),
+        placed AS (
+          SELECT w.*, h.upto, h.upto - h.n AS earlier
+          FROM waiting w JOIN hours h ON w._hour <=> h._hour
+          WHERE h.upto - h.n < p_batch_size),
+        cut AS (
+          SELECT * FROM (
+            SELECT *, row_number() OVER (
+              PARTITION BY _hour, pmod(xxhash64(transaction_id), {_SHARES}) ORDER BY timestamp, transaction_id) AS _nth
+            FROM placed WHERE upto > p_batch_size)
+          WHERE _nth <= p_batch_size),
+        ranked AS (
+          SELECT *, row_number() OVER (PARTITION BY _hour ORDER BY timestamp, transaction_id) AS _place FROM cut)
+        SELECT {names} FROM placed WHERE upto <= p_batch_size
+        UNION ALL
+        SELECT {names} FROM ranked WHERE earlier + _place <= p_batch_size
         """
     )
