@@ -15,7 +15,9 @@ are first cut by a pattern into pieces; pieces repeat, so their ids are remember
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
+from functools import cached_property
 
 import ahocorasick
 import numpy as np
@@ -31,7 +33,7 @@ from riskloom.llm.common import fresh, give_back_memory, table
 RANKS = "byte_bpe_50k.tiktoken"
 #: Remembered pieces and pairs of tokens of one Python worker; beyond them the memory starts anew.
 _PIECES = 200_000
-_PAIRS = 500_000
+_PAIRS = 400_000
 #: Longer pieces are not remembered.
 _PIECE_BYTES = 64
 _CODECS: dict[tuple[str, str], "ByteBpe"] = {}
@@ -43,26 +45,35 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, file) if token}
 
 
-class ByteBpe:
-    """Encoder and decoder of one rank file; every single byte must have a rank."""
+class ByteBpe(dict):
+    """Encoder and decoder of one rank file; every single byte must have a rank.
+
+    As a dictionary it remembers the ids of pieces.
+    """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         missing = [b for b in range(256) if bytes([b]) not in ranks]
         if missing:
             raise ValueError(f"{len(missing)} of 256 bytes have no rank")
+        super().__init__()
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
+        self.sizes = {rank: len(token) for token, rank in ranks.items()}
         # blanks are those of Unicode's property, not those this library's own class counts
         blank = pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
         self.split = regex.compile(blank).findall
-        self.automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-        for token, rank in ranks.items():
-            self.automaton.add_word(token.decode("latin-1"), rank)
-        self.automaton.make_automaton()
         self._shorter: dict[int, int | None] = {}
         self._stable: dict[int, bool] = {}
-        self._fits: dict[tuple[int, int], bool] = {}
-        self._ids: dict[str, bytes] = {}
+        self._after: dict[int, int | None] = {}
+
+    @cached_property
+    def automaton(self) -> ahocorasick.Automaton:
+        """All tokens as Latin-1; a decoder never builds it."""
+        out = ahocorasick.Automaton(ahocorasick.STORE_INTS)
+        for token, rank in self.ranks.items():
+            out.add_word(token.decode("latin-1"), rank)
+        out.make_automaton()
+        return out
 
     def merged(self, raw: bytes) -> list[int]:
         """Ranks left when the lowest-ranked neighbours merge, the leftmost first, until none can."""
@@ -85,12 +96,19 @@ class ByteBpe:
 
     def fits(self, left: int, right: int) -> bool:
         """Whether two tokens can stand beside each other: their bytes' merges leave just them."""
-        known = self._fits.get((left, right))
-        if known is None:
-            if len(self._fits) >= _PAIRS:
-                self._fits.clear()
-            known = self.merged(self.tokens[left] + self.tokens[right]) == [left, right]
-            self._fits[left, right] = known
+        return self.merged(self.tokens[left] + self.tokens[right]) == [left, right]
+
+    def after(self, left: int, token: int) -> int | None:
+        """The longest token that begins ``token`` (itself included) and can stand behind ``left``."""
+        key = left << 32 | token
+        known = self._after.get(key, -1)
+        if known == -1:
+            known = token
+            while known is not None and not self.fits(left, known):
+                known = self.shorter(known)
+            if len(self._after) >= _PAIRS:
+                self._after.clear()
+            self._after[key] = known
         return known
 
     def shorter(self, token: int) -> int | None:
@@ -105,62 +123,67 @@ class ByteBpe:
             self._shorter[token] = found
         return self._shorter[token]
 
-    def longest(self, raw: bytes) -> list[int]:
-        """The longest token that begins at each byte."""
-        at = [0] * len(raw)
-        tokens = self.tokens
-        # ends ascend, so the last token written to a start is its longest
-        for end, rank in self.automaton.iter(raw.decode("latin-1")):
-            at[end + 1 - len(tokens[rank])] = rank
-        return at
-
     def encode_piece(self, raw: bytes) -> list[int]:
         """Ids of one piece. A piece that is a token is that token, whatever the merges say."""
         whole = self.ranks.get(raw)
         if whole is not None:
             return [whole]
-        at, tokens, end_of_piece = self.longest(raw), self.tokens, len(raw)
-
-        def first(place: int) -> int | None:
-            return at[place] if self.stable(at[place]) else self.shorter(at[place])
-
-        open_ = bytearray(b"\x01") * (end_of_piece + 1)
-        out: list[int] = []
-        place, end, token = 0, 0, first(0)
-        while place < end_of_piece:
-            while token is not None:
-                end = place + len(tokens[token])
-                if open_[end] and (not out or self.fits(out[-1], token)):
-                    break
+        latin, after = raw.decode("latin-1"), self._after
+        # the longest matches one after the other, as far as neighbours fit
+        greedy = [token for _, token in self.automaton.iter_long(latin)]
+        last, good = greedy[0], 1
+        for token in greedy[1:]:
+            next_ = after.get(last << 32 | token, -1)
+            if (self.after(last, token) if next_ == -1 else next_) != token:
+                break
+            last = token
+            good += 1
+        if good == len(greedy):
+            return greedy
+        # pairs vouch for the tokens before the first misfit, a single token stands for itself
+        out, token = greedy[:good], greedy[good]
+        if good == 1 and not self.stable(out[0]):
+            token = self.shorter(out.pop())
+        place = sum(map(self.sizes.__getitem__, out))
+        return self._continued(latin, out, place, token)
+
+    def _continued(self, latin: str, out: list[int], place: int, token: int | None) -> list[int]:
+        """Go on behind ``out``, which ends at ``place``, with ``token`` or a beginning of it."""
+        size, sizes, after = len(latin), self.sizes, self._after
+        open_ = bytearray(b"\x01") * (size + 1)
+        while place < size:
+            if out and token is not None:
+                next_ = after.get(out[-1] << 32 | token, -1)
+                token = self.after(out[-1], token) if next_ == -1 else next_
+            while token is not None and not open_[place + sizes[token]]:
                 token = self.shorter(token)
+                if out and token is not None:
+                    token = self.after(out[-1], token)
             if token is None:
                 # nothing follows the tokens up to here, and no other tokens lead here
                 open_[place] = 0
                 last = out.pop()
-                place -= len(tokens[last])
+                place -= sizes[last]
                 token = self.shorter(last)
             else:
                 out.append(token)
-                place = end
-                token = first(place) if place < end_of_piece else None
+                place += sizes[token]
+                if place < size:
+                    token = next(self.automaton.iter_long(latin, place))[1]
         return out
 
+    def __missing__(self, piece: str) -> bytes:
+        raw = piece.encode("utf-8", "replace")
+        ids = array("I", self.encode_piece(raw)).tobytes()
+        if len(raw) <= _PIECE_BYTES:
+            if len(self) >= _PIECES:
+                self.clear()
+            self[piece] = ids
+        return ids
+
     def encode(self, text: str | None) -> bytes:
         """Ids of a whole text, as little-endian unsigned 32-bit integers; empty for null."""
-        if not isinstance(text, str):
-            return b""
-        known, out = self._ids, []
-        for piece in self.split(text):
-            ids = known.get(piece)
-            if ids is None:
-                raw = piece.encode("utf-8", "replace")
-                ids = np.array(self.encode_piece(raw), "<u4").tobytes()
-                if len(raw) <= _PIECE_BYTES:
-                    if len(known) >= _PIECES:
-                        known.clear()
-                    known[piece] = ids
-            out.append(ids)
-        return b"".join(out)
+        return b"".join(map(self.__getitem__, self.split(text))) if isinstance(text, str) else b""
 
     def decode(self, ids: bytes | None) -> bytes:
         """The bytes of ``ids``; an id without a token is an error."""

@@ -57,10 +57,21 @@ def test_tokens_side_by_side(codec, reference):
         text = "".join(rng.choice(words) for _ in range(rng.randrange(2, 6)))
         ids = codec.encode_piece(text.encode())
         assert ids == reference.encode_ordinary(text)
-        greedy += ids[0] != codec.longest(text.encode())[0]
+        greedy += ids[0] != next(codec.automaton.iter_long(text))[1]
     assert greedy > 40  # the backtracking had work to do
 
 
+def test_longest_tokens(codec):
+    rng = random.Random(8)
+    for _ in range(500):
+        latin = random_text(rng).encode().decode("latin-1")
+        for place in range(len(latin)):
+            sizes = [k for k in range(1, 130) if latin[place : place + k].encode("latin-1") in codec.ranks]
+            most = max(k for k in sizes if place + k <= len(latin))
+            token = next(codec.automaton.iter_long(latin, place))[1]
+            assert codec.tokens[token] == latin[place : place + most].encode("latin-1")
+
+
 def test_any_ranks():
     """Merge tables drawn at random, unreachable tokens among them, against merging one by one."""
     rng = random.Random(7)
