@@ -23,6 +23,7 @@ same answer:
 from __future__ import annotations
 
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -150,8 +151,10 @@ def _small(keys: DataFrame, n: int) -> DataFrame:
 # --- sums -------------------------------------------------------------------------------------
 #
 # Money columns DECIMAL(p <= 18) and whole numbers are summed as whole units, so partial sums may be
-# subtracted and added in any order. All other numbers are doubles whose sums are only ever added;
-# deviations are taken from a fixed value of the entity, and a window of equal values has none.
+# subtracted and added in any order. Such sums outgrow 64 bits, so a unit is cut into two 32-bit limbs,
+# and products of limbs are summed by halves: 2^31 rows of the largest values fit, in plain long
+# arithmetic. All other numbers are doubles whose sums are only ever added; deviations are taken from
+# a fixed value of the entity, and a window of equal values has none.
 
 
 @dataclass(frozen=True)
@@ -172,10 +175,54 @@ class _Units:
     def reference(self) -> str:
         return f"_ref_{self.column}"
 
+    @property
+    def sums(self) -> list[str]:
+        """Names of the partial sums that make the exact sum."""
+        return [f"s{k}_{self.column}" for k in ("h", "l")]
+
+    @property
+    def squares(self) -> list[str]:
+        """Names of the partial sums that make the exact sum of squares."""
+        return [f"q{k}{half}_{self.column}" for k in ("hh", "hl", "ll") for half in (1, 0)]
+
+    def addends(self, x: Column) -> dict[str, Column]:
+        """What each row adds to every partial sum."""
+        high, low = _limbs(x)
+        halves = [h for product in (high * high, high * low, low * low) for h in _halves(product)]
+        return dict(zip([*self.sums, *self.squares], [high, low, *halves]))
+
+
+_LIMB = 1 << 32
+
+
+def _limbs(x: Column) -> tuple[Column, Column]:
+    """``x = high * 2^32 + low`` with both within 2^31 of zero."""
+    carry = F.shiftright(x, 31).bitwiseAND(F.lit(1).cast("bigint"))
+    low = x.bitwiseAND(F.lit(_LIMB - 1)) - carry * F.lit(_LIMB)
+    return F.shiftright(x, 32) + carry, low
+
 
-def _square(x: Column) -> Column:
-    wide = x.cast("decimal(19,0)")
-    return wide * wide
+def _halves(product: Column) -> tuple[Column, Column]:
+    return F.shiftright(product, 32), product.bitwiseAND(F.lit(_LIMB - 1))
+
+
+def _joined(high: Column, low: Column) -> Column:
+    return high.cast("decimal(19,0)") * F.lit(Decimal(_LIMB)) + low.cast("decimal(19,0)")
+
+
+def _exact_sum(at: dict[str, Column], units: _Units) -> Column:
+    return _joined(*[at[name] for name in units.sums]).cast("decimal(38,0)")
+
+
+def _square_sums(at: dict[str, Column], units: _Units) -> tuple[Column, Column]:
+    """The sum of squares as a whole number (NULL beyond 38 digits) and as a double."""
+    names = units.squares
+    hh, hl, ll = (_joined(at[a], at[b]) for a, b in zip(names[::2], names[1::2]))
+    outer = F.try_multiply(hh.cast("decimal(38,0)"), F.lit(Decimal(_LIMB**2)))
+    inner = F.try_multiply(hl.cast("decimal(38,0)"), F.lit(Decimal(2 * _LIMB)))
+    whole = F.try_add(F.try_add(outer, inner), ll.cast("decimal(38,0)")).cast("decimal(38,0)")
+    double = hh.cast("double") * float(_LIMB) ** 2 + hl.cast("double") * (2.0 * _LIMB) + ll.cast("double")
+    return whole, double
 
 
 def _units(df: DataFrame, column: str) -> _Units:
@@ -203,14 +250,14 @@ def _mean(n: Column, s: Column, scale: int) -> Column:
     return F.coalesce(F.when(n > 0, s.cast("double") / n / F.lit(10.0**scale)), F.lit(0.0))
 
 
-def _std(n: Column, s: Column, q: Column, scale: int) -> Column:
+def _std(n: Column, s: Column, squares: tuple[Column, Column], scale: int) -> Column:
     """Sample deviation from count, sum and sum of squares; 0 for fewer than two rows."""
-    whole = s.cast("decimal(19,0)")
+    q, q_double = squares
     spread = F.try_subtract(
-        F.try_multiply(n.cast("decimal(19,0)"), q), F.try_multiply(whole, whole)
+        F.try_multiply(n.cast("decimal(19,0)"), q), F.try_multiply(s, s)
     ).cast("double")
-    # sums beyond 38 digits: the same formula in double precision
-    wide = n * q.cast("double") - s.cast("double") * s.cast("double")
+    # numbers beyond 38 digits: the same formula in double precision
+    wide = n * q_double - s.cast("double") * s.cast("double")
     both = F.greatest(F.coalesce(spread, wide), F.lit(0.0))
     std = F.sqrt(both / (n * (n - 1)).cast("double")) / F.lit(10.0**scale)
     return F.when(n > 1, std).otherwise(F.lit(0.0))
@@ -279,10 +326,12 @@ def _by_frame(
         elif m.kind in ("sum", "mean", "std") and units.exact:
             x = F.when(history, units.value)
             n = since(f"n_{m.column}", F.count(x), m.hours)
-            s = since(f"s_{m.column}", F.sum(x), m.hours)
+            addends = units.addends(x)
+            names = units.sums + (units.squares if m.kind == "std" else [])
+            at = {name: since(name, F.sum(addends[name]), m.hours) for name in names}
+            s = _exact_sum(at, units)
             if m.kind == "std":
-                q = since(f"q_{m.column}", F.sum(_square(x)), m.hours).cast("decimal(38,0)")
-                results[m.name] = _std(n, s, q, units.scale)
+                results[m.name] = _std(n, s, _square_sums(at, units), units.scale)
             else:
                 results[m.name] = (_sum if m.kind == "sum" else _mean)(n, s, units.scale)
         else:
@@ -324,10 +373,12 @@ def _pieces(measure: Measure, units: dict[str, _Units]) -> list[_Piece]:
         return [_Piece("n", "sum")]
     if measure.kind == "max":
         return [_Piece(f"max_{c}", "max")]
-    parts = [_Piece(f"n_{c}", "sum"), _Piece(f"s_{c}", "sum", units[c].exact)]
-    if measure.kind == "std" and units[c].exact:
-        parts.append(_Piece(f"q_{c}", "sum"))
-    elif measure.kind == "std":
+    parts = [_Piece(f"n_{c}", "sum")]
+    if units[c].exact:
+        names = units[c].sums + (units[c].squares if measure.kind == "std" else [])
+        return parts + [_Piece(name, "sum") for name in names]
+    parts.append(_Piece(f"s_{c}", "sum", False))
+    if measure.kind == "std":
         parts += [_Piece(f"d_{c}", "sum", False), _Piece(f"q_{c}", "sum", False)]
         parts += [_Piece(f"max_{c}", "max"), _Piece(f"low_{c}", "min")]
     return parts
@@ -339,11 +390,12 @@ def _finish(measure: Measure, at: dict[str, Column], units: dict[str, _Units]) -
         return at["n"].cast("bigint")
     if measure.kind == "max":
         return F.coalesce(at[f"max_{c}"].cast("double"), F.lit(0.0))
-    n, s = at[f"n_{c}"], at[f"s_{c}"]
+    n = at[f"n_{c}"]
     if measure.kind == "std" and not units[c].exact:
         return _std_from_reference(n, at[f"d_{c}"], at[f"q_{c}"], at[f"low_{c}"], at[f"max_{c}"])
+    s = _exact_sum(at, units[c]) if units[c].exact else at[f"s_{c}"]
     if measure.kind == "std":
-        return _std(n, s, at[f"q_{c}"].cast("decimal(38,0)"), units[c].scale)
+        return _std(n, s, _square_sums(at, units[c]), units[c].scale)
     return (_sum if measure.kind == "sum" else _mean)(n, s, units[c].scale)
 
 
@@ -354,17 +406,58 @@ def _per_group(units: dict[str, _Units]) -> dict[str, Column]:
     for c, u in units.items():
         x = F.when(history, u.value)
         kept[f"n_{c}"] = F.count(x)
-        kept[f"s_{c}"] = F.sum(x)
         kept[f"max_{c}"] = F.max(F.when(history, F.col(c)))
         if u.exact:
-            kept[f"q_{c}"] = F.sum(_square(x)).cast("decimal(38,0)")
+            kept |= {name: F.sum(addend) for name, addend in u.addends(x).items()}
         else:
+            kept[f"s_{c}"] = F.sum(x)
             off = x - F.col(u.reference)
             kept[f"d_{c}"], kept[f"q_{c}"] = F.sum(off), F.sum(off * off)
             kept[f"max_{c}"], kept[f"low_{c}"] = F.max(x), F.min(x)
     return kept
 
 
+def _whole_by_blocks(
+    cells: DataFrame, entity: str, blocks: dict[int, list[_Piece]], span: dict[int, int]
+) -> DataFrame:
+    """Replace the pieces' columns by ``_whole<h>_<piece>``: each folded over cells c - span + 1 to c - 1.
+
+    The line of cells is cut into blocks as long as the window, so a window is the end of one block
+    and the beginning of the next: two frames that only grow, whatever the window's length. A cell
+    appears once as itself and once for each length where its window begins, there without values.
+    """
+    lengths = {h: span[h] - 1 for h in blocks}
+    own, off = F.col("_off") == 0, F.col("_off")
+    kept = [c for c in cells.columns if c not in (entity, "_cell")]
+    placed = cells.withColumn(
+        "_off", F.explode(F.array(*[F.lit(w).cast("bigint") for w in [0, *lengths.values()]]))
+    ).select(
+        entity, "_cell", "_off", (F.col("_cell") - off).alias("_at"), *[F.when(own, F.col(c)).alias(c) for c in kept]
+    )
+    placed = placed.withColumns(
+        {f"_block{h}": F.floor(F.col("_at") / F.lit(w)) for h, w in lengths.items()}
+    )
+    parts = {}
+    for h, ps in blocks.items():
+        block = Window.partitionBy(entity, f"_block{h}")
+        begun = block.orderBy("_at").rangeBetween(Window.unboundedPreceding, -1)
+        ended = block.orderBy(F.col("_at").desc()).rangeBetween(Window.unboundedPreceding, 0)
+        for p in ps:
+            piece = p.fold(F.col(p.name))
+            parts[f"_whole{h}_{p.name}"] = p, F.when(own, piece.over(begun)).when(
+                off == lengths[h], piece.over(ended)
+            )
+    values = {p.name for ps in blocks.values() for p in ps}
+    carried = [c for c in kept if c not in values]
+    windowed = placed.select(
+        entity, "_cell", *carried, *[c.alias(name) for name, (_, c) in parts.items()]
+    )
+    return windowed.groupBy(entity, "_cell").agg(
+        *[F.max(c).alias(c) for c in carried],
+        *[p.fold(F.col(name)).alias(name) for name, (p, _) in parts.items()],
+    )
+
+
 def _window_parts(
     rows: DataFrame,
     entity: str,
@@ -393,30 +486,28 @@ def _window_parts(
         F.max(F.when(F.col("_history"), F.col("_us"))).alias("_last_us"),
     )
 
-    def whole_cells(p: _Piece, h: int) -> Column:
-        """Cells c - span + 1 to c - 1; whole-number sums as a difference of growing frames."""
-        piece = p.fold(F.col(p.name))
-        if p.merge != "sum" or not p.subtracts:
-            return piece.over(along.rangeBetween(-(span[h] - 1), -1))
-        upto, before = (
-            F.coalesce(piece.over(along.rangeBetween(Window.unboundedPreceding, -k)), F.lit(0))
-            for k in (1, span[h])
-        )
-        return upto - before
-
+    # whole numbers: a difference of growing frames; all others: ends and beginnings of blocks
+    growing: dict[str, Column] = {}
+    blocks: dict[int, list[_Piece]] = {}
+    for h, ps in by_hours.items():
+        for p in ps if span[h] > 1 else []:
+            if p.merge != "sum" or not p.subtracts:
+                blocks.setdefault(h, []).append(p)
+                continue
+            upto, before = (
+                F.coalesce(
+                    F.sum(p.name).over(along.rangeBetween(Window.unboundedPreceding, -k)), F.lit(0)
+                )
+                for k in (1, span[h])
+            )
+            growing[f"_whole{h}_{p.name}"] = upto - before
+    earlier = F.last("_last_us", ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, -1))
+    values = dict.fromkeys(p.name for ps in blocks.values() for p in ps)
     between = cells.select(
-        entity,
-        "_cell",
-        F.last("_last_us", ignorenulls=True)
-        .over(along.rowsBetween(Window.unboundedPreceding, -1))
-        .alias("_earlier_us"),
-        *[
-            whole_cells(p, h).alias(f"_whole{h}_{p.name}")
-            for h, ps in by_hours.items()
-            if span[h] > 1
-            for p in ps
-        ],
+        entity, "_cell", earlier.alias("_earlier_us"), *[c.alias(n) for n, c in growing.items()], *values
     )
+    if blocks:
+        between = _whole_by_blocks(between, entity, blocks, span)
 
     # every instant appears in its own cell (_h = 0) and where each of its windows starts (_h = H)
     instants = rows.groupBy(entity, "_us").agg(
