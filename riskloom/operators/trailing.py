@@ -185,9 +185,14 @@ class _Units:
         """Names of the partial sums that make the exact sum of squares."""
         return [f"q{k}{half}_{self.column}" for k in ("hh", "hl", "ll") for half in (1, 0)]
 
-    def addends(self, x: Column) -> dict[str, Column]:
+    def limbs(self, history: Column) -> dict[str, Column]:
+        """Two columns that ``addends`` needs: the unit's limbs, cut once a row."""
+        high, low = _limbs(F.when(history, self.value))
+        return {f"_high_{self.column}": high, f"_low_{self.column}": low}
+
+    def addends(self) -> dict[str, Column]:
         """What each row adds to every partial sum."""
-        high, low = _limbs(x)
+        high, low = F.col(f"_high_{self.column}"), F.col(f"_low_{self.column}")
         halves = [h for product in (high * high, high * low, low * low) for h in _halves(product)]
         return dict(zip([*self.sums, *self.squares], [high, low, *halves]))
 
@@ -324,9 +329,9 @@ def _by_frame(
             n = since("n", F.count(F.when(history, F.lit(1))), m.hours)
             results[m.name] = n.cast("bigint")
         elif m.kind in ("sum", "mean", "std") and units.exact:
-            x = F.when(history, units.value)
-            n = since(f"n_{m.column}", F.count(x), m.hours)
-            addends = units.addends(x)
+            prepared |= units.limbs(history)
+            n = since(f"n_{m.column}", F.count(f"_high_{m.column}"), m.hours)
+            addends = units.addends()
             names = units.sums + (units.squares if m.kind == "std" else [])
             at = {name: since(name, F.sum(addends[name]), m.hours) for name in names}
             s = _exact_sum(at, units)
@@ -408,7 +413,8 @@ def _per_group(units: dict[str, _Units]) -> dict[str, Column]:
         kept[f"n_{c}"] = F.count(x)
         kept[f"max_{c}"] = F.max(F.when(history, F.col(c)))
         if u.exact:
-            kept |= {name: F.sum(addend) for name, addend in u.addends(x).items()}
+            kept[f"n_{c}"] = F.count(f"_high_{c}")
+            kept |= {name: F.sum(addend) for name, addend in u.addends().items()}
         else:
             kept[f"s_{c}"] = F.sum(x)
             off = x - F.col(u.reference)
@@ -655,6 +661,9 @@ def _by_cells(rows: DataFrame, entity: str, measures: list[Measure], minutes: in
     """
     plain = [m for m in measures if m.kind != "distinct"] or [count("_any", 1)]
     units = {c: _units(rows, c) for c in dict.fromkeys(m.column for m in plain if m.column)}
+    for u in units.values():
+        if u.exact:
+            rows = rows.withColumns(u.limbs(F.col("_history")))
     loose = [u for u in units.values() if not u.exact]
     if loose:
         # the value closest to zero: next to it neither small nor large values lose digits
