@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.expressions import HOUR_US, differs, flag, micros
 from riskloom.operators.trailing import (
+    BROADCAST_KEYS,
     NO_HISTORY_GAP,
     Measure,
     count,
@@ -18,6 +20,9 @@ from riskloom.operators.trailing import (
     trailing,
 )
 
+if TYPE_CHECKING:
+    from riskloom.sources.runs import LastSeen
+
 # Window lengths in hours. The 30-day window is known but not counted.
 WINDOWS = {"1h": 1, "6h": 6, "24h": 24, "7d": 168, "30d": 720}
 COUNT_WINDOWS = {name: hours for name, hours in WINDOWS.items() if hours <= 168}
@@ -248,27 +253,35 @@ def with_features_after(
     *,
     keep: tuple[str, ...] = ("transaction_id",),
     strategy: str = "auto",
-    last_seen: dict[str, DataFrame] | None = None,
+    last_seen: LastSeen | None = None,
+    before: int | None = None,
+    day: str | None = None,
 ) -> DataFrame:
     """Features of ``batch`` when the rows of ``past`` came before it.
 
     Windows read the past they can reach, time bounds at the scan, and of it only rows that share an
-    entity with the batch. The gap to an entity's previous row has no bound: for entities of the
-    batch the latest time before that reach comes from ``last_seen`` (by entity column: the entity
-    and ``timestamp``), or from the older past's entity and time columns. Rows of the batch that are
-    already in the past count once.
+    entity with the batch. The gap to an entity's previous row has no bound: times before that reach
+    come from ``last_seen`` (as of epoch ``before``) and from the past's rows of the day where the
+    reach ends, or, without it, from all the older past's entity and time columns. ``day`` names a
+    date column that partitions ``past``. Rows of the batch that are already in the past count once.
     """
-    longest = max(COUNT_WINDOWS.values())
-    first, last = batch.agg(F.min("timestamp"), F.max("timestamp")).first()
+    start = F.min("timestamp") - F.expr(f"INTERVAL {max(COUNT_WINDOWS.values())} HOURS")
+    first, last, start_day = batch.agg(start, F.max("timestamp"), F.to_date(start)).first()
     if first is None:
         return with_features(batch, groups, keep=keep, strategy=strategy)
     entities = [e for e in COUNTED_ENTITIES if e in batch.columns]
-    reach = F.lit(first) - F.expr(f"INTERVAL {longest} HOURS")
-    reached = past.where((F.col("timestamp") >= reach) & (F.col("timestamp") <= F.lit(last)))
+    asked = {e: _asked(batch, e) for e in entities}
+    reach = F.lit(first)
+
+    def between(low, high) -> Column:
+        """Past rows of a time range, its days first so that whole folders are skipped."""
+        days = F.lit(True) if day is None else F.col(day).between(F.to_date(low), F.to_date(high))
+        return days & (F.col("timestamp") >= low) & (F.col("timestamp") <= high)
+
+    reached = past.where(between(reach, F.lit(last)))
     shares = F.lit(False)
     for e in entities:
-        asked = batch.where(F.col(e).isNotNull()).select(e).distinct()
-        reached = reached.join(asked.withColumn(f"_in_{e}", F.lit(True)), e, "left")
+        reached = reached.join(asked[e].withColumn(f"_in_{e}", F.lit(True)), e, "left")
         shares |= F.col(f"_in_{e}").isNotNull()
     reached = reached.where(shares).join(batch.select("transaction_id"), "transaction_id", "left_anti")
     both = reached.select(*batch.columns).withColumn("_asked", F.lit(False))
@@ -278,12 +291,17 @@ def with_features_after(
     if groups.velocity:
         for e in entities:
             gap = f"{_short(e)}_hours_since_last"
-            older = (last_seen or {}).get(e)
-            if older is None:
-                older = past.where(F.col("timestamp") < reach).select(e, "timestamp")
-            asked = batch.where(F.col(e).isNotNull()).select(e).distinct()
+            older = past.where(F.col("timestamp") < reach)
+            seen = last_seen.seen_before(e, start_day, before) if last_seen else None
+            if seen is not None:
+                midnight = F.date_trunc("DAY", reach)
+                older = past.where(between(midnight, reach) & (F.col("timestamp") < reach))
+                older = older.select(e, "timestamp").unionByName(seen)
             latest = (
-                older.join(asked, e, "left_semi").groupBy(e).agg(F.max("timestamp").alias("_latest"))
+                older.select(e, "timestamp")
+                .join(asked[e], e, "left_semi")
+                .groupBy(e)
+                .agg(F.max("timestamp").alias("_latest"))
             )
             hours = (micros("timestamp") - micros("_latest")) / F.lit(float(HOUR_US))
             unseen = (F.col(gap) == NO_HISTORY_GAP) & F.col("_latest").isNotNull()
@@ -291,3 +309,9 @@ def with_features_after(
             out = out.withColumn(gap, F.when(unseen, hours).otherwise(F.col(gap))).drop("_latest")
     names = feature_names(batch.columns, groups)
     return out.select(*[c for c in keep if c not in names], *names)
+
+
+def _asked(batch: DataFrame, entity: str) -> DataFrame:
+    """The batch's keys of one entity column, sent to every executor while they are few."""
+    keys = batch.where(F.col(entity).isNotNull()).select(entity).distinct()
+    return F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys

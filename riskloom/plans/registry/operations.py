@@ -534,6 +534,12 @@ def _landed(t: Tables, files: int) -> str:
     """Transactions as a folder of files, ordered by time, for a stream to pick up."""
     path = _folder(t, "landing")
     t.txn.repartitionByRange(files, "timestamp").write.parquet(path)
+    # streams take files by their time of change, which parallel writers do not keep in order
+    folder = t.spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(t.spark._jsc.hadoopConfiguration())
+    names = sorted(f.getPath().getName() for f in system.listStatus(folder) if f.getPath().getName().startswith("part"))
+    for k, name in enumerate(names):
+        system.setTimes(t.spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}"), 1_700_000_000_000 + 1000 * k, -1)
     return path
 
 

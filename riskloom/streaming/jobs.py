@@ -9,8 +9,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from riskloom.models.ensemble import EnsembleScorer
 from riskloom.models.rules import RuleScorer
-from riskloom.operators.features import FeatureGroups, with_fast_features, with_features_after
-from riskloom.sources import tables
+from riskloom.operators.features import (
+    COUNTED_ENTITIES,
+    FeatureGroups,
+    with_fast_features,
+    with_features_after,
+)
+from riskloom.sources import runs, tables
 
 
 def transaction_stream(
@@ -49,16 +54,22 @@ def velocity_panel(
     ).select("card_id", F.col("window.start").alias("window_start"), "txn_count", "amount_sum")
 
 
-def _past(spark: SparkSession, history: str, schema: T.StructType, epoch: int) -> DataFrame:
-    """Rows of earlier micro-batches. A replayed epoch does not see itself or later ones."""
-    if not tables.path_exists(spark, history):
-        return tables.empty(spark, schema)
-    full = T.StructType([*schema.fields, T.StructField("epoch", T.LongType())])
-    return spark.read.schema(full).parquet(history).where(F.col("epoch") < epoch).drop("epoch")
-
+def _features_of_epoch(
+    batch: DataFrame, epoch: int, folder: str, schema: T.StructType, groups: FeatureGroups, strategy: str
+) -> DataFrame:
+    """Features of a micro-batch after all earlier ones, which are kept in merged runs by day.
 
-def _remember(batch: DataFrame, history: str, epoch: int) -> None:
-    batch.write.mode("overwrite").parquet(f"{history}/epoch={epoch}")
+    A replayed epoch does not see itself or later ones.
+    """
+    spark = batch.sparkSession
+    history = runs.history(spark, f"{folder}/history", schema)
+    seen = runs.LastSeen(spark, f"{folder}/last_seen", tuple(COUNTED_ENTITIES))
+    history.merge(epoch)
+    rows = history.append(runs.with_day(batch), epoch).select(*schema.names)
+    seen.update(rows, epoch)
+    return with_features_after(
+        rows, history.before(epoch), groups, strategy=strategy, last_seen=seen, before=epoch, day="day"
+    )
 
 
 def trailing_features(
@@ -72,19 +83,15 @@ def trailing_features(
 
     The state is a table of past rows rather than per-card operator state: a busy card would hold
     its whole week in one task's state, while a table is read back by time and split like any other.
-    Each micro-batch writes folders named after its epoch, so a replay replaces its own output.
+    A micro-batch reads the days its windows reach and a last-seen table, both in runs that are
+    merged, so what it lists and reads does not grow with the epochs. Its folders are named after its
+    epoch, so a replay replaces its own output.
     Rows see what arrived before them; a late row does not change results already written.
     """
     schema = stream.schema
 
     def process(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        history = f"{folder}/history"
-        _remember(batch, history, epoch)
-        rows = spark.read.schema(schema).parquet(f"{history}/epoch={epoch}")
-        out = with_features_after(
-            rows, _past(spark, history, schema, epoch), groups, strategy=strategy
-        )
+        out = _features_of_epoch(batch, epoch, folder, schema, groups, strategy)
         out.write.mode("overwrite").parquet(f"{folder}/features/epoch={epoch}")
 
     return (
@@ -108,12 +115,7 @@ def incremental_scoring(
 
     def process(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        history = f"{folder}/history"
-        _remember(batch, history, epoch)
-        rows = spark.read.schema(schema).parquet(f"{history}/epoch={epoch}")
-        features = with_features_after(
-            rows, _past(spark, history, schema, epoch), strategy=strategy
-        )
+        features = _features_of_epoch(batch, epoch, folder, schema, FeatureGroups(), strategy)
         scored = scorer.results(scorer.score(features))
         batch_id = f"stream_{epoch:012d}"
         final = tables.as_scoring_results(scored, batch_id, flag_threshold=scorer.flag_threshold)
