@@ -101,9 +101,10 @@ def most_frequent(words: DataFrame, most: int) -> list[tuple[bytes, int, int]]:
         share = min(1.0, (room + 4.0 * math.sqrt(room)) / ties)
         draw = F.pmod(F.xxhash64("word"), F.lit(1 << 30)) < int(share * (1 << 30))
         wanted = (F.col("n") > last) | ((F.col("n") == last) & draw)
-    found = words.where(wanted).select("word", "unit", "n").toPandas()
-    found = found.sort_values(["n", "word"], ascending=[False, True])[:most]
-    return [(bytes(w), int(u), int(n)) for w, u, n in zip(found["word"], found["unit"], found["n"])]
+    # Arrow columns: rows of Python objects would take ten times the memory
+    found = words.where(wanted).select("word", "unit", "n").toArrow()
+    found = found.sort_by([("n", "descending"), ("word", "ascending")]).slice(0, most)
+    return list(zip(*(found.column(c).to_pylist() for c in ("word", "unit", "n"))))
 
 
 class _Numbers(dict):
@@ -215,9 +216,9 @@ def _neighbours(ids: DataFrame, classes: np.ndarray) -> tuple[np.ndarray, np.nda
             some = at[low : low + (1 << 16)]
             yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["at", "n"])
 
-    found = ids.mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toPandas()
+    found = ids.mapInArrow(count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
     total = np.zeros(2 * items * CLASSES)
-    total[found["at"].to_numpy(np.int64)] = found["n"].to_numpy(np.int64)
+    total[found.column("at").to_numpy()] = found.column("n").to_numpy()
     left, right = total.reshape(2, items, CLASSES)
     return left, right
 
