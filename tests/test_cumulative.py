@@ -1,9 +1,11 @@
 from __future__ import annotations
 
+import math
 import random
 
 import numpy as np
 import pytest
+from pyspark import SparkContext
 from pyspark.sql import functions as F
 
 from riskloom.monitoring import drift, evaluation
@@ -119,3 +121,64 @@ def test_split_is_exact_per_class(tables):
 def test_split_without_label(tables):
     split = sampling.stratified_split(tables.txn, 0.3, label=None)
     assert split.where("is_test").count() == int(tables.txn.count() * 0.3 + 0.5)
+
+
+@pytest.mark.parametrize("listed, buckets", [(20_000, 1024), (3, 4), (0, 2)])
+def test_selected_percentiles_against_sorting(spark, monkeypatch, listed, buckets):
+    """Skewed, tied, infinite and missing values, NULL among the keys, in one round and in many."""
+    monkeypatch.setattr(cumulative, "LISTED_ROWS", listed)
+    monkeypatch.setattr(cumulative, "BUCKETS", buckets)
+    monkeypatch.setattr(cumulative, "ROUNDS", 40)
+    rng = random.Random(11)
+    draws = {
+        "even": lambda: rng.random(), "wide": lambda: rng.choice([-1, 1]) * 10.0 ** rng.randrange(-300, 300),
+        "tied": lambda: float(rng.randrange(3)), "one": lambda: 7.5, "ends": lambda: rng.choice([-1.7e308, 1.7e308, 0.0]),
+        None: lambda: rng.choice([rng.gauss(0, 1), float("inf"), float("-inf"), 0.0]),
+    }
+    rows = [(k, draw()) for k, draw in draws.items() for _ in range(60)]
+    rows += [("even", None), ("single", 3.0), ("none", None), ("bad", float("nan")), ("bad", 1.0), ("bad", 2.0)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(5)
+    points = {"p0": 0.0, "p33": 0.33, "p50": 0.5, "p95": 0.95, "p100": 1.0}
+    got = {r["k"]: r for r in cumulative.exact_percentiles(df, ["k"], "v", points).collect()}
+    assert got.keys() == {*draws, "single", "bad"}
+    for key, line in got.items():
+        values = sorted((v for k, v in rows if k == key and v is not None), key=lambda v: (math.isnan(v), v))
+        for name, p in points.items():
+            rank = p * (len(values) - 1)
+            low, high = values[math.floor(rank)], values[math.ceil(rank)]
+            want = low + (high - low) * (rank - math.floor(rank)) if low != high else low
+            assert line[name] == pytest.approx(want, rel=1e-12, nan_ok=True), (key, name)
+
+
+def test_selection_shuffles_counts_only(spark):
+    """Eight times the distinct values: what is shuffled are bucket counts, so it hardly grows."""
+    store = spark._jsc.sc().statusStore()
+
+    def written(rows: int) -> int:
+        df = spark.range(0, rows, 1, 4).selectExpr("id % 3 AS k", "pow(abs(sin(id)), 3) AS v")
+        last = max((s.stageId() for s in _stages(store)), default=-1)
+        got = cumulative.exact_percentiles(df, ["k"], "v", {"p50": 0.5, "p95": 0.95}).orderBy("k").collect()
+        want = df.groupBy("k").agg(*[F.expr(f"percentile(v, {p})") for p in (0.5, 0.95)]).orderBy("k").collect()
+        found = [s for s in _stages(store) if s.stageId() > last and s.shuffleWriteRecords() < rows / 2]
+        assert [tuple(r) for r in got] == [pytest.approx(tuple(r), rel=1e-12) for r in want]
+        return sum(s.shuffleWriteBytes() for s in found)
+
+    assert written(800_000) < 2 * written(100_000)
+
+
+def _stages(store):
+    found = store.stageList(None, False, False, _no_doubles(), None)
+    return [found.apply(i) for i in range(found.size())]
+
+
+def _no_doubles():
+    gateway = SparkContext._gateway
+    return gateway.new_array(gateway.jvm.double, 0)
+
+
+def test_many_keys_are_ranked_instead(spark, monkeypatch):
+    monkeypatch.setattr(cumulative, "SELECTED_KEYS", 4)
+    df = spark.range(300).selectExpr("id % 10 AS k", "cast(id * id % 97 AS double) AS v")
+    got = cumulative.exact_percentiles(df, ["k"], "v", {"p": 0.3}).orderBy("k").collect()
+    want = df.groupBy("k").agg(F.expr("percentile(v, 0.3)")).orderBy("k").collect()
+    assert [tuple(r) for r in got] == [pytest.approx(tuple(r)) for r in want]
