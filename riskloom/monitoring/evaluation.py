@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,22 +26,25 @@ def classification_report(
 
     A ratio with denominator 0 is 0. Rows without label cannot be judged and are left out.
     """
+    return _rates(scored.where(F.col(label).isNotNull()).groupBy(*(by or [])).agg(*_confusion(label, flag)), by or [])
+
+
+def _confusion(label: str, flag: str) -> list[Column]:
     y, hit = F.col(label).cast("boolean"), F.col(flag).cast("boolean")
-    counts = (
-        scored.where(F.col(label).isNotNull())
-        .groupBy(*(by or []))
-        .agg(
-            F.count("*").alias("n_samples"),
-            _count(~y & ~hit).alias("true_negatives"),
-            _count(~y & hit).alias("false_positives"),
-            _count(y & ~hit).alias("false_negatives"),
-            _count(y & hit).alias("true_positives"),
-        )
-    )
+    return [
+        F.count("*").alias("n_samples"),
+        _count(~y & ~hit).alias("true_negatives"),
+        _count(~y & hit).alias("false_positives"),
+        _count(y & ~hit).alias("false_negatives"),
+        _count(y & hit).alias("true_positives"),
+    ]
+
+
+def _rates(counts: DataFrame, by: list[str]) -> DataFrame:
     tp, fp, fn = F.col("true_positives"), F.col("false_positives"), F.col("false_negatives")
     n = F.col("n_samples")
     return counts.select(
-        *(by or []),
+        *by,
         "n_samples",
         _ratio(tp + fn, n).alias("fraud_rate"),
         _ratio(tp + fp, n).alias("flag_rate"),
@@ -68,12 +73,55 @@ def ranking_metrics(scored: DataFrame, *, label: str = "is_fraud", score: str =
     curve = running_sums(
         ranged(counts, ["_rank"]), [], "_rank", {"_tp": "_pos", "_fp": "_neg"}, totals=True
     )
+    return curve.agg(*_areas())
+
+
+def _areas() -> list[Column]:
     pos, neg, tp, fp = (F.col(c).cast("double") for c in ("_pos", "_neg", "_tp", "_fp"))
     p, n = F.max("total__tp").cast("double"), F.max("total__fp").cast("double")
-    return curve.agg(
+    return [
         F.try_divide(F.sum(neg * (tp - pos / 2)), p * n).alias("roc_auc"),
         F.try_divide(F.sum(pos * F.try_divide(tp, tp + fp)), F.nullif(p, F.lit(0.0))).alias("pr_auc"),
+    ]
+
+
+def subgroup_report(
+    scored: DataFrame,
+    sets: list[list[str]],
+    *,
+    label: str = "is_fraud",
+    flag: str = "is_flagged",
+    score: str = "ensemble_score",
+) -> DataFrame:
+    """Counts, rates and ranking metrics of every subgroup of every column set, in one pass each.
+
+    ``sets`` are grouping sets; ``grouping`` is SQL's grouping id over their columns in order of first
+    mention, which tells a column left out from a NULL value. The ranking metrics of all subgroups
+    come from one running count over (set, subgroup, score) cells, so a subgroup may be the whole
+    table. A subgroup with one class only has NULL metrics.
+    """
+    columns = list(dict.fromkeys(c for s in sets for c in s))
+    judged = scored.where(F.col(label).isNotNull())
+    by = ["grouping", *columns]
+
+    def grouped(frame: DataFrame, extra: list[str], *aggregates: Column) -> DataFrame:
+        every = [F.col(c) for c in [*columns, *extra]]
+        wanted = [[F.col(c) for c in [*s, *extra]] for s in sets]
+        kept = frame.select(*every, *[c for c in (label, flag) if c not in columns])
+        # the extra columns are in every set, so their bits of the id are 0
+        number = F.shiftright(F.grouping_id(), len(extra)).cast("bigint").alias("grouping")
+        return kept.groupingSets(wanted, *every).agg(number, *aggregates)
+
+    rates = _rates(grouped(judged, [], *_confusion(label, flag)), by)
+    y = F.col(label).cast("bigint")
+    ranked = judged.withColumn("_rank", -F.col(score).cast("double"))
+    counts = grouped(ranked, ["_rank"], F.sum(y).alias("_pos"), F.sum(1 - y).alias("_neg"))
+    curve = running_sums(
+        ranged(counts, [*by, "_rank"]), by, "_rank", {"_tp": "_pos", "_fp": "_neg"}, totals=True
     )
+    areas = curve.groupBy(*by).agg(*_areas()).toDF(*[f"_of_{c}" for c in by], "roc_auc", "pr_auc")
+    same = reduce(lambda a, b: a & b, [F.col(f"`{c}`").eqNullSafe(F.col(f"`_of_{c}`")) for c in by])
+    return rates.join(areas, same).select(*rates.columns, "roc_auc", "pr_auc")
 
 
 def performance_report(predictions: DataFrame, labels: DataFrame, batch_id: str) -> dict:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskloom.session import checkpointed
@@ -24,6 +24,9 @@ RETENTION_DAYS = {
 }
 
 
+_DAY_US = 86_400_000_000
+
+
 def materialise(txns: DataFrame, as_of: datetime, *, valid_hours: int = 24) -> DataFrame:
     """One row per (entity type, entity, window) with the window's features in a map.
 
@@ -111,6 +114,47 @@ def lookup(
     return txns.join(valid.select(F.col("entity_id").alias(key), "features"), key, "left")
 
 
+def lookup_as_of(
+    txns: DataFrame, store: DataFrame, *, entity_type: str = "CARD", window: str = "24H", ts: str = "timestamp"
+) -> DataFrame:
+    """Transactions with the features that were the newest stored ones at each transaction's own time.
+
+    Stored rows and transactions share one time line per key; a transaction takes the last stored row
+    at or before it, if that is still valid then (``valid_until`` included, NULL: without end). The
+    line is cut into days: inside a day the last stored row is a running one, before it comes the last
+    of the earlier days from a table with one row per key and day. So no pairs are formed, and a busy
+    key is spread over its days. Transactions without key or time get no features.
+    """
+    key = ENTITY_COLUMNS[entity_type]
+    wanted = (F.col("entity_type") == entity_type) & (F.col("feature_window") == window)
+    kept = F.struct("features", "computed_at", "valid_until")
+    stored = store.where(wanted & F.col("entity_id").isNotNull()).select(
+        F.col("entity_id").alias("_key"), F.unix_micros("computed_at").alias("_us"), F.lit(0).alias("_asks"), kept.alias("_held")
+    )
+    line = txns.withColumns(
+        {"_key": F.col(key), "_us": F.unix_micros(F.col(ts).cast("timestamp")), "_asks": F.lit(1)}
+    ).unionByName(stored, allowMissingColumns=True)
+    line = line.withColumn("_day", F.floor(F.col("_us") / F.lit(_DAY_US)))
+
+    days = line.groupBy("_key", "_day").agg(F.max_by("_held", F.when(F.col("_asks") == 0, F.col("_us"))).alias("_last"))
+    earlier = Window.partitionBy("_key").orderBy("_day").rowsBetween(Window.unboundedPreceding, -1)
+    before = days.select("_key", "_day", F.last("_last", ignorenulls=True).over(earlier).alias("_before"))
+
+    # keyless rows have no line; a hash spreads them
+    spread = F.when(F.col("_key").isNull(), F.xxhash64("transaction_id")).otherwise(F.lit(0))
+    inside = Window.partitionBy("_key", "_day", "_apart").orderBy("_us", "_asks").rowsBetween(Window.unboundedPreceding, 0)
+    found = line.withColumn("_apart", spread).withColumn("_now", F.last("_held", ignorenulls=True).over(inside))
+    out = found.where("_asks = 1").join(before, ["_key", "_day"], "left")
+    newest = F.when(F.col("_key").isNotNull() & F.col("_us").isNotNull(), F.coalesce("_now", "_before"))
+    out = out.withColumn("_newest", newest)
+    valid = F.col("_newest.valid_until").isNull() | (F.unix_micros("_newest.valid_until") >= F.col("_us"))
+    return out.select(
+        *[f"`{c}`" for c in txns.columns],
+        F.when(valid, F.col("_newest.features")).alias("features"),
+        F.when(valid, F.col("_newest.computed_at")).alias("computed_at"),
+    )
+
+
 def retained(df: DataFrame, table: str, as_of: datetime, *, time_column: str = "timestamp") -> DataFrame:
     """The rows of a table its retention period still covers."""
     since = as_of - timedelta(days=RETENTION_DAYS[table])

@@ -187,3 +187,34 @@ _BAND = """CASE WHEN amount <= 100 THEN 'up to 100' WHEN amount <= 1000 THEN 'up
 def _(t: Tables):
     data = _labelled(t).withColumn("band", evaluation.amount_band()).withColumn("hour", F.hour("timestamp"))
     return plain(evaluation.classification_report(data, by=["band", "merchant_category", "hour"]))
+
+
+_SETS = [["band"], ["merchant_category", "hour"], ["risk"], []]
+_SETS_SQL = "GROUPING SETS ((band), (merchant_category, hour), (risk), ())"
+_SET_COLUMNS = "band, merchant_category, hour, risk"
+
+
+@query(
+    "o11_grouping_sets",
+    f"""WITH d AS (SELECT *, CASE WHEN merchant_category = 'gambling' THEN 'high' END AS risk,
+      {_BAND} AS band, extract(hour FROM timestamp) AS hour FROM ({_LABELLED}) x),
+    r AS (SELECT CAST(grouping({_SET_COLUMNS}) AS BIGINT) AS grouping, {_SET_COLUMNS}, {_REPORT} FROM d GROUP BY {_SETS_SQL}),
+    g AS (SELECT CAST(grouping({_SET_COLUMNS}) AS BIGINT) AS grouping, {_SET_COLUMNS}, ensemble_score AS s,
+      count(*) FILTER (WHERE is_fraud) AS p, count(*) FILTER (WHERE NOT is_fraud) AS n FROM d
+      GROUP BY GROUPING SETS ((band, s), (merchant_category, hour, s), (risk, s), (s))),
+    c AS (SELECT *, sum(p) OVER w AS tp, sum(n) OVER w AS fp FROM g
+      WINDOW w AS (PARTITION BY grouping, {_SET_COLUMNS} ORDER BY s DESC ROWS UNBOUNDED PRECEDING)),
+    a AS (SELECT grouping, {_SET_COLUMNS},
+      CASE WHEN sum(p) > 0 AND sum(n) > 0 THEN round(sum(n * (tp - p / 2)) / (sum(p) * sum(n)), 6) END AS roc_auc,
+      CASE WHEN sum(p) > 0 THEN round(sum(p * (tp / (tp + fp))) / sum(p), 6) END AS pr_auc
+      FROM c GROUP BY grouping, {_SET_COLUMNS})
+    SELECT r.* REPLACE (CAST(r.hour AS BIGINT) AS hour), a.roc_auc, a.pr_auc FROM r JOIN a ON r.grouping = a.grouping
+     AND r.band IS NOT DISTINCT FROM a.band AND r.merchant_category IS NOT DISTINCT FROM a.merchant_category
+     AND r.hour IS NOT DISTINCT FROM a.hour AND r.risk IS NOT DISTINCT FROM a.risk""",
+    ("txn", "scores"),
+)
+def _(t: Tables):
+    """A column with NULL values among the sets: the grouping id tells them from the columns left out."""
+    data = _labelled(t).withColumn("band", evaluation.amount_band()).withColumn("hour", F.hour("timestamp"))
+    data = data.withColumn("risk", F.when(F.col("merchant_category") == "gambling", F.lit("high")))
+    return plain(evaluation.subgroup_report(data, _SETS))

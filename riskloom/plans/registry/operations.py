@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -280,6 +280,42 @@ def _(t: Tables):
     )
 
 
+_STORED_AT = [datetime(2024, 1, 5), datetime(2024, 1, 12, 6), datetime(2024, 1, 20)]
+_STORED_SQL = " UNION ALL ".join(
+    f"""SELECT card_id, TIMESTAMP '{at}' AS computed_at, TIMESTAMP '{at}' + INTERVAL 72 HOUR AS valid_until,
+     CAST(count(*) AS BIGINT) AS n FROM txn WHERE card_id IS NOT NULL
+      AND timestamp >= TIMESTAMP '{at}' - INTERVAL 24 HOUR AND timestamp < TIMESTAMP '{at}' GROUP BY card_id"""
+    for at in _STORED_AT
+)
+
+
+@query(
+    "p2_lookup_as_of",
+    f"""WITH s AS ({_STORED_SQL}),
+    asked AS (SELECT transaction_id, card_id, timestamp FROM txn
+      UNION ALL SELECT concat(transaction_id, '-at'), card_id, TIMESTAMP '{_STORED_AT[1]}' FROM txn
+      UNION ALL SELECT concat(transaction_id, '-end'), card_id, TIMESTAMP '{_STORED_AT[1]}' + INTERVAL 72 HOUR FROM txn)
+    SELECT a.transaction_id, CASE WHEN s.valid_until >= a.timestamp THEN s.n END AS card_txn_count,
+     CASE WHEN s.valid_until >= a.timestamp THEN s.computed_at END AS computed_at
+    FROM asked a ASOF LEFT JOIN s ON a.card_id = s.card_id AND a.timestamp >= s.computed_at""",
+    ("txn",),
+)
+def _(t: Tables):
+    """Three stored states; asked at each transaction's time, at a stored time, and as validity ends."""
+    path = _folder(t, "store")
+    for at in _STORED_AT:
+        stored = store.materialise(t.txn, at, valid_hours=72)
+        stored.write.mode("append").partitionBy("entity_type", "feature_window").parquet(path)
+    asked = t.txn.select("transaction_id", "card_id", "timestamp")
+    for suffix, at in (("-at", _STORED_AT[1]), ("-end", _STORED_AT[1] + timedelta(hours=72))):
+        more = t.txn.select(F.concat("transaction_id", F.lit(suffix)).alias("transaction_id"), "card_id", F.lit(at).alias("timestamp"))
+        asked = asked.unionByName(more)
+    found = store.lookup_as_of(asked, t.spark.read.parquet(path))
+    return plain(
+        found.select("transaction_id", F.col("features")["txn_count"].cast("bigint").alias("card_txn_count"), "computed_at")
+    )
+
+
 @query(
     "p3_retention",
     "SELECT transaction_id, timestamp FROM order_txn WHERE timestamp >= TIMESTAMP '1999-06-01 00:00:00' - INTERVAL 730 DAY",
