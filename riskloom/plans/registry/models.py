@@ -14,8 +14,9 @@ from riskloom.operators.features import FeatureGroups, feature_names, with_featu
 from riskloom.operators.relational import top_per_row
 from riskloom.plans.fixtures import Tables
 from riskloom.plans.registry.core import plain, query, rnd
-from riskloom.plans.registry.history import counts_sql
+from riskloom.plans.registry.history import FINE, HISTORY_SQL, counts_sql
 from riskloom.plans.registry.mapping import BASE_SQL, RISK_SQL, TEMPORAL_SQL
+from riskloom.schema import TRANSACTIONS
 from riskloom.session import checkpointed
 
 # --- rules ------------------------------------------------------------------------------------
@@ -156,6 +157,24 @@ def _flat(t: Tables):
     return with_features(t.txn, _FLAT).select("transaction_id", *_FLAT_NAMES)
 
 
+#: Features of both engines are rounded alike before statistics are taken of them.
+_ALL_SQL = "SELECT transaction_id, " + ", ".join([*BASE_SQL, *TEMPORAL_SQL, *RISK_SQL, *HISTORY_SQL]) + " FROM txn"
+_ALL_NAMES = feature_names(TRANSACTIONS.names)
+
+
+def _all_features(t: Tables):
+    return plain(with_features(t.txn), fine=FINE)
+
+
+def _all_z_sql(floor: str) -> str:
+    """All 53 z-scores side by side."""
+    stats = ", ".join(f"avg({c}) AS m{i}, stddev_pop({c}) AS s{i}" for i, c in enumerate(_ALL_NAMES))
+    scores = ", ".join(
+        f"round(({c} - m{i}) / {floor.format(s=f's{i}')}, 4) + 0.0 AS {c}" for i, c in enumerate(_ALL_NAMES)
+    )
+    return f"WITH f AS ({_ALL_SQL}), g AS (SELECT {stats} FROM f) SELECT transaction_id, {scores} FROM f, g"
+
+
 def _z_sql(floor: str) -> str:
     """Long form: one z-score per row and feature."""
     stats = ", ".join(f"avg({c}) AS m{i}, stddev_pop({c}) AS s{i}" for i, c in enumerate(_FLAT_NAMES))
@@ -181,6 +200,13 @@ def _(t: Tables):
     return plain(df.select("transaction_id", *zs), 5)
 
 
+@query("l1_standardised_all", _all_z_sql("(CASE WHEN {s} = 0 THEN 1 ELSE {s} END)"), ("txn",))
+def _(t: Tables):
+    df = _all_features(t)
+    scaler = forest.standardiser(df, _ALL_NAMES)
+    return plain(df.select("transaction_id", *[z.alias(n) for n, z in forest.standardised(scaler)]), 4)
+
+
 # Models are fitted on all 53 features of the table with their own parameters. SQL cannot grow trees
 # or find a subspace, but it can state what any fitted model must satisfy; the queries return those
 # facts, taken from the model's own output.
@@ -322,6 +348,13 @@ def _(t: Tables):
     return plain(df.select("transaction_id", *zs), 5)
 
 
+@query("m1_normalised_all", _all_z_sql("({s} + 1e-8)"), ("txn",))
+def _(t: Tables):
+    df = _all_features(t)
+    scaler = forest.standardiser(df, _ALL_NAMES, 1e-8)
+    return plain(df.select("transaction_id", *[z.alias(n) for n, z in forest.standardised(scaler)]), 4)
+
+
 @query(
     "m2_subspace",
     """SELECT CAST(i AS BIGINT) AS a, CAST(j AS BIGINT) AS b, CASE WHEN i = j THEN 1.0 ELSE 0.0 END AS product
