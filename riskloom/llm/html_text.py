@@ -24,15 +24,20 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 HEAD_ONLY = frozenset("base basefont bgsound link meta noscript script style template title".split())
 UNSEEN = frozenset(
-    "head script style template noscript iframe noembed noframes title datalist audio video canvas "
-    "object svg math rp".split()
+    "head script style template noscript iframe noembed noframes title datalist audio video canvas rp".split()
 )
+#: Parts of drawings that are not drawn where they stand, and of formulas that are not displayed.
+UNDRAWN = frozenset(
+    "defs metadata desc symbol clippath mask pattern marker filter lineargradient radialgradient".split()
+)
+DRAWING = frozenset("svg g a switch".split())
+ANNOTATION = frozenset("annotation annotation-xml".split())
 BLOCK = frozenset(
     "address article aside body center dd details dialog dir div dl dt fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup p pre "
-    "search section summary table ul blockquote tr caption thead tbody tfoot td th".split()
+    "search section summary table ul blockquote tr caption thead tbody tfoot td th xmp mtr".split()
 )
-SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol menu dir dl table blockquote pre figure hr".split())
+SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol menu dir dl table blockquote pre xmp figure hr".split())
 ENDS_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure "
     "footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section summary "
@@ -151,7 +156,8 @@ class TreeBuilder:
             self.start("tr", "")
         node = Node(tag, _attributes(source) if source else None)
         self._insert(node, tag in TABLE_CONTENT)
-        if tag not in VOID:
+        closed = source.endswith("/") and (self.times["svg"] or self.times["math"])
+        if tag not in VOID and not closed:
             self.open.append(node)
             self.times[tag] += 1
         return node
@@ -210,6 +216,8 @@ def parse(page: str) -> Node:
             inside = page[at : close.start() if close else size]
             if tag in ("textarea", "title"):
                 builder.text(inside)
+            elif tag == "xmp":
+                node.children.append(inside)  # its text has no character references
             at = close.start() if close else size
     return builder.root
 
@@ -230,13 +238,30 @@ def hidden(node: Node, parent: Node | None = None) -> bool:
         return True
     if parent is not None and parent.tag == "details" and "open" not in parent.attributes:
         return tag != "summary"
-    if tag == "option" and parent is not None:
-        chosen = [c for c in parent.children if isinstance(c, Node) and "selected" in c.attributes]
-        options = chosen or [c for c in parent.children if isinstance(c, Node)]
-        return node is not options[0]
+    if tag in UNDRAWN:
+        return parent is not None and parent.tag in DRAWING
+    if tag in ANNOTATION:
+        return parent is not None and parent.tag == "semantics"
     return False
 
 
+def _options(select: Node) -> list[Node]:
+    """The options of a select element, those in groups included, in order."""
+    out, stack = [], list(reversed(select.children))
+    while stack:
+        node = stack.pop()
+        if isinstance(node, Node) and not hidden(node):
+            if node.tag == "option":
+                out.append(node)
+            else:
+                stack += reversed(node.children)
+    return out
+
+
+def _is_list_box(select: Node) -> bool:
+    return "multiple" in select.attributes or _number(select.attributes.get("size"), 1) > 1
+
+
 class Flow:
     """Lines of text under way: white space is collapsed, margins between blocks meet."""
 
@@ -365,6 +390,8 @@ def layout(children: list, depth: int = 0, pre: bool = False) -> list[str]:
     # (node, parent, preformatted, seen) to open, or a function to close an element
     stack: list = [(c, parent, pre, True) for c in reversed(children)]
     counters: list[list] = []
+    #: Options of list boxes, each a line of its own.
+    lines: set[int] = set()
     while stack:
         item = stack.pop()
         if callable(item):
@@ -392,7 +419,10 @@ def layout(children: list, depth: int = 0, pre: bool = False) -> list[str]:
         spaced = 1 if tag in SPACED else 0
         if tag in ("ul", "ol", "menu", "dir") and counters:
             spaced = 0  # a list inside a list follows its item closely
-        is_block = tag in BLOCK or "display:block" in style
+        is_block = tag in BLOCK or "display:block" in style or id(node) in lines
+        is_block |= tag == "text" and above.tag in DRAWING
+        if tag == "mtd" or above.tag == "mfrac":
+            flow.space = True
         if is_block:
             flow.block(spaced)
         if tag == "hr":
@@ -401,6 +431,16 @@ def layout(children: list, depth: int = 0, pre: bool = False) -> list[str]:
             flow.rows(table_lines(node, depth))
             flow.block(1)
             continue
+        if tag == "select" and not _is_list_box(node):
+            # closed, it shows one option
+            options = _options(node)
+            shown = [o for o in options if "selected" in o.attributes] or options
+            stack += [(o, node, pre, seen) for o in shown[:1]]
+            continue
+        if tag == "select":
+            lines.update(map(id, _options(node)))
+        elif tag == "optgroup" and seen:
+            flow.text(node.attributes.get("label", ""), False)
         indent = ""
         if tag in ("ul", "ol", "menu", "dir"):
             start = _number(node.attributes.get("start"), 1)
@@ -427,7 +467,7 @@ def layout(children: list, depth: int = 0, pre: bool = False) -> list[str]:
                 counters.pop()
 
         stack.append(close)
-        pre = pre or tag in ("pre", "textarea") or "white-space:pre" in style
+        pre = pre or tag in ("pre", "textarea", "xmp") or "white-space:pre" in style
         stack += [(c, node, pre, seen) for c in reversed(node.children)]
         if tag in ("td", "th"):  # cells outside a laid-out table stand side by side
             flow.space = True
@@ -455,8 +495,9 @@ def visible_text(html: Column) -> Column:
 def extract(pages: DataFrame) -> DataFrame:
     """One row per page: ``page_id, url, text, n_lines, n_chars``.
 
-    A null or empty page has an empty text and no lines. Repeated rows are kept; columns other than
-    ``page_id``, ``url`` and ``html`` are not read.
+    A null or empty page has an empty text and no lines. Pages of any length and depth are rendered
+    whole; tables nested deeper than eight keep their text but not their columns. Repeated rows are kept
+    and an empty table stays empty; columns other than ``page_id``, ``url`` and ``html`` are not read.
     """
     found = pages.select("page_id", "url", visible_text(F.col("html")).alias("text"))
     lines = F.when(F.col("text") == "", 0).otherwise(F.size(F.split("text", "\n")))

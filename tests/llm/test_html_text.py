@@ -94,3 +94,25 @@ def test_table_of_pages(spark):
     got = sorted((r.page_id or -1, r.text, r.n_lines, r.n_chars) for r in extract(pages).collect())
     assert got == [(-1, "", 0, 0), (1, "a\n\nb", 3, 4), (1, "a\n\nb", 3, 4), (2, "", 0, 0)]
     assert extract(pages.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize(
+    "page, want",
+    [
+        ("<p>a <math><mi>x</mi><mo>+</mo><mn>1</mn></math> b", "a x+1 b"),
+        ("<math><semantics><mi>y</mi><annotation>latex</annotation></semantics></math>", "y"),
+        ("<math><mfrac><mn>1</mn><mn>2</mn></mfrac></math>", "1 2"),
+        ("<svg><defs><text>no</text></defs><path d='M0'/><text>one <tspan>two</tspan></text><g><text>three</text></g></svg>", "one two\nthree"),
+        ("<svg><title>no</title><desc>no</desc></svg>after", "after"),
+        ("a<xmp><b>as &amp; is</b>\n  x</xmp>b", "a\n\n<b>as &amp; is</b>\n  x\n\nb"),
+        ("<select><option>a<option selected>b<option>c</select>", "b"),
+        ("<select><optgroup label=g><option>a<option>b</optgroup><optgroup><option>c</select>", "a"),
+        ("<select multiple><option>a<option selected>b<option>c</select>", "a\nb\nc"),
+        ("<select size=3><optgroup label=Group><option>a<option>b</select>", "Group\na\nb"),
+        ("<object data=x><p>instead</p></object>", "instead"),
+        ("<object><div hidden>no</div><param name=q>yes</object>", "yes"),
+        ("<desc>a custom tag</desc>", "a custom tag"),
+    ],
+)
+def test_all_that_is_displayed(page, want):
+    assert render(page) == want
