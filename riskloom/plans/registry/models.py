@@ -16,7 +16,6 @@ from riskloom.plans.fixtures import Tables
 from riskloom.plans.registry.core import plain, query, rnd
 from riskloom.plans.registry.history import FINE, HISTORY_SQL, counts_sql
 from riskloom.plans.registry.mapping import BASE_SQL, RISK_SQL, TEMPORAL_SQL
-from riskloom.schema import TRANSACTIONS
 from riskloom.session import checkpointed
 
 # --- rules ------------------------------------------------------------------------------------
@@ -158,8 +157,9 @@ def _flat(t: Tables):
 
 
 #: Features of both engines are rounded alike before statistics are taken of them.
-_ALL_SQL = "SELECT transaction_id, " + ", ".join([*BASE_SQL, *TEMPORAL_SQL, *RISK_SQL, *HISTORY_SQL]) + " FROM txn"
-_ALL_NAMES = feature_names(TRANSACTIONS.names)
+_ALL_COLUMNS = [*BASE_SQL, *TEMPORAL_SQL, *RISK_SQL, *HISTORY_SQL]
+_ALL_SQL = "SELECT transaction_id, " + ", ".join(_ALL_COLUMNS) + " FROM txn"
+_ALL_NAMES = [c.rsplit(" ", 1)[-1] for c in _ALL_COLUMNS]
 
 
 def _all_features(t: Tables):
