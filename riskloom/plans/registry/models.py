@@ -163,7 +163,8 @@ _ALL_NAMES = [c.rsplit(" ", 1)[-1] for c in _ALL_COLUMNS]
 
 
 def _all_features(t: Tables):
-    return plain(with_features(t.txn), fine=FINE)
+    """Written once: the statistics and the scores both read all columns."""
+    return checkpointed(plain(with_features(t.txn), fine=FINE))
 
 
 def _all_z_sql(floor: str) -> str:
