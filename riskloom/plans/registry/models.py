@@ -212,17 +212,23 @@ def _(t: Tables):
 # or find a subspace, but it can state what any fitted model must satisfy; the queries return those
 # facts, taken from the model's own output.
 
-_FITTED: dict[tuple[str, str], tuple] = {}
+def _fitted(t: Tables):
+    """(feature table, fitted scorer); every query fits its own, so none depends on those before it."""
+    matrix = checkpointed(with_features(t.txn))
+    return matrix, ensemble.EnsembleScorer().fit(matrix, feature_names(t.txn.columns))
 
 
-def _fitted(t: Tables):
-    """(feature table, fitted scorer), once for each session and folder."""
-    key = (t.spark.sparkContext.applicationId, t.folder)
-    if key not in _FITTED:
-        matrix = checkpointed(with_features(t.txn))
-        scorer = ensemble.EnsembleScorer().fit(matrix, feature_names(t.txn.columns))
-        _FITTED[key] = matrix, scorer
-    return _FITTED[key]
+def _top_five(rows, values: str, got: str):
+    """Whether ``got`` holds the positions of a row's five largest values: each stands before the next,
+    and the fifth before all others; of equal values the later position comes first."""
+    entry = lambda v, i: F.struct(v.alias("v"), i.cast("int").alias("p"))
+    at = lambda k: entry(F.get(values, F.get(got, k)), F.get(got, k))
+    in_order = [at(F.lit(k)) > at(F.lit(k + 1)) for k in range(4)]
+    rows = rows.withColumn("_in_order", in_order[0] & in_order[1] & in_order[2] & in_order[3])
+    rows = rows.withColumn("_fifth", at(F.lit(4))).withColumn("_all", F.transform(values, entry))
+    rest = F.forall("_all", lambda e: F.array_contains(got, e["p"]) | (e < F.col("_fifth")))
+    right = (F.size(got) == 5) & F.col("_in_order") & rest
+    return rows.select("transaction_id", _flagged("agrees", right))
 
 
 def _flagged(name: str, condition) -> F.Column:
@@ -316,26 +322,13 @@ def _(t: Tables):
 
 @query("l6_top_contributions", "SELECT transaction_id, CAST(1 AS BIGINT) AS agrees FROM txn", ("txn",))
 def _(t: Tables):
-    """The operator's top five against a ranking in long form, with the forest's own importances."""
+    """The operator's top five against all values of the row, with the forest's own importances."""
     matrix, scorer = _fitted(t)
     model = scorer.forest
     z = dict(forest.standardised(model.scaler))
-    entries = F.array(
-        *[
-            F.struct(F.lit(i).alias("p"), (F.abs(z[n]) * F.lit(float(w))).alias("v"))
-            for i, (n, w) in enumerate(zip(model.features, model.importances))
-        ]
-    )
-    long = matrix.select("transaction_id", F.explode(entries).alias("e")).select("transaction_id", "e.*")
-    order = Window.partitionBy("transaction_id").orderBy(F.desc("v"), F.desc("p"))
-    ranked = long.withColumn("k", F.row_number().over(order)).where("k <= 5")
-    want = ranked.groupBy("transaction_id").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("k", "p"))), lambda e: e["p"]).alias("want")
-    )
-    got = matrix.select(
-        "transaction_id", F.transform(model.contributions(5), lambda e: e["position"]).alias("got")
-    )
-    return got.join(want, "transaction_id").select("transaction_id", _flagged("agrees", F.col("got") == F.col("want")))
+    values = F.array(*[F.abs(z[n]) * F.lit(float(w)) for n, w in zip(model.features, model.importances)])
+    got = F.transform(model.contributions(5), lambda e: e["position"])
+    return _top_five(matrix.select("transaction_id", got.alias("got"), values.alias("v")), "v", "got")
 
 
 # --- reconstruction error ---------------------------------------------------------------------
@@ -424,19 +417,12 @@ def _(t: Tables):
 
 @query("m6_top_residuals", "SELECT transaction_id, CAST(1 AS BIGINT) AS agrees FROM txn", ("txn",))
 def _(t: Tables):
-    """The operator's top five against a ranking in long form."""
+    """The operator's top five against all values of the row."""
     matrix, scorer = _fitted(t)
     model = scorer.reconstruction
-    kept = checkpointed(model.residuals(matrix).select("transaction_id", "residuals"))
-    long = kept.select("transaction_id", F.posexplode("residuals").alias("p", "v"))
-    order = Window.partitionBy("transaction_id").orderBy(F.desc("v"), F.desc("p"))
-    ranked = long.withColumn("k", F.row_number().over(order)).where("k <= 5")
-    want = ranked.groupBy("transaction_id").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("k", "p"))), lambda e: e["p"]).alias("want")
-    )
-    top = reconstruction.top_residuals("residuals", model.features)
-    got = kept.select("transaction_id", F.transform(top, lambda e: e["position"]).alias("got"))
-    return got.join(want, "transaction_id").select("transaction_id", _flagged("agrees", F.col("got") == F.col("want")))
+    kept = model.residuals(matrix).select("transaction_id", "residuals")
+    got = F.transform(reconstruction.top_residuals("residuals", model.features), lambda e: e["position"])
+    return _top_five(kept.select("transaction_id", got.alias("got"), "residuals"), "residuals", "got")
 
 
 @query(
