@@ -2,13 +2,16 @@
 
 A word's vector is the sum of three hashed embeddings: the word, its first five and first four
 bytes. Filters of several widths run over all words, their largest responses in the text feed a
-logistic unit. Training takes place on a bounded sample of labelled rows; gradients reach only the
-windows that won the pooling. A threshold per text language, found on rows kept out of training,
-moves the logit so that 0.5 decides. The language is read off the text's commonest words.
+logistic unit. Training reads every labelled row it may learn from, in shards of bounded size: in each
+round tasks train on their shards, all from the same weights, and what the shards changed is averaged.
+Gradients reach only the windows that won the pooling. A threshold per text language, from counts over
+all rows kept out of training, moves the logit so that 0.5 decides. The language is read off the text's
+commonest words.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -20,7 +23,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from riskloom.llm.common import (
-    bounded_sample,
     fresh,
     give_back_memory,
     remainder,
@@ -32,8 +34,12 @@ BUCKETS = 1 << 15
 DIM = 16
 WIDTHS = (1, 2, 3)
 FILTERS = 12
-#: Bound of the training sample: rows of each label.
-ROWS_PER_LABEL = 3000
+#: Most rows and bytes of packed words (six a word) a shard of the training rows is meant to hold.
+SHARD_ROWS, SHARD_BYTES = 4096, 64 << 20
+#: Labelled rows that are sent to the texts; of more, the texts are shuffled to their labels.
+BROADCAST_ROWS = 4_000_000
+#: Rows of the embedding table that are averaged together, and steps of a logit thresholds are found on.
+_BLOCK, _STEPS = 2048, 1024
 #: Embedding rows seen in fewer training texts stay zero: they could only be learned by heart.
 MIN_TEXTS = 3
 #: A longer text is folded piece by piece, so memory follows the piece and not the text.
@@ -175,8 +181,8 @@ def _logits(model: ToxicityModel, tables: np.ndarray, texts: list) -> tuple[np.n
     return pooled @ model.output + model.offset, tongue
 
 
-def _train(texts: list[np.ndarray], labels: np.ndarray, epochs: int, seed: int) -> ToxicityModel:
-    """Adagrad over small batches; ``texts`` hold three buckets for each word."""
+def _start(common: np.ndarray, seed: int) -> tuple[ToxicityModel, dict]:
+    """A model before training, and the sums of squared gradients that Adagrad keeps."""
     rng = np.random.default_rng(seed)
     m = ToxicityModel(
         rng.normal(0, 0.1, (BUCKETS, DIM)).astype(np.float32),
@@ -186,10 +192,6 @@ def _train(texts: list[np.ndarray], labels: np.ndarray, epochs: int, seed: int)
         0.0,
         np.zeros(len(_LANGUAGES)),
     )
-    texts_with = np.zeros(BUCKETS, np.int64)
-    for rows in texts:
-        texts_with[np.unique(rows)] += 1
-    common = texts_with >= MIN_TEXTS
     m.embedding[~common] = 0.0
     past = {
         "e": np.full((BUCKETS, 1), 1e-2, np.float32),
@@ -198,6 +200,41 @@ def _train(texts: list[np.ndarray], labels: np.ndarray, epochs: int, seed: int)
         "o": np.full_like(m.output, 1e-2),
         "c": 1e-2,
     }
+    return m, past
+
+
+def _weights(m: ToxicityModel, past: dict) -> tuple[np.ndarray, np.ndarray]:
+    """All that training changes: by embedding row, and the rest in one line."""
+    rest = [*m.filters, m.bias, m.output, m.offset, *past["f"], past["b"], past["o"], past["c"]]
+    return np.hstack([m.embedding, past["e"]]), np.concatenate([np.ravel(x).astype(float) for x in rest])
+
+
+def _from_weights(rows: np.ndarray, rest: np.ndarray) -> tuple[ToxicityModel, dict]:
+    """The inverse of :func:`_weights`, on copies."""
+    shapes = [*[(w, DIM, FILTERS) for w in WIDTHS], *[(len(WIDTHS) * FILTERS,)] * 2, ()] * 2
+    parts, at = [], 0
+    for shape in shapes:
+        size = math.prod(shape)
+        parts.append(rest[at : at + size].reshape(shape).astype(np.float32))
+        at += size
+    n = len(WIDTHS)
+    m = ToxicityModel(
+        rows[:, :DIM].copy(), parts[:n], parts[n], parts[n + 1], float(parts[n + 2]), np.zeros(len(_LANGUAGES))
+    )
+    f, (b, o, c) = parts[n + 3 : 2 * n + 3], parts[2 * n + 3 :]
+    return m, {"e": rows[:, DIM:].copy(), "f": f, "b": b, "o": o, "c": float(c)}
+
+
+def _train(
+    m: ToxicityModel,
+    past: dict,
+    texts: list[np.ndarray],
+    labels: np.ndarray,
+    common: np.ndarray,
+    epochs: int,
+    rng: np.random.Generator,
+) -> None:
+    """Adagrad over small batches, in place; ``texts`` hold three buckets for each word."""
     rate, batch = 0.1, 16
     for _ in range(epochs):
         order = rng.permutation(len(texts))
@@ -255,40 +292,121 @@ def _train(texts: list[np.ndarray], labels: np.ndarray, epochs: int, seed: int)
             m.output -= rate * g / np.sqrt(past["o"])
             past["c"] += float(error.sum()) ** 2
             m.offset -= rate * float(error.sum()) / past["c"] ** 0.5
-    return m
 
 
-def _threshold(logit: np.ndarray, label: np.ndarray) -> float:
-    """The cut with the most right decisions; of equal ones the middle of the widest gap."""
+def _threshold(logit: np.ndarray, toxic: np.ndarray, clean: np.ndarray) -> float:
+    """The cut with the most right decisions; of equal ones the middle of the widest gap.
+
+    ``toxic`` and ``clean`` count the rows at each logit.
+    """
     order = np.argsort(logit)
-    logit, label = logit[order], label[order]
-    wrong = np.r_[0, np.cumsum(label == 1)] + np.r_[np.cumsum((label == 0)[::-1])[::-1], 0]
+    logit, toxic, clean = logit[order], toxic[order], clean[order]
+    wrong = np.r_[0, np.cumsum(toxic)] + np.r_[np.cumsum(clean[::-1])[::-1], 0]
     edge = np.r_[logit[0] - 2.0, logit, logit[-1] + 2.0]
     gap = np.where(wrong == wrong.min(), np.diff(edge), -1.0)
     k = int(gap.argmax())
     return float((edge[k] + edge[k + 1]) / 2.0)
 
 
+SHARD_SCHEMA = "shard long, x binary, words array<int>, toxic array<int>"
+
+
+def _unpacked(words: np.ndarray, x: bytes) -> list[np.ndarray]:
+    """The texts of a shard, each as three buckets a word."""
+    return np.split(np.frombuffer(x, "<u2").reshape(-1, 3), np.cumsum(words)[:-1])
+
+
+def _sharded(rows: DataFrame, n: int) -> DataFrame:
+    """The training rows in ``n`` shards, one row each."""
+
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["doc_id", "x"], kind="stable")
+        words = [len(b) // 6 for b in pdf.x]
+        line = (int(pdf.shard.iloc[0]), b"".join(pdf.x), words, pdf.toxic.astype(int).tolist())
+        return pd.DataFrame([line], columns=["shard", "x", "words", "toxic"])
+
+    shard = F.pmod(F.xxhash64(F.lit("shard"), "doc_id"), F.lit(n))
+    return stored(
+        rows.select(shard.alias("shard"), "doc_id", "toxic", "x").groupBy("shard").applyInPandas(pack, SHARD_SCHEMA)
+    )
+
+
+def _common(shards: DataFrame) -> np.ndarray:
+    """Embedding rows that enough training texts use."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        seen = np.zeros(BUCKETS, np.int64)
+        for pdf in batches:
+            for words, x in zip(pdf.words, pdf.x):
+                for rows in _unpacked(words, x):
+                    seen[np.unique(rows)] += 1
+        used = np.flatnonzero(seen)
+        yield pd.DataFrame({"bucket": used, "n": seen[used]})
+
+    counts = shards.select("words", "x").mapInPandas(count, "bucket long, n long")
+    found = counts.groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_TEXTS)
+    common = np.zeros(BUCKETS, bool)
+    common[found.toPandas().bucket.to_numpy(dtype=int)] = True  # at most BUCKETS rows
+    return common
+
+
+def _round(
+    shards: DataFrame, rows: np.ndarray, rest: np.ndarray, common: np.ndarray, epochs: int, seed: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Weights after every shard trained on its own from the given ones.
+
+    An embedding row moves by the mean over the shards that moved it, all else by the mean over all. Each
+    task returns sums over its shards, and the sums are added by block, so the driver gets one model.
+    """
+    blocks = BUCKETS // _BLOCK
+
+    def step(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        moved = np.zeros((BUCKETS, DIM + 2))
+        total = np.zeros(len(rest) + 1)
+        for pdf in batches:
+            for shard, x, words, toxic in zip(pdf["shard"], pdf["x"], pdf["words"], pdf["toxic"]):
+                m, past = _from_weights(rows, rest)
+                y = (np.asarray(toxic) > 0).astype(np.float32)
+                _train(m, past, _unpacked(words, x), y, common, epochs, np.random.default_rng([seed, shard]))
+                now, now_rest = _weights(m, past)
+                change = now - rows
+                moved[:, :-1] += change
+                moved[:, -1] += (change != 0).any(axis=1)
+                total += np.r_[now_rest - rest, 1.0]
+        if total[-1]:
+            parts = [*np.split(moved.ravel(), blocks), total]
+            sums = [p.astype(np.float32).tobytes() for p in parts]
+            yield pd.DataFrame({"block": range(blocks + 1), "sums": sums})
+        give_back_memory()
+
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        sums = np.sum([np.frombuffer(b, np.float32) for b in pdf.sums], axis=0, dtype=float)
+        return pd.DataFrame({"block": [pdf.block.iloc[0]], "sums": [sums.astype(np.float32).tobytes()]})
+
+    schema = "block int, sums binary"
+    found = shards.mapInPandas(step, schema).groupBy("block").applyInPandas(add, schema)
+    sums = [np.frombuffer(b, np.float32).astype(float) for b in found.toPandas().sort_values("block").sums]
+    moved = np.concatenate(sums[:-1]).reshape(BUCKETS, DIM + 2)
+    rows = rows + (moved[:, :-1] / np.maximum(moved[:, -1:], 1.0)).astype(np.float32)
+    return rows, rest + sums[-1][:-1] / sums[-1][-1]
+
+
 def fit(
-    docs: DataFrame, labels: DataFrame, visits: int = 25_000, rows_per_label: int = ROWS_PER_LABEL
+    docs: DataFrame, labels: DataFrame, visits: int = 25_000, shard_rows: int = SHARD_ROWS
 ) -> ToxicityModel:
-    """Train on a bounded sample of labelled rows whose id hash leaves a remainder but 0 modulo 5.
+    """Train on all labelled rows whose id hash leaves a remainder but 0 modulo 5.
 
-    ``visits`` is about how many texts training reads, in 4 to 10 rounds over the sample.
+    ``visits`` is about how many texts training reads, in 4 to 10 rounds over all rows; of many rows it
+    reads more, each of them three times or more. ``shard_rows`` bounds what one task trains on between two averages.
 
     Of rows labelled twice the larger label counts. Rows with remainder 1 choose the thresholds, the
     others train. Without rows of both labels the model answers 0.5 for every text.
     """
     part = remainder(F.col("doc_id"), 5)
     marked = labels.where("toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    known = marked.where(part != 0).withColumn("part", part)
-    # the ids are bounded by rows_per_label, so they go to the texts and no text is shuffled
-    asked = F.broadcast(
-        bounded_sample(
-            known, "toxic", [F.col("doc_id"), F.lit("toxic")], rows_per_label,
-            "doc_id", "toxic", "part",
-        )
-    )
+    known = marked.where(part != 0).withColumn("part", part.cast("tinyint"))
+    if known.count() <= BROADCAST_ROWS:
+        known = F.broadcast(known.withColumn("toxic", (F.col("toxic") > 0).cast("tinyint")))
 
     @pandas_udf("binary")
     def packed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -300,25 +418,43 @@ def fit(
                 out.append(np.array(rows, "<u2").tobytes())
             yield pd.Series(out)
 
+    trains = F.col("part") != 1
     rows = stored(
-        docs.select("doc_id", "text").join(asked, "doc_id").withColumn("x", packed("text"))
+        docs.select("doc_id", "text")
+        .join(known, "doc_id")
+        .select("doc_id", "toxic", "part", F.when(~trains, F.col("text")).alias("text"),
+                packed(F.when(trains, F.col("text"))).alias("x"))
     )
-    learn = rows.where("part <> 1").drop("text").toPandas().sort_values("doc_id", kind="stable")
-    y = (learn.toxic.to_numpy() > 0).astype(np.float32)
-    if len(set(y.tolist())) < 2:
-        return _train([], np.zeros(0, np.float32), 0, 0)
-    x = [np.frombuffer(b, "<u2").reshape(-1, 3) for b in learn.x]
-    model = _train(x, y, int(np.clip(visits / len(x), 4, 10)), seed=7)
-    del x, learn
-    # thresholds: scored in tasks, so only a logit and a language of each row come back
+    learn = rows.where(trains)
+    n, toxic, size = learn.agg(
+        F.count("*"), F.sum((F.col("toxic") > 0).cast("long")), F.sum(F.length("x"))
+    ).first()
+    if not n or toxic in (0, n):
+        return _start(np.zeros(BUCKETS, bool), 0)[0]
+    shards = _sharded(learn, max(math.ceil(n / shard_rows), math.ceil(size / SHARD_BYTES)))
+    common = _common(shards)
+    weights = _weights(*_start(common, seed=7))
+    if n <= shard_rows and size <= SHARD_BYTES:  # nothing to average
+        weights = _round(shards, *weights, common, int(np.clip(visits / n, 4, 10)), seed=7)
+    else:
+        for k in range(int(np.clip(visits / n, 3, 10))):
+            weights = _round(shards, *weights, common, 1, seed=7 + k)
+    model, _ = _from_weights(*weights)
+    # thresholds: scored in tasks and counted, so only counts by language and step of the logit come back
     tuned = rows.where("part = 1").select("toxic", _scored(F.col("text"), model).alias("s"))
-    tuned = tuned.select("toxic", "s.*").toPandas()
-    y, logit = (tuned.toxic.to_numpy() > 0).astype(int), tuned.logit.to_numpy()
-    overall = _threshold(logit, y) if len(set(y.tolist())) == 2 else 0.0
+    tuned = tuned.groupBy("s.tongue", F.round(F.col("s.logit") * _STEPS).alias("step")).agg(
+        F.sum((F.col("toxic") > 0).cast("long")).alias("bad"), F.sum((F.col("toxic") <= 0).cast("long")).alias("good")
+    ).toPandas()
+
+    def cut(t: pd.DataFrame) -> float:
+        t = t.groupby("step", as_index=False)[["bad", "good"]].sum()
+        return _threshold(t.step.to_numpy(float) / _STEPS, t.bad.to_numpy(int), t.good.to_numpy(int))
+
+    overall = cut(tuned) if tuned.bad.sum() and tuned.good.sum() else 0.0
     for k in range(len(_LANGUAGES)):
-        own = tuned.tongue.to_numpy() == k
-        enough = own.sum() >= 40 and len(set(y[own].tolist())) == 2
-        model.thresholds[k] = _threshold(logit[own], y[own]) if enough else overall
+        own = tuned[tuned.tongue == k]
+        bad, good = int(own.bad.sum()), int(own.good.sum())
+        model.thresholds[k] = cut(own) if bad and good and bad + good >= 40 else overall
     # a text without words is no toxic text, wherever the cut fell between the few rows that chose it
     empty = float(np.maximum(model.bias, 0.0) @ model.output + model.offset)
     model.thresholds = np.maximum(model.thresholds, empty + 0.5)

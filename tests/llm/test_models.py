@@ -117,6 +117,22 @@ def test_toxic_words_at_the_end_of_a_long_text_count(spark, monkeypatch):
     assert plain[1] > plain[0] and plain[2] > plain[0]
 
 
+def test_toxicity_learns_from_every_labelled_row(spark, monkeypatch):
+    """Shards hold all rows that may be learned from, and averaged shards still know the insults."""
+    seen = []
+    sharded = toxicity._sharded
+    monkeypatch.setattr(toxicity, "_sharded", lambda rows, n: seen.append((sharded(rows, n), n)) or seen[-1][0])
+    rows, marks = toxic_docs()
+    model = toxicity.fit(table(spark, rows), labels_of(spark, marks), shard_rows=60)
+    (shards, n), learned = seen[0], [m for m in marks if remainder(m[0], 5) > 1]
+    assert n == math.ceil(len(learned) / 60) > 2
+    assert sum(len(s.toxic) for s in shards.collect()) == len(learned)
+    scored = toxicity.score_documents(table(spark, rows), labels_of(spark, marks), model).collect()
+    truth = {k: t for k, _, t in marks}
+    held = [r for r in scored if r.held_out]
+    assert sum(r.predicted == truth[r.doc_id] for r in held) >= 0.95 * len(held)
+
+
 def test_toxicity_filter_and_missing_labels(spark):
     docs, marks = toxic_docs()
     df = table(spark, docs)
