@@ -1,4 +1,7 @@
-"""Texts of similar wording: MinHash bands propose, exact Jaccard similarity of word shingles decides.
+"""Texts of similar wording: SimHash and MinHash propose, exact Jaccard similarity of word shingles decides.
+
+First fingerprints are linked as op10 links them, by its Gray-order index. Most pairs at similarity 0.8
+are further apart than its four bits, so bands of minimum hashes propose as well.
 
 A text's shingles are its runs of ``words`` words (a shorter text is one run), each once. Of 32 bands
 of five minimum hashes a pair at similarity 0.8 shares none with probability 3e-6, more similar pairs
@@ -18,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from riskloom.llm.common import encoded, fresh, give_back_memory, stored
-from riskloom.llm.simhash import component_roots
+from riskloom.llm.simhash import component_roots, fingerprint_column, star_links
 
 BANDS = 32
 _ROWS = 5
@@ -223,11 +226,21 @@ def _similar(one: str, other: str, least: float) -> Column:
     return decide(one, other)
 
 
+def fingerprint_links(texts: DataFrame, words: int) -> DataFrame:
+    """Pairs of codes that join all texts whose SimHash fingerprints lie within four bits, step by step."""
+    coded = stored(texts.select("code", fingerprint_column(F.col("text"), words).alias("bits")))
+    first = stored(coded.groupBy("bits").agg(F.min("code").alias("first")))
+    stars = star_links(first.select(F.col("bits").alias("code")))
+    across = stars.join(first.toDF("u", "one"), "u").join(first.toDF("v", "other"), "v")
+    same = coded.join(first, "bits").where(F.col("code") != F.col("first")).select("code", "first")
+    return same.union(across.select("one", "other")).toDF("u", "v")
+
+
 def similar_links(texts: DataFrame, words: int, least: float) -> DataFrame:
     """Links ``(u, v)`` that join all components of similar texts; ``texts`` has one row per ``code``.
 
-    Shingles travel late and seldom. First each member of a group proposes its best-agreeing leader,
-    from sketches alone, and those pairs are decided on shingles. Then only members that may
+    Shingles travel late and seldom. First the fingerprints' links and, in each group, every member's
+    best-agreeing leader are proposed, from sketches alone, and those pairs are decided on shingles. Then only members that may
     be similar to one of another component meet with their shingles, group by group.
     """
     made = stored(
@@ -261,7 +274,8 @@ def similar_links(texts: DataFrame, words: int, least: float) -> DataFrame:
         .select("g", "a", "b", _nearest("members", least).alias("links"))
         .where(F.size("links") > 0)
     )
-    proposed = stored(found.select(F.explode("links").alias("link")).select("link.u", "link.v").distinct())
+    leaders = found.select(F.explode("links").alias("link")).select("link.u", "link.v")
+    proposed = stored(leaders.union(fingerprint_links(texts, words)).distinct())
     placed = placed.join(found.select("g", "a", "b"), ["g", "a", "b"], "left_semi")
     hashes = _with_hashes(texts, proposed.select(F.explode(F.array("u", "v")).alias("code")), words)
     decided = proposed.join(hashes.toDF("u", "one"), "u").join(hashes.toDF("v", "other"), "v")

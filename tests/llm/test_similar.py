@@ -5,9 +5,10 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from riskloom.llm import similar
+from riskloom.llm import similar, simhash
 from tests.llm.cases import awkward, prose, row, table
 
 
@@ -102,3 +103,18 @@ def test_unlike_components_of_one_group_are_compared():
     assert similar.unsettled(codes, sketches, similar.np.array([1, 1, 1, 1]), 0.8) == []
     links = dict(similar.group_links(codes, sketches, sets, 0.8, roots))
     assert links == {2: 1, 3: 1, 4: 1}
+
+
+def test_fingerprints_propose_as_op10_links_them(spark, monkeypatch):
+    """The stage goes through op10's index; its proposals join what its components join."""
+    texts = [" ".join(f"w{(k * 7 + j) % 400}" for j in range(60)) for k in range(12)]
+    texts += [f"{t} {t}" for t in texts[:6]] + [t + " end" for t in texts[:6]]
+    rows = spark.createDataFrame(list(enumerate(texts)), "code long, text string")
+    links = similar.fingerprint_links(rows, 5).collect()
+    root = {r.u: r.v for r in simhash.component_roots(spark.createDataFrame(links, "u long, v long")).collect()}
+    want = simhash.near_duplicates(rows.select(F.col("code").alias("doc_id"), "text"), words=5).collect()
+    assert links and {r.doc_id: r.component_id for r in want} == {k: root.get(k, k) for k in range(len(texts))}
+    asked = []
+    monkeypatch.setattr(similar, "star_links", lambda codes: asked.append(codes.count()) or simhash.star_links(codes))
+    similar.similar_links(rows, 5, 0.8).collect()
+    assert asked == [len({r.code for r in want})]
