@@ -566,21 +566,32 @@ _STREAM_RULES = f"""WITH f AS (SELECT transaction_id, amount AS raw_amount, {',
   + 0.10 * CASE WHEN suspicious_email = 1 THEN 0.8 ELSE 0 END, 0), 1), 6) + 0.0 AS rule_score FROM f"""
 
 
-def _landed(t: Tables, files: int) -> str:
-    """Transactions as a folder of files, ordered by time, for a stream to pick up."""
-    path = _folder(t, "landing")
-    t.txn.repartitionByRange(files, "timestamp").write.parquet(path)
+#: Rows a landed file is meant to hold, so that no task writes or reads a share of the whole table.
+_LANDED_ROWS = 250_000
+
+
+def _files_a_slice(rows: int, slices: int) -> int:
+    return max(1, -(-rows // (slices * _LANDED_ROWS)))
+
+
+def _landed(t: Tables, slices: int) -> tuple[str, int]:
+    """Transactions as a folder of files, ordered by time, for a stream to pick up; files a slice of time."""
+    path, files = _folder(t, "landing"), _files_a_slice(t.txn.count(), slices)
+    t.txn.repartitionByRange(slices * files, "timestamp").write.parquet(path)
     # streams take files by their time of change, which parallel writers do not keep in order
     folder = t.spark._jvm.org.apache.hadoop.fs.Path(path)
     system = folder.getFileSystem(t.spark._jsc.hadoopConfiguration())
     names = sorted(f.getPath().getName() for f in system.listStatus(folder) if f.getPath().getName().startswith("part"))
     for k, name in enumerate(names):
         system.setTimes(t.spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}"), 1_700_000_000_000 + 1000 * k, -1)
-    return path
+    return path, files
 
 
-def _stream(t: Tables, files: int, per_trigger: int | None = None):
-    return jobs.transaction_stream(t.spark, _landed(t, files), t.txn.schema, files_per_trigger=per_trigger)
+def _stream(t: Tables, slices: int, per_trigger: int | None = None):
+    """The table as a stream; ``per_trigger`` are slices of time a micro-batch takes."""
+    path, files = _landed(t, slices)
+    files_per_trigger = per_trigger and per_trigger * files
+    return jobs.transaction_stream(t.spark, path, t.txn.schema, files_per_trigger=files_per_trigger)
 
 
 def _drained(t: Tables, stream, name: str):
@@ -652,7 +663,7 @@ def _(t: Tables):
 
 @query("s4_stream_without_repeats", "SELECT transaction_id, amount FROM txn", ("txn",))
 def _(t: Tables):
-    path = _landed(t, 2)
+    path, _ = _landed(t, 2)
     t.txn.write.mode("append").parquet(path)
     stream = jobs.transaction_stream(t.spark, path, t.txn.schema)
     unique = jobs.without_repeats(stream, delay="60 days").select("transaction_id", "amount")

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from riskloom.operators import trailing as tr
 from riskloom.plans import registry
 from riskloom.plans.fixtures import Tables
+from riskloom.plans.registry import operations
 from riskloom.session import PARTITION_BYTES, checkpointed
 from tests.conftest import ROW_SCHEMA, SMALL, make_rows
 
@@ -51,3 +54,10 @@ def test_ranking_of_contributions_shuffles_nothing(spark):
 def test_features_are_read_from_one_written_table(spark):
     for name in ("l1_standardised_all", "m1_normalised_all"):
         assert "Window" not in plan(registry.queries()[name](spark, SMALL)), name
+
+
+def test_landed_files_hold_a_bounded_number_of_rows(spark, monkeypatch):
+    monkeypatch.setattr(operations, "_LANDED_ROWS", 100)
+    path, files = operations._landed(Tables(spark, SMALL), 2)
+    held = [r["count"] for r in spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()]
+    assert files == 5 and len(held) >= 8 and max(held) <= 200
