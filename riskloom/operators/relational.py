@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.operators.cumulative import exact_percentiles
-from riskloom.operators.trailing import FRAME_ROWS, count, statistic, trailing
+from riskloom.operators.trailing import BROADCAST_KEYS, FRAME_ROWS, count, statistic, trailing
+from riskloom.session import checkpointed
 
 # --- extraction and joins ---------------------------------------------------------------------
 
@@ -39,6 +42,32 @@ def insert_if_absent(target: DataFrame, incoming: DataFrame, keys: list[str]) ->
     return incoming.dropDuplicates(keys).join(target.select(*keys), keys, "left_anti")
 
 
+def insert_written_if_absent(target: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
+    """What ``insert_if_absent`` returns, for a written ``incoming``, which may be read twice.
+
+    The keys alone are counted first. Rows are moved only for keys that repeat or are known: without
+    any the result is ``incoming`` itself, few of them are sent to the rows.
+    """
+    mine = incoming.select(*keys, F.lit(1).alias("_mine"), F.lit(0).alias("_known"))
+    theirs = target.select(*keys, F.lit(0).alias("_mine"), F.lit(1).alias("_known")).na.drop(subset=keys)
+    counted = mine.unionByName(theirs).groupBy(*keys).agg(F.sum("_mine").alias("_mine"), F.max("_known").alias("_known"))
+    odd = counted.where("_mine > 0 AND (_mine > 1 OR _known = 1)")
+    odd = checkpointed(odd.select(*[F.col(k).alias(f"_{k}") for k in keys], "_known"))
+    n, repeated = odd.agg(F.count("*"), F.count(F.when(F.col("_known") == 0, 1))).first()
+    if not n:
+        return incoming
+
+    def met(rows: DataFrame, few: bool, how: str) -> DataFrame:
+        same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys])
+        return incoming.join(F.broadcast(rows) if few else rows, same, how)
+
+    out = met(odd, n <= BROADCAST_KEYS, "left_anti")
+    if repeated:
+        once = met(odd.where("_known = 0"), repeated <= BROADCAST_KEYS, "left_semi")
+        out = out.unionByName(once.dropDuplicates(keys))
+    return out
+
+
 def flagged_transactions(txns: DataFrame, scores: DataFrame) -> DataFrame:
     """Flagged scores with their transaction, newest first."""
     flagged = scores.where("is_flagged")

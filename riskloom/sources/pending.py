@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.operators.relational import insert_if_absent, oldest, unscored
+from riskloom.operators.relational import insert_written_if_absent, oldest, unscored
 from riskloom.schema import SCORING_RESULTS, TRANSACTIONS
 from riskloom.session import shared_dir
 from riskloom.sources.tables import path_exists
@@ -133,6 +133,11 @@ class PendingTables:
         rows.write.parquet(path)
         return self.spark.read.schema(rows.schema).parquet(path)
 
+    def _absent(self, known: DataFrame, rows: DataFrame, keys: list[str], *columns: str) -> DataFrame:
+        """A written copy of the rows to append (``columns`` of them); ``rows`` itself where that is all."""
+        new = insert_written_if_absent(known, rows, keys)
+        return rows if new is rows else self._handed_over(new.select(*columns) if columns else new)
+
     def _days(self, rows: DataFrame) -> list:
         return [r[0] for r in rows.select("day").distinct().collect()]
 
@@ -141,7 +146,7 @@ class PendingTables:
         dated = rows.withColumn("day", F.to_date("timestamp")).select(*TRANSACTIONS.names, "day")
         dated = self._handed_over(dated)
         known = self.transactions.where(F.col("day").isin(self._days(dated)))
-        new = self._handed_over(insert_if_absent(known, dated, ["transaction_id"]))
+        new = self._absent(known, dated, ["transaction_id"])
         self._enter(new, 1)
         self._insert(new, "transactions")
         return new.count()
@@ -158,10 +163,8 @@ class PendingTables:
             scores.join(keys.dropDuplicates(["transaction_id"]), "transaction_id")
         )
         known = self.scores.where(F.col("day").isin(self._days(placed)))
-        new = self._handed_over(insert_if_absent(known, placed, ["transaction_id", "batch_id"]))
-        first = self._handed_over(
-            insert_if_absent(known, new, ["transaction_id"]).select("day", "data_source")
-        )
+        new = self._absent(known, placed, ["transaction_id", "batch_id"])
+        first = self._absent(known, new, ["transaction_id"], "day", "data_source")
         self._insert(new, "scores")
         self._enter(first, -1)
         return new.count()

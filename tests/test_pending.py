@@ -9,7 +9,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.operators.relational import extract_unscored_batch
+from riskloom.operators.relational import extract_unscored_batch, insert_if_absent, insert_written_if_absent
 from riskloom.schema import SCORING_RESULTS, canonical_transactions, conform
 from riskloom.sources import sql_surface
 from riskloom.sources.pending import PendingTables
@@ -148,3 +148,17 @@ def test_sql_function_ranks_no_table_in_one_task(spark):
     single = [k for k, line in enumerate(lines) if "SinglePartition" in line]
     # one row an hour is all that meets in one task
     assert single and all("HashAggregate(keys=[_hour" in lines[k + 1] for k in single)
+
+
+@pytest.mark.parametrize("few", [10_000, 0])
+def test_written_rows_are_moved_only_for_odd_keys(spark, monkeypatch, few):
+    monkeypatch.setattr("riskloom.operators.relational.BROADCAST_KEYS", few)
+    schema = "a string, b string, x int"
+    known = spark.createDataFrame([("k", "1", 0), ("m", "1", 0), (None, "1", 0)], schema)
+    fresh = spark.createDataFrame([("p", "1", 7), ("q", "1", 8), (None, "1", 9)], schema)
+    assert insert_written_if_absent(known, fresh, ["a", "b"]) is fresh
+    odd = [("k", "1", 1), ("k", "2", 2), ("n", "1", 3), ("n", "1", 3), (None, "1", 4), (None, "1", 4), ("m", None, 5)]
+    rows = fresh.unionByName(spark.createDataFrame(odd, schema)).where("x <> 9")
+    for keys in (["a", "b"], ["a"]):
+        want, got = insert_if_absent(known, rows, keys), insert_written_if_absent(known, rows, keys)
+        assert sorted(map(str, got.select(*keys).collect())) == sorted(map(str, want.select(*keys).collect()))
