@@ -308,12 +308,23 @@ def _threshold(logit: np.ndarray, toxic: np.ndarray, clean: np.ndarray) -> float
     return float((edge[k] + edge[k + 1]) / 2.0)
 
 
-SHARD_SCHEMA = "shard long, x binary, words array<int>, toxic array<int>"
+SHARD_SCHEMA = "shard long, x array<binary>, toxic array<int>"
 
 
-def _unpacked(words: np.ndarray, x: bytes) -> list[np.ndarray]:
-    """The texts of a shard, each as three buckets a word."""
-    return np.split(np.frombuffer(x, "<u2").reshape(-1, 3), np.cumsum(words)[:-1])
+def _packed(text: str | None) -> tuple[bytes, int]:
+    """Three buckets a word of a text, compressed, and the bytes they take without that.
+
+    A shard is one row, and what moves it holds several copies outside the heap: a shard is compressed
+    until a task trains on it.
+    """
+    memo = {}
+    rows = [memo.get(w) or memo.setdefault(w, word_buckets(w)) for w in split_words(text)]
+    x = np.array(rows, "<u2").tobytes()
+    return zlib.compress(x, 1), len(x)
+
+
+def _unpacked(x: bytes) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(x), "<u2").reshape(-1, 3)
 
 
 def _sharded(rows: DataFrame, n: int) -> DataFrame:
@@ -321,9 +332,8 @@ def _sharded(rows: DataFrame, n: int) -> DataFrame:
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["doc_id", "x"], kind="stable")
-        words = [len(b) // 6 for b in pdf.x]
-        line = (int(pdf.shard.iloc[0]), b"".join(pdf.x), words, pdf.toxic.astype(int).tolist())
-        return pd.DataFrame([line], columns=["shard", "x", "words", "toxic"])
+        line = (int(pdf.shard.iloc[0]), pdf.x.tolist(), pdf.toxic.astype(int).tolist())
+        return pd.DataFrame([line], columns=["shard", "x", "toxic"])
 
     shard = F.pmod(F.xxhash64(F.lit("shard"), "doc_id"), F.lit(n))
     return stored(
@@ -337,13 +347,13 @@ def _common(shards: DataFrame) -> np.ndarray:
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen = np.zeros(BUCKETS, np.int64)
         for pdf in batches:
-            for words, x in zip(pdf.words, pdf.x):
-                for rows in _unpacked(words, x):
-                    seen[np.unique(rows)] += 1
+            for x in pdf.x:
+                for text in x:
+                    seen[np.unique(_unpacked(text))] += 1
         used = np.flatnonzero(seen)
         yield pd.DataFrame({"bucket": used, "n": seen[used]})
 
-    counts = shards.select("words", "x").mapInPandas(count, "bucket long, n long")
+    counts = shards.select("x").mapInPandas(count, "bucket long, n long")
     found = counts.groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_TEXTS)
     common = np.zeros(BUCKETS, bool)
     common[found.toPandas().bucket.to_numpy(dtype=int)] = True  # at most BUCKETS rows
@@ -364,10 +374,10 @@ def _round(
         moved = np.zeros((BUCKETS, DIM + 2))
         total = np.zeros(len(rest) + 1)
         for pdf in batches:
-            for shard, x, words, toxic in zip(pdf["shard"], pdf["x"], pdf["words"], pdf["toxic"]):
+            for shard, x, toxic in zip(pdf["shard"], pdf["x"], pdf["toxic"]):
                 m, past = _from_weights(rows, rest)
                 y = (np.asarray(toxic) > 0).astype(np.float32)
-                _train(m, past, _unpacked(words, x), y, common, epochs, np.random.default_rng([seed, shard]))
+                _train(m, past, [_unpacked(text) for text in x], y, common, epochs, np.random.default_rng([seed, shard]))
                 now, now_rest = _weights(m, past)
                 change = now - rows
                 moved[:, :-1] += change
@@ -408,26 +418,23 @@ def fit(
     if known.count() <= BROADCAST_ROWS:
         known = F.broadcast(known.withColumn("toxic", (F.col("toxic") > 0).cast("tinyint")))
 
-    @pandas_udf("binary")
-    def packed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @pandas_udf("struct<x:binary,size:long>")
+    def packed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
-            for text in batch:
-                memo = {}
-                rows = [memo.get(w) or memo.setdefault(w, word_buckets(w)) for w in split_words(text)]
-                out.append(np.array(rows, "<u2").tobytes())
-            yield pd.Series(out)
+            yield pd.DataFrame([_packed(text) for text in batch], columns=["x", "size"])
+        give_back_memory()
 
     trains = F.col("part") != 1
     rows = stored(
         docs.select("doc_id", "text")
         .join(known, "doc_id")
         .select("doc_id", "toxic", "part", F.when(~trains, F.col("text")).alias("text"),
-                packed(F.when(trains, F.col("text"))).alias("x"))
+                packed(F.when(trains, F.col("text"))).alias("p"))
+        .select("doc_id", "toxic", "part", "text", "p.x", "p.size")
     )
     learn = rows.where(trains)
     n, toxic, size = learn.agg(
-        F.count("*"), F.sum((F.col("toxic") > 0).cast("long")), F.sum(F.length("x"))
+        F.count("*"), F.sum((F.col("toxic") > 0).cast("long")), F.sum("size")
     ).first()
     if not n or toxic in (0, n):
         return _start(np.zeros(BUCKETS, bool), 0)[0]

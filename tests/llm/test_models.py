@@ -268,3 +268,13 @@ def test_quality_without_labels(spark):
     assert {(r.score, r.kept) for r in none} == {(0.5, True)}
     assert cotraining.score_documents(table(spark, []), labels_of(spark, [])).collect() == []
     assert SCHEMA
+
+
+def test_shards_are_compressed_until_a_task_trains_on_them(spark):
+    text = "some words that a long text repeats " * 500
+    rows = spark.createDataFrame([(k, 1, *toxicity._packed(text)) for k in range(20)], "doc_id long, toxic int, x binary, size long")
+    shards = toxicity._sharded(rows, 2).collect()
+    assert sum(len(s.x) for s in shards) == 20 and sum(len(b) for s in shards for b in s.x) < rows.first().size
+    plain = [toxicity.word_buckets(w) for w in toxicity.split_words(text)]
+    assert all(toxicity._unpacked(b).tolist() == [list(w) for w in plain] for s in shards for b in s.x)
+    assert toxicity._unpacked(toxicity._packed(None)[0]).shape == (0, 3)
