@@ -159,14 +159,16 @@ def _stars(groups: str, radius: int) -> Column:
     """Star links ``(u, v)`` inside each array of codes."""
 
     @pandas_udf("array<struct<u:long,v:long>>")
-    def stars(batch: pd.Series) -> pd.Series:
-        out = []
-        for members in batch:
-            codes, roots = group_roots(np.asarray(members, np.int64).view(np.uint64), radius)
-            own = codes != roots
-            pairs = zip(codes[own].view(np.int64).tolist(), roots[own].view(np.int64).tolist())
-            out.append([{"u": u, "v": v} for u, v in pairs])
-        return pd.Series(out)
+    def stars(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            out = []
+            for members in batch:
+                codes, roots = group_roots(np.asarray(members, np.int64).view(np.uint64), radius)
+                own = codes != roots
+                pairs = zip(codes[own].view(np.int64).tolist(), roots[own].view(np.int64).tolist())
+                out.append([{"u": u, "v": v} for u, v in pairs])
+            yield pd.Series(out)
+        give_back_memory()
 
     return stars(groups)
 

@@ -65,6 +65,7 @@ def _codes(text: Column) -> Column:
     def code(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
             yield pd.Series(np.array([text_code(t) for t in batch], np.uint64).view(np.int64))
+        give_back_memory()
 
     return code(text)
 
@@ -185,43 +186,53 @@ def _as_links(links: list[tuple[int, int]]) -> list[dict]:
 
 def _nearest(members: str, least: float) -> Column:
     @pandas_udf(_LINKS)
-    def links(batch: pd.Series) -> pd.Series:
-        return pd.Series(
-            [_as_links(nearest(_codes_in(g), np.stack(_bytes(g, "sketch")), least)) for g in batch]
-        )
+    def links(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series(
+                [_as_links(nearest(_codes_in(g), np.stack(_bytes(g, "sketch")), least)) for g in batch]
+            )
+        give_back_memory()
 
     return links(members)
 
 
 def _unsettled(members: str, least: float) -> Column:
     @pandas_udf("array<long>")
-    def codes(batch: pd.Series) -> pd.Series:
-        roots = [np.array([m["root"] for m in g], np.int64) for g in batch]
-        return pd.Series(
-            [unsettled(_codes_in(g), np.stack(_bytes(g, "sketch")), r, least) for g, r in zip(batch, roots)]
-        )
+    def codes(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            roots = [np.array([m["root"] for m in g], np.int64) for g in batch]
+            yield pd.Series(
+                [unsettled(_codes_in(g), np.stack(_bytes(g, "sketch")), r, least) for g, r in zip(batch, roots)]
+            )
+        give_back_memory()
 
     return codes(members)
 
 
 def _stars(members: str, least: float) -> Column:
     @pandas_udf(_LINKS)
-    def stars(batch: pd.Series) -> pd.Series:
-        out = []
-        for g in batch:
-            roots = np.array([m["root"] for m in g], np.int64)
-            links = group_links(_codes_in(g), np.stack(_bytes(g, "sketch")), _bytes(g, "hashes", np.uint64), least, roots)
-            out.append(_as_links(links))
-        return pd.Series(out)
+    def stars(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            out = []
+            for g in batch:
+                roots = np.array([m["root"] for m in g], np.int64)
+                links = group_links(_codes_in(g), np.stack(_bytes(g, "sketch")), _bytes(g, "hashes", np.uint64), least, roots)
+                out.append(_as_links(links))
+            yield pd.Series(out)
+        give_back_memory()
 
     return stars(members)
 
 
 def _similar(one: str, other: str, least: float) -> Column:
     @pandas_udf("boolean")
-    def decide(a: pd.Series, b: pd.Series) -> pd.Series:
-        pairs = zip(a, b)
-        return pd.Series([similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), least) for x, y in pairs])
+    def decide(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for a, b in batches:
+            pairs = zip(a, b)
+            yield pd.Series(
+                [similar(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), least) for x, y in pairs]
+            )
+        give_back_memory()
 
     return decide(one, other)
 

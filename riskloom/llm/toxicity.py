@@ -352,6 +352,7 @@ def _common(shards: DataFrame) -> np.ndarray:
                     seen[np.unique(_unpacked(text))] += 1
         used = np.flatnonzero(seen)
         yield pd.DataFrame({"bucket": used, "n": seen[used]})
+        give_back_memory()
 
     counts = shards.select("x").mapInPandas(count, "bucket long, n long")
     found = counts.groupBy("bucket").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_TEXTS)
