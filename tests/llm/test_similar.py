@@ -118,3 +118,33 @@ def test_fingerprints_propose_as_op10_links_them(spark, monkeypatch):
     monkeypatch.setattr(similar, "star_links", lambda codes: asked.append(codes.count()) or simhash.star_links(codes))
     similar.similar_links(rows, 5, 0.8).collect()
     assert asked == [len({r.code for r in want})]
+
+
+def test_no_text_is_written_or_shuffled_where_few_rows_go(spark, monkeypatch):
+    """Hand-over tables hold sketches and shingles of proposed texts, and their size does not follow the texts'."""
+    rng, kinds = random.Random(9), []
+    write = similar.stored
+    monkeypatch.setattr(similar, "stored", lambda df: kinds.append(df.dtypes) or write(df))
+    docs = [row(k, " ".join(f"w{rng.randrange(10**6)}" for _ in range(400))) for k in range(60)]
+    kept = similar.without_similar(table(spark, docs + [row(90, docs[3][1])]))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(60))
+    assert kinds and not any("text" in dict(kind) for kind in kinds)
+    assert "SortMergeJoin" not in plan
+
+
+def test_groups_propose_all_pairs_or_are_named():
+    """Sparse groups give every pair that may be similar, dense ones are named; random members give nothing."""
+    rng = similar.np.random.default_rng(4)
+    unlike = rng.integers(0, 256, (300, 20), similar.np.uint8)
+    unlike[70] = unlike[3]
+    alike = similar.np.repeat(unlike[:1], 9, axis=0)
+    bits = similar.np.concatenate([unlike, unlike[[5, 5]], unlike[5:8], alike])
+    rows = similar.pd.DataFrame({
+        "g": [1] * 300 + [2] * 2 + [3] * 3 + [4] * 9, "a": 0, "b": 0,
+        "code": range(len(bits)), "sketch": [b.tobytes() for b in bits],
+    })
+    found = similar.group_proposals(rows, 0.8)
+    links = found[~found["dense"]]
+    assert sorted(zip(links["u"], links["v"])) == [(3, 70), (300, 301)]
+    assert found[found["dense"]]["g"].tolist() == [4]
