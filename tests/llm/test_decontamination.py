@@ -122,3 +122,17 @@ def test_empty_tables(spark, bench):
     assert d.contaminated(table(spark, []), items).collect() == []
     assert d.contaminated(table(spark, corpus(n=4)), none).collect() == []
     assert d.without_leaks(table(spark, corpus(n=4)), none).count() == 4
+
+
+def test_fingerprints_are_counted_inside_the_row(spark):
+    """The same bits as plain counting, ties and the sign bit included, without an aggregation of 64 sums."""
+    rng = random.Random(12)
+    lists = [[rng.randrange(-(1 << 63), 1 << 63) for _ in range(n)] for n in (1, 2, 3, 8, 41)]
+    lists += [[-1, 0], [-(1 << 63)] * 3, [7] * 4 + [0] * 3]
+    rows = spark.createDataFrame([(k, x) for k, x in enumerate(lists)], "k int, shingles array<long>")
+    coded = rows.select("k", d.fingerprint_of(rows.shingles).alias("code"))
+    got = {r.k: r.code % (1 << 64) for r in coded.collect()}
+    for k, x in enumerate(lists):
+        assert got[k] == sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in x) > len(x))
+    plan = coded._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and "Exchange" not in plan
