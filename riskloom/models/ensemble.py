@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.models.forest import IsolationForest, standardiser
-from riskloom.models.reconstruction import ReconstructionModel, top_residuals
+from riskloom.models.reconstruction import ReconstructionModel, scaled_error
 from riskloom.models.rules import RuleScorer, reason_struct
 from riskloom.session import checkpointed
 
@@ -120,19 +120,26 @@ class EnsembleScorer:
         """All scores, the flag and the ``reasons`` array; the input columns stay."""
         if self.forest is None:
             raise ValueError("fit() or load() first")
-        out = self.forest.raw_score(self.rules.score(df))
+        # one select, so that the features go to Python once
+        from_models = {"_contributions": self.forest.top_contributions(_PER_MODEL, _SIGNIFICANT)}
+        if self.reconstruction is not None:
+            from_models["_error"] = self.reconstruction.error_column()
+            from_models["_residuals"] = self.reconstruction.top_column(_PER_MODEL, _SIGNIFICANT)
+        out, raw = self.rules.score(df), self.forest.raw_column(df.sparkSession)
         if self.calibration == "batch":
-            out = checkpointed(out)  # the batch's range needs every raw score before the first result
-        out = self.forest.score(out, calibration=self.calibration)
-        parts = [F.col("rule_reasons"), forest_reasons(self.forest.contributions(_PER_MODEL))]
+            # the batch's range needs every raw score before the first result
+            out = checkpointed(out.withColumn("_forest_raw", raw))
+        else:
+            from_models["_forest_raw"] = raw
+        out = self.forest.score(out.withColumns(from_models), calibration=self.calibration)
+        parts = [F.col("rule_reasons"), forest_reasons(F.col("_contributions"))]
         if self.reconstruction is not None:
-            out = self.reconstruction.score_with_residuals(out, "_residuals")
-            top = top_residuals("_residuals", self.reconstruction.features, _PER_MODEL)
-            parts.append(reconstruction_reasons(top))
+            out = out.withColumn("autoencoder_score", scaled_error("_error", self.reconstruction.threshold))
+            parts.append(reconstruction_reasons(F.col("_residuals")))
         out = out.withColumn("ensemble_score", combined(self.weights, out.columns))
         out = out.withColumn("is_flagged", F.col("ensemble_score") >= self.flag_threshold)
         out = out.withColumn("reasons", strongest(F.concat(*parts)))
-        return out.drop("rule_reasons", "_residuals")
+        return out.drop("rule_reasons", *from_models)
 
     def results(self, scored: DataFrame) -> DataFrame:
         """The scored rows as a result table: scores, flag, reasons and versions as JSON."""

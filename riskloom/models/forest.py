@@ -8,11 +8,12 @@ forest that is sent to the executors for scoring, whatever the size of the train
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +23,10 @@ NODE_SCHEMA = (
     "tree int, node int, feature int, threshold double, left int, right int, size int, depth int"
 )
 _EPSILON = 1e-10
-_CHUNK = 1024
+#: Rows scored at once, so that their places in all trees stay in a core's cache.
+_CHUNK = 256
+
+TOP_SCHEMA = "array<struct<value:double,position:int,feature:string>>"
 
 
 def standardiser(df: DataFrame, features: list[str], floor: float | None = None) -> pd.DataFrame:
@@ -59,6 +63,41 @@ def standardised(scaler: pd.DataFrame) -> list[tuple[str, Column]]:
     ]
 
 
+def feature_columns(features: list[str]) -> list[Column]:
+    """What the model functions read; those of one select share the rows sent to Python."""
+    return [F.col(c).cast("double") for c in features]
+
+
+def feature_rows(columns: Sequence[pa.Array]) -> np.ndarray:
+    """A batch of :func:`feature_columns` as rows; NULL becomes NaN."""
+    out = np.empty((len(columns[0]), len(columns)))
+    for i, column in enumerate(columns):
+        out[:, i] = column.to_numpy(zero_copy_only=False)
+    return out
+
+
+def top_entries(values: np.ndarray, keep: np.ndarray, features: list[str], k: int) -> pa.ListArray:
+    """The k largest kept values of each row as ``TOP_SCHEMA``; ties: the later column first, NaN is largest."""
+    # the first maximum of the turned rows is the later column
+    left = np.where(keep, values, -np.inf)[:, ::-1]
+    rows, width = np.arange(len(left)), left.shape[1]
+    picked, taken = [], []
+    for _ in range(min(k, width)):
+        at = left.argmax(axis=1)
+        value = left[rows, at]
+        picked.append((value, width - 1 - at))
+        taken.append(value != -np.inf)
+        left[rows, at] = -np.inf
+    taken = np.stack(taken, axis=1)
+    value, position = (np.stack(c, axis=1)[taken] for c in zip(*picked))
+    place = pa.array(position.astype(np.int32))
+    entries = pa.StructArray.from_arrays(
+        [pa.array(value), place, pa.array(features, pa.string()).take(place)], ["value", "position", "feature"]
+    )
+    offsets = np.concatenate([[0], taken.sum(axis=1).cumsum()]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), entries)
+
+
 def average_path(n: np.ndarray) -> np.ndarray:
     """Expected path length of an unsuccessful search among n points."""
     n = np.asarray(n, dtype=float)
@@ -208,40 +247,50 @@ class IsolationForest:
         base = n["tree"].map(first).to_numpy()
         children = np.stack([n["left"].to_numpy() + base, n["right"].to_numpy() + base], axis=1)
         return {
-            "root": first.to_numpy().astype(np.int32),
-            "feature": np.maximum(n["feature"].to_numpy(), 0).astype(np.int32),
+            "root": first.to_numpy().astype(np.intp),
+            "feature": np.maximum(n["feature"].to_numpy(), 0).astype(np.intp),
             "threshold": n["threshold"].to_numpy(),
-            "child": children.astype(np.int32).ravel(),
+            "child": children.astype(np.intp).ravel(),
             "path": n["depth"].to_numpy() + average_path(n["size"].to_numpy()),
         }
 
-    def raw_score(self, df: DataFrame, name: str = "_forest_raw") -> DataFrame:
-        """Add the anomaly value 2^(-path / c(sample)); only the feature columns go to Python."""
-        spark = df.sparkSession
+    def raw_column(self, spark: SparkSession) -> Column:
+        """The anomaly value 2^(-path / c(sample)); only the feature columns go to Python."""
         shared = spark.sparkContext.broadcast(self._packed())
         mean, std = self.scaler["mean"].to_numpy(), self.scaler["std"].to_numpy()
         depth = int(self.nodes["depth"].max()) if len(self.nodes) else 0
         norm = float(average_path(np.array([self.sample_size]))[0]) or 1.0
 
-        @F.pandas_udf("double")
-        def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+        @F.arrow_udf("double")
+        def score(*columns: pa.Array) -> pa.Array:
             f = shared.value
-            for pdf in batches:
-                x = (pdf.to_numpy(dtype=float) - mean) / std
-                out = np.empty(len(x))
-                for start in range(0, len(x), _CHUNK):
-                    part = np.ascontiguousarray(x[start : start + _CHUNK])
-                    row = (np.arange(len(part), dtype=np.int32) * part.shape[1])[:, None]
-                    values = part.ravel()
-                    at = np.repeat(f["root"][None, :], len(part), axis=0)
-                    for _ in range(depth):
-                        right = values.take(row + f["feature"].take(at)) > f["threshold"].take(at)
-                        at = f["child"].take(2 * at + right)
-                    out[start : start + _CHUNK] = np.exp2(-f["path"].take(at).mean(axis=1) / norm)
-                yield pd.Series(out)
-
-        inputs = F.struct(*[F.col(c).cast("double").alias(c) for c in self.features])
-        return df.withColumn(name, score(inputs))
+            feature, threshold, child = f["feature"], f["threshold"], f["child"]
+            x = (feature_rows(columns) - mean) / std
+            out = np.empty(len(x))
+            for start in range(0, len(x), _CHUNK):
+                part = x[start : start + _CHUNK]
+                row = (np.arange(len(part)) * part.shape[1])[:, None]
+                values = part.ravel()
+                at = np.repeat(f["root"][None, :], len(part), axis=0)
+                other, value, limit = np.empty_like(at), np.empty(at.shape), np.empty(at.shape)
+                for _ in range(depth):
+                    # all indices are within bounds; "clip" writes to ``out`` without a copy
+                    feature.take(at, out=other, mode="clip")
+                    other += row
+                    values.take(other, out=value, mode="clip")
+                    threshold.take(at, out=limit, mode="clip")
+                    at += at
+                    at += value > limit
+                    child.take(at, out=other, mode="clip")
+                    at, other = other, at
+                out[start : start + _CHUNK] = np.exp2(-f["path"].take(at).mean(axis=1) / norm)
+            return pa.array(out, from_pandas=True)
+
+        return score(*feature_columns(self.features))
+
+    def raw_score(self, df: DataFrame, name: str = "_forest_raw") -> DataFrame:
+        """Add the anomaly value of :meth:`raw_column`."""
+        return df.withColumn(name, self.raw_column(df.sparkSession))
 
     def calibrate(self, df: DataFrame) -> tuple[float, float]:
         """Remember the range of raw scores of ``df`` for scoring with ``calibration='fit'``."""
@@ -281,6 +330,19 @@ class IsolationForest:
         ]
         return top_per_row(pairs, k)
 
+    def top_contributions(self, k: int, above: float) -> Column:
+        """:meth:`contributions` greater than ``above``, found in Arrow batches."""
+        mean, std = self.scaler["mean"].to_numpy(), self.scaler["std"].to_numpy()
+        weights, features = self.importances, self.features
+
+        @F.arrow_udf(TOP_SCHEMA)
+        def top(*columns: pa.Array) -> pa.Array:
+            values = np.abs((feature_rows(columns) - mean) / std) * weights
+            known = [c.is_valid().to_numpy(zero_copy_only=False) for c in columns]
+            return top_entries(values, ~(values <= above) & np.stack(known, axis=1), features, k)
+
+        return top(*feature_columns(features))
+
     # --- storage ---
 
     def save(self, spark: SparkSession, path: str) -> None:

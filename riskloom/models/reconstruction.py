@@ -7,17 +7,26 @@ the subspace cannot reproduce.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.functions.expressions import unit
-from riskloom.models.forest import standardised, standardiser, with_floor
+from riskloom.models.forest import (
+    TOP_SCHEMA,
+    feature_columns,
+    feature_rows,
+    standardised,
+    standardiser,
+    top_entries,
+    with_floor,
+)
 from riskloom.operators.cumulative import exact_percentiles
 from riskloom.session import checkpointed
 
@@ -65,31 +74,58 @@ class ReconstructionModel:
         self.validation_loss = None if loss is None else float(loss)
         return self
 
-    def _apply(self, df: DataFrame, kind: str, name: str) -> DataFrame:
-        """Run the small matrix product in Arrow batches; only the feature columns are sent."""
+    def _squares(self):
+        """Squared residuals of a batch of feature rows."""
         mean, std = self.scaler["mean"].to_numpy(), self.scaler["std"].to_numpy()
         w = self.loadings  # features x components
 
-        @F.pandas_udf("array<double>")
-        def squared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
-            for pdf in batches:
-                x = (pdf.to_numpy(dtype=float) - mean) / std
-                yield pd.Series(list((x - (x @ w) @ w.T) ** 2))
-
-        @F.pandas_udf("double")
-        def error(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
-            for pdf in batches:
-                x = (pdf.to_numpy(dtype=float) - mean) / std
-                yield pd.Series(((x - (x @ w) @ w.T) ** 2).mean(axis=1))
-
-        @F.pandas_udf("array<double>")
-        def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
-            for pdf in batches:
-                yield pd.Series(list(((pdf.to_numpy(dtype=float) - mean) / std) @ w))
-
-        function = {"squared": squared, "error": error, "encode": encode}[kind]
-        inputs = F.struct(*[F.col(c).cast("double").alias(c) for c in self.features])
-        return df.withColumn(name, function(inputs))
+        def squares(columns: Sequence[pa.Array]) -> np.ndarray:
+            x = (feature_rows(columns) - mean) / std
+            return (x - (x @ w) @ w.T) ** 2
+
+        return squares
+
+    def _apply(self, df: DataFrame, kind: str, name: str) -> DataFrame:
+        """Run the small matrix product in Arrow batches; only the feature columns are sent. NaN comes back as NULL."""
+        mean, std = self.scaler["mean"].to_numpy(), self.scaler["std"].to_numpy()
+        w, squares = self.loadings, self._squares()
+
+        def lists(rows: np.ndarray) -> pa.Array:
+            offsets = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
+            return pa.ListArray.from_arrays(pa.array(offsets), pa.array(rows.ravel(), from_pandas=True))
+
+        @F.arrow_udf("array<double>")
+        def squared(*columns: pa.Array) -> pa.Array:
+            return lists(squares(columns))
+
+        @F.arrow_udf("array<double>")
+        def encode(*columns: pa.Array) -> pa.Array:
+            return lists(((feature_rows(columns) - mean) / std) @ w)
+
+        if kind == "error":
+            return df.withColumn(name, self.error_column())
+        return df.withColumn(name, {"squared": squared, "encode": encode}[kind](*feature_columns(self.features)))
+
+    def error_column(self) -> Column:
+        """The mean squared residual."""
+        squares = self._squares()
+
+        @F.arrow_udf("double")
+        def error(*columns: pa.Array) -> pa.Array:
+            return pa.array(squares(columns).mean(axis=1), from_pandas=True)
+
+        return error(*feature_columns(self.features))
+
+    def top_column(self, k: int, above: float) -> Column:
+        """What :func:`top_residuals` takes, of residuals greater than ``above``, found in Arrow batches."""
+        squares, features = self._squares(), self.features
+
+        @F.arrow_udf(TOP_SCHEMA)
+        def top(*columns: pa.Array) -> pa.Array:
+            values = squares(columns)
+            return top_entries(values, values > above, features, k)
+
+        return top(*feature_columns(features))
 
     def errors(self, df: DataFrame) -> DataFrame:
         """Add the mean squared residual."""

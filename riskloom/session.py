@@ -12,10 +12,14 @@ _PARTITION_KEY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 #: Shuffled bytes a task gets where the session does not say: running sums compress some forty times,
 #: so Spark's own 64 MB become gigabytes in the memory of one task.
 PARTITION_BYTES = 4 << 20
+_METHOD_KEY = "spark.sql.codegen.hugeMethodLimit"
+#: Bytes of a generated method beyond which the JVM only interprets it; Spark's own limit is 65,535.
+COMPILED_METHOD_BYTES = 8000
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Set what results depend on: UTC wall-clock functions, AQE for skewed joins, and small tasks."""
+    """Set what results depend on: UTC wall-clock functions, AQE for skewed joins, small tasks, and
+    generated code that the JVM compiles: wide feature rows make methods it would interpret."""
     wanted = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
@@ -26,6 +30,8 @@ def configure(spark: SparkSession) -> SparkSession:
             spark.conf.set(key, value)
     if spark.conf.get(_PARTITION_KEY).lower() in ("64mb", "64m", "67108864b", "67108864"):
         spark.conf.set(_PARTITION_KEY, f"{PARTITION_BYTES}b")
+    if spark.conf.get(_METHOD_KEY) == "65535":
+        spark.conf.set(_METHOD_KEY, str(COMPILED_METHOD_BYTES))
     return spark
 
 

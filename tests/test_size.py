@@ -8,7 +8,7 @@ from riskloom.operators import trailing as tr
 from riskloom.plans import registry
 from riskloom.plans.fixtures import Tables
 from riskloom.plans.registry import operations
-from riskloom.session import PARTITION_BYTES, checkpointed
+from riskloom.session import COMPILED_METHOD_BYTES, PARTITION_BYTES, checkpointed
 from tests.conftest import ROW_SCHEMA, SMALL, make_rows
 
 KEY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
@@ -40,6 +40,20 @@ def test_tasks_are_small_unless_the_session_says(spark):
         spark.conf.set(KEY, held)
 
 
+def test_generated_methods_are_small_enough_to_be_compiled(spark):
+    key = "spark.sql.codegen.hugeMethodLimit"
+    held = spark.conf.get(key)
+    try:
+        spark.conf.unset(key)
+        Tables(spark, SMALL)
+        assert spark.conf.get(key) == str(COMPILED_METHOD_BYTES)
+        spark.conf.set(key, "60000")
+        Tables(spark, SMALL)
+        assert spark.conf.get(key) == "60000"
+    finally:
+        spark.conf.set(key, held)
+
+
 def test_written_copies_give_single_columns(spark):
     copy = checkpointed(spark.range(10).selectExpr("id", "id * 2 AS two"))
     assert "ReadSchema: struct<two:bigint>" in copy.select("two")._jdf.queryExecution().toString()
